@@ -1,0 +1,20 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it small; otherwise
+the join stays a shuffle join (and AQE may still demote it at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, limit: int) -> bool:
+    return df.limit(limit + 1).count() <= limit
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
