@@ -72,22 +72,23 @@ meta AS (
   GROUP BY sku_num
 )"""
 
-FEATURES = f"""
-filled AS (
+def features_sql(src: str = "panel", out: str = "features", p: str = "") -> str:
+    return f"""
+{p}filled AS (
   SELECT *, coalesce(
       last_value(demand IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
       first_value(demand IGNORE NULLS) OVER ({W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
     ) AS demand_filled
-  FROM panel
+  FROM {src}
 ),
-adjusted AS (
+{p}adjusted AS (
   SELECT *, CASE WHEN stockout_flag = 1
                  THEN coalesce(avg(CASE WHEN stockout_flag = 0 THEN demand_filled END) OVER {prev(12)},
                                demand_filled)
                  ELSE demand_filled END AS demand_adjusted
-  FROM filled
+  FROM {p}filled
 ),
-tfeat AS (
+{p}tfeat AS (
   SELECT *,
     lag(demand_adjusted, 1) OVER ({W}) AS lag_1,
     lag(demand_adjusted, 2) OVER ({W}) AS lag_2,
@@ -112,9 +113,9 @@ tfeat AS (
     CASE WHEN count(demand_adjusted) OVER {prev(12)} > 0
          THEN sum(CAST(demand_adjusted = 0 AS INTEGER)) OVER {prev(12)}
               / least(row_number() OVER ({W}), 12) END AS zero_demand_ratio_12w
-  FROM adjusted
+  FROM {p}adjusted
 ),
-features AS (
+{out} AS (
   SELECT t.*, m.category, m.supplier_region, m.unit_cost, m.lead_time_weeks,
     CAST(coalesce(CASE m.supplier_region WHEN 'APAC' THEN 0 WHEN 'EMEA' THEN 1 WHEN 'NA' THEN 2 END, -1)
          AS INTEGER) AS supplier_region_enc,
@@ -129,10 +130,13 @@ features AS (
     CAST(coalesce(m.supplier_region = 'EMEA', false) AS INTEGER) AS region_EMEA,
     CAST(coalesce(m.supplier_region = 'NA', false) AS INTEGER) AS region_NA,
     ln(1 + m.unit_cost) AS log_unit_cost
-  FROM tfeat t LEFT JOIN meta m ON m.sku_id = t.sku_id
+  FROM {p}tfeat t LEFT JOIN meta m ON m.sku_id = t.sku_id
 )"""
 
 
+FEATURES = features_sql()
+
+
 def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts)
 

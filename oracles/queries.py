@@ -70,3 +70,6 @@ SQL["model_matrix"] = fview("demand", *FEATURE_INPUTS)
 from oracles.eval_sql import SQL as _EVAL  # noqa: E402
 
 SQL.update(_EVAL)
+from oracles.drift_sql import SQL as _DRIFT  # noqa: E402
+
+SQL.update(_DRIFT)

@@ -44,6 +44,13 @@ def metric_columns(actual: str = "demand", pred: str = "p50",
     return cols
 
 
+def wape_column(actual: str = "demand", pred: str = "p50") -> Column:
+    """WAPE over valid pairs, x100."""
+    y, p = F.col(actual), F.col(pred)
+    valid = y.isNotNull() & p.isNotNull()
+    return F.sum(F.when(valid, F.abs(y - p))) / (F.sum(F.when(valid, F.abs(y))) + EPSILON) * 100
+
+
 def metrics(df: DataFrame, by=(), actual: str = "demand", pred: str = "p50",
             lo: str | None = None, hi: str | None = None) -> DataFrame:
     """compute_metrics / compute_segment_metrics: one row per group."""

@@ -325,3 +325,64 @@ def q_walk_forward_cv(x: Inputs) -> DataFrame:
 @query("cv_summary")
 def q_cv_summary(x: Inputs) -> DataFrame:
     return L.walk_forward_cv(x.model_rows)[1]
+
+
+# ------------------------------------------------------------------ drift
+from weekcast.operators import drift as D  # noqa: E402
+from weekcast.plans import drift_demo as DD  # noqa: E402
+
+
+def _demo(x: Inputs) -> DD.ShockRun:
+    return DD.shock_to_action(x)
+
+
+@query("scenario_shock")
+def q_scenario_shock(x: Inputs) -> DataFrame:
+    return D.scenario_shock(x.panel, x.meta, DD.DEMO_REGION, DD.DEMO_MULTIPLIER, DD.DEMO_WEEKS).select(
+        "sku_id", "week", "demand", "shocked")
+
+
+@query("region_semi_join")
+def q_region_semi_join(x: Inputs) -> DataFrame:
+    return x.panel.join(D.region_skus(x.meta, DD.DEMO_REGION), "sku_id", "left_semi").select("sku_id", "week")
+
+
+@query("ks_two_sample")
+def q_ks_two_sample(x: Inputs) -> DataFrame:
+    return _demo(x).ks
+
+
+@query("data_drift_status")
+def q_data_drift_status(x: Inputs) -> DataFrame:
+    return _demo(x).data
+
+
+@query("prediction_drift")
+def q_prediction_drift(x: Inputs) -> DataFrame:
+    return _demo(x).prediction
+
+
+@query("performance_drift")
+def q_performance_drift(x: Inputs) -> DataFrame:
+    return _demo(x).performance
+
+
+@query("drift_action")
+def q_drift_action(x: Inputs) -> DataFrame:
+    return _demo(x).action.select("action")
+
+
+@query("shock_to_action")
+def q_shock_to_action(x: Inputs) -> DataFrame:
+    return _demo(x).action
+
+
+@query("rolling_wape_timeline")
+def q_rolling_wape_timeline(x: Inputs) -> DataFrame:
+    return DD.rolling_wape_timeline(_demo(x).shocked)
+
+
+@query("chi_square_drift")
+def q_chi_square_drift(x: Inputs) -> DataFrame:
+    run = _demo(x)
+    return DD.chi_square_drift(run.reference, run.current, ["promotion_flag", "lead_time_weeks"])

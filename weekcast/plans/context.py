@@ -8,8 +8,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from weekcast.operators.features import build_features
+from weekcast.plans.sizing import sized_broadcast
 from weekcast.sources import panel as P
-from weekcast.sources import tables
+from weekcast.sources import store, tables
 
 
 @dataclass
@@ -17,6 +18,17 @@ class Inputs:
     spark: SparkSession
     sf_dir: str
     key: str = "brand_type"
+    materialized: bool = True
+
+    @cached_property
+    def fingerprint(self) -> str:
+        base = self.sf_dir.rstrip("/")
+        fp = store.input_fingerprint(self.spark, [f"{base}/lineitem.parquet", f"{base}/part.parquet"])
+        return f"{self.key}-{fp}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Materialise a reused intermediate (see ``weekcast.sources.store``)."""
+        return store.materialize(df, name, self.fingerprint) if self.materialized else df
 
     @cached_property
     def lineitem(self) -> DataFrame:
@@ -36,15 +48,16 @@ class Inputs:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return P.observed_demand(P.dense_panel(self.weekly, self.calendar))
+        return self.keep(P.observed_demand(P.dense_panel(self.weekly, self.calendar)), "panel")
 
     @cached_property
     def meta(self) -> DataFrame:
-        return P.sku_dimension(self.part, self.panel, self.key)
+        meta = self.keep(P.sku_dimension(self.part, self.panel, self.key), "sku_dimension")
+        return sized_broadcast(meta) if self.materialized else meta
 
     @cached_property
     def features(self) -> DataFrame:
-        return build_features(self.panel, self.meta)
+        return self.keep(build_features(self.panel, self.meta), "features")
 
     @cached_property
     def model_rows(self) -> DataFrame:

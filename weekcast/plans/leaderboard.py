@@ -34,16 +34,24 @@ def baseline_forecasts(train: DataFrame, horizon: int | str = TEST_WEEKS, keys=(
     ])
 
 
-def scored_rows(test: DataFrame, forecasts: DataFrame, how: str = "inner", keys=("sku_id",)) -> DataFrame:
-    """J2 (inner) / J3 (left): actuals joined to every model's forecast."""
+BASELINE_MODELS = (NAIVE_NAME, MOVING_AVERAGE_NAME, SEASONAL_NAIVE_NAME)
+
+
+def scored_rows(test: DataFrame, forecasts: DataFrame, how: str = "inner", keys=("sku_id",),
+                models=BASELINE_MODELS) -> DataFrame:
+    """J2 (inner) / J3 (left): actuals joined to every model's forecast.
+
+    The left form keeps every actual row once per model (one left join per
+    named model), as each model is scored against the full test set.
+    """
     fc_cols = [c for c in ("p10", "p50", "p90") if c in forecasts.columns]
+    actual = test.select(*keys, "week", "demand", "category")
+    fc = forecasts.select("model", *keys, "week", *fc_cols)
     if how == "inner":
-        return test.select(*keys, "week", "demand", "category").join(
-            forecasts.select("model", *keys, "week", *fc_cols), [*keys, "week"], "inner")
-    models = forecasts.select("model").distinct()
-    grid = F.broadcast(models)  # one row per model name: a handful of rows
-    actual = test.select(*keys, "week", "demand", "category").join(grid, how="inner")
-    return actual.join(forecasts.select("model", *keys, "week", *fc_cols), ["model", *keys, "week"], "left")
+        return actual.join(fc, [*keys, "week"], "inner")
+    return union_frames([
+        actual.join(fc.filter(F.col("model") == m).drop("model"), [*keys, "week"], "left")
+        .withColumn("model", F.lit(m)) for m in models])
 
 
 def one_step_interval(test: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekcast.operators.cumulative import one_row_attach
 from weekcast.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from weekcast.functions.constants import (
     BRAND_REGION,
@@ -118,9 +119,9 @@ def dense_panel(weekly: DataFrame, calendar: DataFrame) -> DataFrame:
     after a single hash exchange on ``sku_id`` that all later per-SKU
     windows reuse.
     """
-    bounds = F.broadcast(calendar.agg(F.min("week").alias("lo"), F.max("week").alias("hi")))
+    bounds = calendar.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
     skus = weekly.select("sku_num").distinct()
-    grid = (skus.join(bounds, how="inner")
+    grid = (one_row_attach(skus, bounds)
             .select("sku_num", F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week"),
                     F.lit(None).cast("double").alias("qty")))
     both = weekly.select("sku_num", "week", "qty").unionByName(grid)
