@@ -73,3 +73,6 @@ SQL.update(_EVAL)
 from oracles.drift_sql import SQL as _DRIFT  # noqa: E402
 
 SQL.update(_DRIFT)
+from oracles.report_sql import SQL as _REPORT  # noqa: E402
+
+SQL.update(_REPORT)

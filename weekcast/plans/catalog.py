@@ -386,3 +386,77 @@ def q_rolling_wape_timeline(x: Inputs) -> DataFrame:
 def q_chi_square_drift(x: Inputs) -> DataFrame:
     run = _demo(x)
     return DD.chi_square_drift(run.reference, run.current, ["promotion_flag", "lead_time_weeks"])
+
+
+# ------------------------------------------------------------ reports
+from weekcast.operators import reports as R  # noqa: E402
+
+
+@query("weekly_totals")
+def q_weekly_totals(x: Inputs) -> DataFrame:
+    return R.weekly_totals(x.features)
+
+
+@query("category_mix")
+def q_category_mix(x: Inputs) -> DataFrame:
+    return R.category_mix(x.meta)
+
+
+@query("demand_box_by_category")
+def q_demand_box(x: Inputs) -> DataFrame:
+    return R.demand_box_by_category(x.features)
+
+
+@query("sku_stats")
+def q_sku_stats(x: Inputs) -> DataFrame:
+    return R.sku_stats(x.features)
+
+
+@query("weekly_by_category")
+def q_weekly_by_category(x: Inputs) -> DataFrame:
+    return R.weekly_by_category(x.features)
+
+
+@query("zero_ratio_histogram")
+def q_zero_ratio_histogram(x: Inputs) -> DataFrame:
+    return R.zero_ratio_histogram(x.features)
+
+
+@query("intermittency_summary")
+def q_intermittency_summary(x: Inputs) -> DataFrame:
+    return R.intermittency_summary(x.features)
+
+
+@query("demand_by_region")
+def q_demand_by_region(x: Inputs) -> DataFrame:
+    return R.demand_by_region(x.features)
+
+
+@query("distinct_skus")
+def q_distinct_skus(x: Inputs) -> DataFrame:
+    return R.distinct_skus(x.features)
+
+
+@query("top20_skus")
+def q_top20_skus(x: Inputs) -> DataFrame:
+    return R.top_skus(x.features, 20)
+
+
+@query("model_name_filter")
+def q_model_name_filter(x: Inputs) -> DataFrame:
+    board = L.baseline_leaderboard(x.model_rows)
+    return board.select("model", "wape", F.col("model").rlike("Naive").alias("matches"))
+
+
+@query("leaderboard_kpis")
+def q_leaderboard_kpis(x: Inputs) -> DataFrame:
+    return R.leaderboard_kpis(L.baseline_leaderboard(x.model_rows), "RollingInterval", "RollingInterval")
+
+
+@query("feature_group_label")
+def q_feature_group_label(x: Inputs) -> DataFrame:
+    """Model inputs unpivoted to (feature, value), labelled with their group."""
+    wide = x.features.select("sku_id", "week", *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS])
+    long = wide.unpivot(["sku_id", "week"], FEATURE_COLUMNS, "feature", "value")
+    return long.groupBy("feature", R.feature_group().alias("group")).agg(
+        F.count("value").alias("n_values"), F.avg("value").alias("mean_value"))
