@@ -76,3 +76,9 @@ SQL.update(_DRIFT)
 from oracles.report_sql import SQL as _REPORT  # noqa: E402
 
 SQL.update(_REPORT)
+from oracles.gate_sql import SQL as _GATE  # noqa: E402
+
+SQL.update(_GATE)
+from oracles.scoring_sql import SQL as _SCORING  # noqa: E402
+
+SQL.update(_SCORING)

@@ -460,3 +460,95 @@ def q_feature_group_label(x: Inputs) -> DataFrame:
     long = wide.unpivot(["sku_id", "week"], FEATURE_COLUMNS, "feature", "value")
     return long.groupBy("feature", R.feature_group().alias("group")).agg(
         F.count("value").alias("n_values"), F.avg("value").alias("mean_value"))
+
+
+# ------------------------------------------------------------ promotion gate
+from weekcast.operators import gate as G  # noqa: E402
+from weekcast.functions.constants import SEASONAL_NAIVE_NAME  # noqa: E402
+
+
+def _metrics_table(x: Inputs) -> DataFrame:
+    """(model, segment, metric, value) for every scored model, overall and per category."""
+    _, test, fc = _forecasts(x)
+    scored = L.scored_rows(test, fc)
+    interval = L.one_step_interval(test)
+    overall = L.model_metrics(scored).withColumn("segment", F.lit("all")).unionByName(
+        L.model_metrics(interval, interval=True).withColumn("segment", F.lit("all")))
+    seg = segment_metrics(scored, by=("model",)).unionByName(
+        segment_metrics(interval, by=("model",), lo="p10", hi="p90")).withColumnRenamed("category", "segment")
+    wide = overall.unionByName(seg)
+    return wide.unpivot(["model", "segment"], METRIC_NAMES, "metric", "value")
+
+
+@query("promotion_gate")
+def q_promotion_gate(x: Inputs) -> DataFrame:
+    return G.promotion_gate(_metrics_table(x), SEASONAL_NAIVE_NAME)
+
+
+@query("current_stage")
+def q_current_stage(x: Inputs) -> DataFrame:
+    per_fold = L.walk_forward_cv(x.model_rows)[0]
+    return G.current_stage(G.fold_champion_events(per_fold))
+
+
+# ------------------------------------------------------------ batch scoring
+from weekcast.operators import scoring as SC  # noqa: E402
+
+
+def requests_from_parts(x: Inputs) -> DataFrame:
+    """A request table derived from the part table: ids padded with blanks,
+    horizons 1..60 (some out of range), intervals off for every fifth part,
+    batches of 400 ids. Part keys above the catalogue give unknown SKUs."""
+    return x.part.select(
+        F.col("p_partkey").alias("request_id"),
+        (F.col("p_partkey") / 400).cast("long").alias("batch_id"),
+        F.concat(F.lit(" PART-"), (F.col("p_partkey") + 10000).cast("string"), F.lit(" ")).alias("sku_id"),
+        (F.lit(1) + F.col("p_partkey") % 60).cast("int").alias("horizon_weeks"),
+        (F.col("p_partkey") % 5 != 0).alias("include_intervals"))
+
+
+def _scored(x: Inputs):
+    return SC.batch_score(requests_from_parts(x), x.features)
+
+
+@query("request_clean")
+def q_request_clean(x: Inputs) -> DataFrame:
+    return SC.request_clean(requests_from_parts(x))
+
+
+@query("request_join")
+def q_request_join(x: Inputs) -> DataFrame:
+    checked = SC.request_clean(requests_from_parts(x)).filter("valid")
+    known, _ = SC.split_known(checked, SC.latest_rows(x.features))
+    return known.select("request_id", "sku_id", "horizon_weeks")
+
+
+@query("unknown_sku_anti_join")
+def q_unknown_sku(x: Inputs) -> DataFrame:
+    return _scored(x)[2]
+
+
+@query("fill_features_zero")
+def q_fill_features_zero(x: Inputs) -> DataFrame:
+    checked = SC.request_clean(requests_from_parts(x)).filter("valid")
+    latest = SC.latest_rows(x.features)
+    known, _ = SC.split_known(checked, latest)
+    return SC.scoring_frame(known, latest).select("request_id", "step", "week", *FEATURE_COLUMNS)
+
+
+@query("batch_score")
+def q_batch_score(x: Inputs) -> DataFrame:
+    return _scored(x)[0]
+
+
+@query("interval_fallback")
+def q_interval_fallback(x: Inputs) -> DataFrame:
+    """B9 on a model without intervals (p50 only): the 0.7 / 1.3 defaults apply."""
+    def p50_only(frame):
+        return frame.withColumn("p50", F.col("rolling_mean_4w").cast("double"))
+    return SC.batch_score(requests_from_parts(x), x.features, p50_only)[0]
+
+
+@query("response_nested")
+def q_response_nested(x: Inputs) -> DataFrame:
+    return SC.response_nested(_scored(x)[0])
