@@ -194,3 +194,10 @@ SQL["cv_summary"] = CVFC + "," + CV_FOLD_METRICS + f"""
 SELECT model, {", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_pop({m}), 6) AS {m}_std" for m in METRICS)},
        count(*) AS n_folds
 FROM cv_fold GROUP BY model"""
+
+LB_SQL = with_ctes(PANEL, FEATURES, MODEL, baselines_sql("train", "sku_id", "13", ""), SCORED, ONE_STEP) + f""",
+lb AS (SELECT model, {metric_sql()} FROM scored GROUP BY model
+       UNION ALL SELECT model, {metric_sql(lo='p10', hi='p90')} FROM oi GROUP BY model),
+board AS (SELECT CAST(row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS INTEGER) AS rank, model,
+                 round(wape, 6) AS wape, round(rmse, 6) AS rmse, round(bias, 6) AS bias,
+                 round(coverage_80pct, 6) AS coverage_80pct, '< 1' AS inference_ms FROM lb)"""

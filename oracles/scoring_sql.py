@@ -62,3 +62,17 @@ SQL["fill_features_zero"] = SC + "\nSELECT request_id, step, week, " + ", ".join
 SQL["batch_score"] = SC + serve("rolling_mean_4w", "rolling_mean_4w - 1.28 * rolling_std_4w",
                                 "rolling_mean_4w + 1.28 * rolling_std_4w")
 SQL["interval_fallback"] = SC + serve("rolling_mean_4w", None, None)
+
+# ---------------------------------------------------------------- sources / sinks
+from oracles.eval_sql import LB_SQL  # noqa: E402
+
+SQL["scan_demand"] = with_ctes(PANEL) + """
+SELECT sku_id, week, round(demand, 6) AS demand, stockout_flag, holiday_flag, promotion_flag FROM panel"""
+SQL["drop_hidden_truth"] = with_ctes(PANEL) + """
+SELECT sku_id, week, round(demand, 6) AS demand, stockout_flag, holiday_flag, promotion_flag,
+       round(true_demand, 6) AS true_demand FROM panel"""
+SQL["scan_sku_metadata"] = with_ctes(PANEL) + """
+SELECT sku_id, category, supplier_region, round(unit_cost, 6) AS unit_cost, lead_time_weeks FROM meta"""
+SQL["read_leaderboard"] = LB_SQL + """
+SELECT rank, model, round(wape, 1) AS wape, round(rmse, 1) AS rmse, round(bias, 2) AS bias,
+       round(coverage_80pct, 1) AS coverage_80pct, inference_ms FROM board"""

@@ -552,3 +552,65 @@ def q_interval_fallback(x: Inputs) -> DataFrame:
 @query("response_nested")
 def q_response_nested(x: Inputs) -> DataFrame:
     return SC.response_nested(_scored(x)[0])
+
+
+# ------------------------------------------------------------ sources / sinks
+import uuid  # noqa: E402
+
+from weekcast.sources import files as FS  # noqa: E402
+from weekcast.sources import store as ST  # noqa: E402
+
+
+def _scratch(x: Inputs, name: str) -> str:
+    return f"{ST.store_root(x.spark)}/io-{name}-{uuid.uuid4().hex[:8]}"
+
+
+@query("scan_demand")
+def q_scan_demand(x: Inputs) -> DataFrame:
+    """Publish the history as CSV without the hidden truth, read it back."""
+    path = _scratch(x, "demand")
+    FS.drop_hidden_truth(x.panel, path)
+    return FS.scan_demand(x.spark, f"{path}/demand_history")
+
+
+@query("drop_hidden_truth")
+def q_drop_hidden_truth(x: Inputs) -> DataFrame:
+    path = _scratch(x, "truth")
+    FS.drop_hidden_truth(x.panel, path)
+    return FS.scan_demand(x.spark, f"{path}/demand_history_with_true", with_truth=True)
+
+
+@query("scan_sku_metadata")
+def q_scan_sku_metadata(x: Inputs) -> DataFrame:
+    path = _scratch(x, "meta")
+    FS.write_csv(x.meta, path)
+    return FS.scan_sku_metadata(x.spark, path)
+
+
+@query("read_leaderboard")
+def q_read_leaderboard(x: Inputs) -> DataFrame:
+    path = _scratch(x, "leaderboard")
+    FS.write_leaderboard(L.baseline_leaderboard(x.model_rows), path)
+    return FS.read_leaderboard(x.spark, path)
+
+
+@query("feature_store_versions")
+def q_feature_store_versions(x: Inputs) -> DataFrame:
+    """Versions v1, v2 and v10 written; the latest is v10 (numeric order)."""
+    root = _scratch(x, "features")
+    for v in ("v1", "v2", "v10"):
+        ST.write_feature_version(x.features.withColumn("feature_version", F.lit(v)), root, v)
+    latest, version = ST.latest_feature_version(x.spark, root)
+    return latest.groupBy("feature_version").agg(F.count("*").alias("n_rows")).withColumn(
+        "latest_version", F.lit(version))
+
+
+@query("drift_report_flat")
+def q_drift_report_flat(x: Inputs) -> DataFrame:
+    """Write the drift summary as JSON, read the newest back, flatten it."""
+    run = _demo(x)
+    root = _scratch(x, "drift")
+    summary = FS.drift_summary("20240101_000000", DD.DEMO_BASELINE_WAPE, run.ks, run.data, run.prediction,
+                               run.performance, run.action)
+    FS.write_drift_summary(summary, root)
+    return FS.drift_report_flat(FS.latest_drift_summary(x.spark, root))
