@@ -76,3 +76,28 @@ SELECT sku_id, category, supplier_region, round(unit_cost, 6) AS unit_cost, lead
 SQL["read_leaderboard"] = LB_SQL + """
 SELECT rank, model, round(wape, 1) AS wape, round(rmse, 1) AS rmse, round(bias, 2) AS bias,
        round(coverage_80pct, 1) AS coverage_80pct, inference_ms FROM board"""
+
+# ---------------------------------------------------------------- sequences
+from oracles.ctes import W  # noqa: E402
+
+SEQ = ["lag_1", "rolling_mean_4w", "zero_demand_ratio_12w", "promotion_flag"]
+SQL["lookback_sequences"] = with_ctes(PANEL, FEATURES) + f"""
+SELECT * FROM (
+  SELECT sku_id, week,
+         CAST(count(*) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS INTEGER) AS seq_len,
+         first_value(week) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS first_week,
+         last_value(week) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS last_week,
+         round(coalesce(lag(lag_1, 1) OVER ({W}), 0.0), 6) AS last_lag_1,
+         round(coalesce(demand, 0.0), 6) AS target
+  FROM features) WHERE seq_len = 26"""
+SQL["feature_scaling"] = with_ctes(PANEL, FEATURES) + """,
+wt AS (SELECT *, greatest(0, least(count(*) OVER (PARTITION BY sku_id) - 1,
+                                   row_number() OVER (PARTITION BY sku_id ORDER BY week) - 1 + 26)
+                           - greatest(26, row_number() OVER (PARTITION BY sku_id ORDER BY week)) + 1) AS w
+       FROM features),
+lg AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, coalesce(CAST({c} AS DOUBLE), 0.0) AS x, w FROM wt WHERE w > 0" for c in SEQ) + """),
+ag AS (SELECT feature, sum(w) AS sw, sum(x * w) AS sx FROM lg GROUP BY feature)
+SELECT a.feature, round(a.sx / a.sw, 6) AS mean,
+       round(sqrt(sum(l.w * pow(l.x - a.sx / a.sw, 2)) / a.sw) + 1e-8, 6) AS std
+FROM lg l JOIN ag a USING (feature) GROUP BY a.feature, a.sx, a.sw"""

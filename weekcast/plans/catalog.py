@@ -614,3 +614,27 @@ def q_drift_report_flat(x: Inputs) -> DataFrame:
                                run.performance, run.action)
     FS.write_drift_summary(summary, root)
     return FS.drift_report_flat(FS.latest_drift_summary(x.spark, root))
+
+
+# ------------------------------------------------------------ sequences
+from weekcast.operators import sequences as SQ  # noqa: E402
+
+SEQ_COLUMNS = ["lag_1", "rolling_mean_4w", "zero_demand_ratio_12w", "promotion_flag"]
+
+
+@query("lookback_sequences")
+def q_lookback_sequences(x: Inputs) -> DataFrame:
+    seq = SQ.lookback_sequences(x.features, SEQ_COLUMNS)
+    return seq.select("sku_id", "week", F.size("seq").alias("seq_len"), F.col("seq")[0]["week"].alias("first_week"),
+                      F.col("seq")[25]["week"].alias("last_week"), F.col("seq")[25]["lag_1"].alias("last_lag_1"),
+                      "target")
+
+
+@query("zero_pad_sequence")
+def q_zero_pad_sequence(x: Inputs) -> DataFrame:
+    return SQ.zero_pad_sequence(x.features, SEQ_COLUMNS)
+
+
+@query("feature_scaling")
+def q_feature_scaling(x: Inputs) -> DataFrame:
+    return SQ.feature_scaling(x.features, SEQ_COLUMNS)
