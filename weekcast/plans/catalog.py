@@ -638,3 +638,51 @@ def q_zero_pad_sequence(x: Inputs) -> DataFrame:
 @query("feature_scaling")
 def q_feature_scaling(x: Inputs) -> DataFrame:
     return SQ.feature_scaling(x.features, SEQ_COLUMNS)
+
+
+# ------------------------------------------------------------ learners
+from weekcast.operators import learners as LR  # noqa: E402
+from weekcast.operators.evaluation import evaluate_forecast  # noqa: E402
+
+
+def _quantile_run(x: Inputs, rounds: int = 6):
+    train, test = _split(x)
+    fit, val = S.holdout_split(train)
+    model = QuantileBoost_fit(fit, val, rounds)
+    return model, test
+
+
+def QuantileBoost_fit(fit: DataFrame, val: DataFrame, rounds: int):
+    return LR.QuantileBoost(rounds=rounds).fit(fit, val)
+
+
+@query("quantile_gbm")
+def q_quantile_gbm(x: Inputs) -> DataFrame:
+    """B5 scored one step ahead on the test weeks, with B10 metrics (rows-only check)."""
+    model, test = _quantile_run(x)
+    preds = model.transform(test.select("sku_id", "week", *FEATURE_COLUMNS)).select(
+        "sku_id", "week", "p10", "p50", "p90")
+    row, _ = evaluate_forecast(test, preds, "QuantileBoost (P50)", how="left", inference_ms="batch")
+    return row
+
+
+@query("point_gbm")
+def q_point_gbm(x: Inputs) -> DataFrame:
+    train, test = _split(x)
+    fit, val = S.holdout_split(train)
+    model = LR.point_boost(fit, val, rounds=10)
+    row, _ = evaluate_forecast(test, LR.point_predict(model, test), "GBT (squared)", how="left",
+                               inference_ms="batch")
+    return row
+
+
+@query("feature_importance")
+def q_feature_importance(x: Inputs) -> DataFrame:
+    model, _ = _quantile_run(x, rounds=4)
+    return LR.importance_frame(x.spark, model.feature_importance("p50"))
+
+
+@query("importance_share")
+def q_importance_share(x: Inputs) -> DataFrame:
+    model, _ = _quantile_run(x, rounds=4)
+    return R.importance_share(LR.importance_frame(x.spark, model.feature_importance("p50")), 20)
