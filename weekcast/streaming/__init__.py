@@ -1,0 +1,6 @@
+"""No streaming operators: the analysed workload's drift check is a batch job.
+
+A deployment that receives weekly data continuously can run
+``weekcast.plans.drift_demo`` / ``weekcast.operators.drift`` per micro-batch
+from ``foreachBatch``; no stateful streaming operator is needed for parity.
+"""
