@@ -63,3 +63,29 @@ def exact_median(df: DataFrame, col: str, groups: list[str] | None = None) -> Da
         F.max(F.when(covers(hi_rank), F.col(col))).alias("_hi"))
     return agg.select(*groups, ((F.col("_lo") + F.col("_hi")) / 2).alias(f"median_{col}"))
 
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], groups: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per group, nulls skipped.
+
+    position = q * (n - 1); value = v[floor] + (v[ceil] - v[floor]) * frac,
+    with v the sorted values. Built from (value, count) pairs and running
+    sums, so no task buffers a whole group.
+    """
+    groups = groups or []
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*groups, col).agg(F.count("*").alias("n"))
+    cum = running_sums(counts, groups, col, ["n"])
+    n_all = (counts.groupBy(*groups) if groups else counts.groupBy()).agg(F.sum("n").alias("_n"))
+    cum = cum.join(F.broadcast(n_all), groups, "inner") if groups else one_row_attach(cum, n_all)
+    first_rank = F.col("cum_n") - F.col("n")
+    last_rank = F.col("cum_n") - 1
+    aggs = []
+    for name, q in probs.items():
+        pos = F.lit(q) * (F.col("_n") - 1)
+        for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((first_rank <= r) & (last_rank >= r), F.col(col))).alias(f"_{name}_{side}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_{name}_frac"))
+    agg = cum.groupBy(*groups).agg(*aggs)
+    return agg.select(*groups, *[
+        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_frac")).alias(n)
+        for n in probs])

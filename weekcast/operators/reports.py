@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import CALENDAR_FEATURES, PROMO_HOLIDAY_FEATURES
+from weekcast.operators.cumulative import exact_quantiles
 
 ZERO_RATIO_BINS = 30
 
@@ -34,13 +35,16 @@ def category_mix(meta: DataFrame) -> DataFrame:
 
 
 def demand_box_by_category(features: DataFrame) -> DataFrame:
-    """Exact quartiles and mean of non-null demand per category."""
-    q = F.percentile("demand", F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    agg = features.filter(F.col("category").isNotNull() & F.col("demand").isNotNull()).groupBy("category").agg(
-        q.alias("_q"), F.avg("demand").alias("mean"), F.count("*").alias("n"))
-    return agg.select("category", "n", F.col("_q")[0].alias("min"), F.col("_q")[1].alias("q1"),
-                      F.col("_q")[2].alias("median"), F.col("_q")[3].alias("q3"), F.col("_q")[4].alias("max"),
-                      "mean")
+    """Exact quartiles and mean of non-null demand per category.
+
+    Quantiles come from ``exact_quantiles`` (distributed running sums over
+    value counts), since one category may hold a large share of all rows.
+    """
+    rows = features.filter(F.col("category").isNotNull() & F.col("demand").isNotNull())
+    q = exact_quantiles(rows, "demand", {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0},
+                        ["category"])
+    stats = rows.groupBy("category").agg(F.count("*").alias("n"), F.avg("demand").alias("mean"))
+    return stats.join(q, "category").select("category", "n", "min", "q1", "median", "q3", "max", "mean")
 
 
 def sku_stats(features: DataFrame) -> DataFrame:
@@ -70,10 +74,12 @@ def zero_ratio_histogram(features: DataFrame, bins: int = ZERO_RATIO_BINS) -> Da
 def intermittency_summary(features: DataFrame) -> DataFrame:
     """Per category mean / median / sample std of the zero ratio, 3 dp."""
     z = F.col("zero_demand_ratio_12w")
-    return (features.filter(F.col("category").isNotNull()).groupBy("category").agg(
-        F.round(F.avg(z), 3).alias("mean_zero_ratio"),
-        F.round(F.median(z), 3).alias("median_zero_ratio"),
-        F.round(F.stddev_samp(z), 3).alias("std_zero_ratio")))
+    rows = features.filter(F.col("category").isNotNull())
+    med = exact_quantiles(rows, "zero_demand_ratio_12w", {"median": 0.5}, ["category"])
+    stats = rows.groupBy("category").agg(F.round(F.avg(z), 3).alias("mean_zero_ratio"),
+                                         F.round(F.stddev_samp(z), 3).alias("std_zero_ratio"))
+    return stats.join(med, "category", "left").select(
+        "category", "mean_zero_ratio", F.round("median", 3).alias("median_zero_ratio"), "std_zero_ratio")
 
 
 def demand_by_region(features: DataFrame) -> DataFrame:
