@@ -52,3 +52,11 @@ seen AS (SELECT model_name, version, max(event_time) AS last_event_time FROM ev
 SELECT s.model_name, s.version, s.last_event_time,
        CASE WHEN s.version = l.production_version THEN 'Production' ELSE 'Archived' END AS stage
 FROM seen s JOIN latest l ON l.model_name = s.model_name"""
+
+SQL["version_run_join"] = SQL["current_stage"].rsplit("SELECT s.model_name", 1)[0] + """,
+st AS (SELECT s.model_name, s.version,
+              CASE WHEN s.version = l.production_version THEN 'Production' ELSE 'Archived' END AS stage
+       FROM seen s JOIN latest l ON l.model_name = s.model_name)
+SELECT st.model_name, st.version, st.stage, e.model, round(f.wape, 6) AS wape
+FROM st JOIN ev e ON e.version = st.version
+LEFT JOIN cv_fold f ON 'v' || CAST(f.fold AS VARCHAR) = st.version AND f.model = e.model"""

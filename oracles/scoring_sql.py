@@ -101,3 +101,11 @@ ag AS (SELECT feature, sum(w) AS sw, sum(x * w) AS sx FROM lg GROUP BY feature)
 SELECT a.feature, round(a.sx / a.sw, 6) AS mean,
        round(sqrt(sum(l.w * pow(l.x - a.sx / a.sw, 2)) / a.sw) + 1e-8, 6) AS std
 FROM lg l JOIN ag a USING (feature) GROUP BY a.feature, a.sx, a.sw"""
+
+SQL["replace_inf"] = with_ctes(PANEL, FEATURES) + f""",
+l5 AS (SELECT *, lag(demand_adjusted, 5) OVER ({W}) AS lag_5 FROM features)
+SELECT sku_id, week, round(demand_change_1w, 6) AS demand_change_1w, round(demand_change_4w, 6) AS demand_change_4w
+FROM l5 WHERE lag_2 = 0 OR lag_5 = 0"""
+SQL["clamp_nonneg"] = with_ctes(PANEL, FEATURES) + """
+SELECT sku_id, week, round(CASE WHEN demand_change_1w IS NULL THEN NULL ELSE greatest(0.0, demand_change_1w) END, 6)
+       AS clamped FROM features"""

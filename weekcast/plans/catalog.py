@@ -686,3 +686,37 @@ def q_feature_importance(x: Inputs) -> DataFrame:
 def q_importance_share(x: Inputs) -> DataFrame:
     model, _ = _quantile_run(x, rounds=4)
     return R.importance_share(LR.importance_frame(x.spark, model.feature_importance("p50")), 20)
+
+
+# ------------------------------------------------------------ remaining keys
+from weekcast.functions.columns import clamp_nonneg  # noqa: E402
+from weekcast.operators.features import sku_week  # noqa: E402
+
+
+@query("version_run_join")
+def q_version_run_join(x: Inputs) -> DataFrame:
+    """Each registry version joined to the run that produced it (its fold's champion)."""
+    per_fold = L.walk_forward_cv(x.model_rows)[0]
+    events = G.fold_champion_events(per_fold)
+    stages = G.current_stage(events)
+    runs = per_fold.select(F.concat(F.lit("v"), F.col("fold").cast("string")).alias("version"),
+                           "model", "wape")
+    return (stages.join(events.select("version", "model"), "version", "inner")
+            .join(runs, ["version", "model"], "left")
+            .select("model_name", "version", "stage", "model", "wape"))
+
+
+@query("replace_inf")
+def q_replace_inf(x: Inputs) -> DataFrame:
+    """Velocities whose ratio had a zero denominator come out null, never infinite."""
+    f = x.features
+    zero_den = (F.col("lag_2") == 0) | (F.col("lag_5") == 0)
+    lag5 = F.lag("demand_adjusted", 5).over(sku_week())
+    return (f.withColumn("lag_5", lag5).filter(zero_den)
+            .select("sku_id", "week", "demand_change_1w", "demand_change_4w"))
+
+
+@query("clamp_nonneg")
+def q_clamp_nonneg(x: Inputs) -> DataFrame:
+    """F16: max(0, x) on a signed input (the 1-week velocity), nulls kept."""
+    return x.features.select("sku_id", "week", clamp_nonneg(F.col("demand_change_1w")).alias("clamped"))
