@@ -7,8 +7,6 @@ history in one place beyond the frame.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,9 +49,8 @@ def feature_scaling(features: DataFrame, cols: list[str], lookback: int = LOOKBA
     """Per feature mean and population std (+1e-8) over all sequence cells,
     computed from the rows weighted by their window counts (no array expansion)."""
     wt = sequence_weights(features, lookback)
-    parts = [wt.select(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("x"),
-                       "seq_weight") for c in cols]
-    long = reduce(DataFrame.unionByName, parts).filter(F.col("seq_weight") > 0)
+    wide = wt.select("seq_weight", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    long = wide.unpivot(["seq_weight"], cols, "feature", "x").filter(F.col("seq_weight") > 0)
     agg = long.groupBy("feature").agg(
         F.sum("seq_weight").alias("w"),
         F.sum(F.col("x") * F.col("seq_weight")).alias("sx"))
