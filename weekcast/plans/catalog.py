@@ -248,6 +248,15 @@ def q_rolling_interval(x: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------ evaluation
+def _cv(x: Inputs) -> DataFrame:
+    """Per-fold baseline metrics, materialised once (several keys build on it)."""
+    return x.keep(L.walk_forward_cv(x.model_rows)[0], "cv_per_fold")
+
+
+def _board(x: Inputs) -> DataFrame:
+    return x.keep(L.baseline_leaderboard(x.model_rows), "baseline_leaderboard")
+
+
 def _forecasts(x: Inputs):
     train, test = _split(x)
     return train, test, L.baseline_forecasts(train)
@@ -319,12 +328,13 @@ def q_evaluate_model(x: Inputs) -> DataFrame:
 
 @query("walk_forward_cv")
 def q_walk_forward_cv(x: Inputs) -> DataFrame:
-    return L.walk_forward_cv(x.model_rows)[0]
+    return _cv(x)
 
 
 @query("cv_summary")
 def q_cv_summary(x: Inputs) -> DataFrame:
-    return L.walk_forward_cv(x.model_rows)[1]
+    from weekcast.operators.evaluation import cv_summary
+    return cv_summary(_cv(x))
 
 
 # ------------------------------------------------------------------ drift
@@ -444,13 +454,13 @@ def q_top20_skus(x: Inputs) -> DataFrame:
 
 @query("model_name_filter")
 def q_model_name_filter(x: Inputs) -> DataFrame:
-    board = L.baseline_leaderboard(x.model_rows)
+    board = _board(x)
     return board.select("model", "wape", F.col("model").rlike("Naive").alias("matches"))
 
 
 @query("leaderboard_kpis")
 def q_leaderboard_kpis(x: Inputs) -> DataFrame:
-    return R.leaderboard_kpis(L.baseline_leaderboard(x.model_rows), "RollingInterval", "RollingInterval")
+    return R.leaderboard_kpis(_board(x), "RollingInterval", "RollingInterval")
 
 
 @query("feature_group_label")
@@ -482,13 +492,12 @@ def _metrics_table(x: Inputs) -> DataFrame:
 
 @query("promotion_gate")
 def q_promotion_gate(x: Inputs) -> DataFrame:
-    return G.promotion_gate(_metrics_table(x), SEASONAL_NAIVE_NAME)
+    return G.promotion_gate(x.keep(_metrics_table(x), "metrics_table"), SEASONAL_NAIVE_NAME)
 
 
 @query("current_stage")
 def q_current_stage(x: Inputs) -> DataFrame:
-    per_fold = L.walk_forward_cv(x.model_rows)[0]
-    return G.current_stage(G.fold_champion_events(per_fold))
+    return G.current_stage(G.fold_champion_events(_cv(x)))
 
 
 # ------------------------------------------------------------ batch scoring
@@ -590,7 +599,7 @@ def q_scan_sku_metadata(x: Inputs) -> DataFrame:
 @query("read_leaderboard")
 def q_read_leaderboard(x: Inputs) -> DataFrame:
     path = _scratch(x, "leaderboard")
-    FS.write_leaderboard(L.baseline_leaderboard(x.model_rows), path)
+    FS.write_leaderboard(_board(x), path)
     return FS.read_leaderboard(x.spark, path)
 
 
@@ -696,7 +705,7 @@ from weekcast.operators.features import sku_week  # noqa: E402
 @query("version_run_join")
 def q_version_run_join(x: Inputs) -> DataFrame:
     """Each registry version joined to the run that produced it (its fold's champion)."""
-    per_fold = L.walk_forward_cv(x.model_rows)[0]
+    per_fold = _cv(x)
     events = G.fold_champion_events(per_fold)
     stages = G.current_stage(events)
     runs = per_fold.select(F.concat(F.lit("v"), F.col("fold").cast("string")).alias("version"),
