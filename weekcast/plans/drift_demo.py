@@ -59,14 +59,15 @@ def shock_to_action(x: Inputs, region: str = DEMO_REGION, multiplier: float = DE
     shocked_panel = D.scenario_shock(x.panel, x.meta, region, multiplier, weeks).drop("shocked")
     shocked_features = x.keep(build_features(shocked_panel, x.meta),
                               f"shocked_features-{region}-{multiplier}-{weeks}")
-    shocked = proxy_predictions(shocked_features)
+    shocked = x.keep(proxy_predictions(shocked_features), f"shocked_predictions-{region}-{multiplier}-{weeks}")
     current = in_week_set(shocked, latest_weeks(shocked, weeks))
     predictions = current.select("sku_id", "week", "demand", "p50")
     available = [f for f in DRIFT_FEATURES if f in current.columns and f in reference.columns]
-    ks = D.ks_two_sample(reference, current, available)
+    tag = f"{region}-{multiplier}-{weeks}"
+    ks = x.keep(D.ks_two_sample(reference, current, available), f"drift_ks-{tag}")
     data = D.data_drift_status(ks, len(available))
-    pred = D.prediction_drift(reference, current)
-    perf = D.performance_drift(predictions, baseline_wape)
+    pred = x.keep(D.prediction_drift(reference, current), f"drift_prediction-{tag}")
+    perf = x.keep(D.performance_drift(predictions, baseline_wape), f"drift_performance-{tag}-{baseline_wape}")
     action = D.drift_action(data, pred, perf)
     return ShockRun(reference, shocked, current, predictions, ks, data, pred, perf, action)
 
