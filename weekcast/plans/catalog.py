@@ -729,3 +729,25 @@ def q_replace_inf(x: Inputs) -> DataFrame:
 def q_clamp_nonneg(x: Inputs) -> DataFrame:
     """F16: max(0, x) on a signed input (the 1-week velocity), nulls kept."""
     return x.features.select("sku_id", "week", clamp_nonneg(F.col("demand_change_1w")).alias("clamped"))
+
+
+@query("leaderboard_all_models")
+def q_leaderboard_all_models(x: Inputs) -> DataFrame:
+    """B10 + K1 with the learners: baselines are scored 13 steps ahead, the
+    interval model and the learners one step ahead (test rows carry actual lags);
+    the ``mode`` column says which (rows-only check)."""
+    from weekcast.operators.evaluation import leaderboard
+
+    train, test = _split(x)
+    fit, val = S.holdout_split(train)
+    qmodel = LR.QuantileBoost(rounds=6).fit(fit, val)
+    qpred = qmodel.transform(test.select("sku_id", "week", *FEATURE_COLUMNS)).select("sku_id", "week", "p10", "p50",
+                                                                                      "p90")
+    qrow, _ = evaluate_forecast(test, qpred, "QuantileBoost (P50)", how="left", inference_ms="batch")
+    gmodel = LR.point_boost(fit, val, rounds=10)
+    grow, _ = evaluate_forecast(test, LR.point_predict(gmodel, test), "GBT (squared)", how="left",
+                                inference_ms="batch")
+    base = _board(x).drop("rank")
+    rows = base.withColumn("mode", F.when(F.col("model").rlike("one-step"), "one_step").otherwise("multi_step"))
+    ml = qrow.unionByName(grow).withColumn("mode", F.lit("one_step"))
+    return leaderboard(rows.unionByName(ml)).select("rank", "model", "mode", *METRIC_NAMES, "inference_ms")
