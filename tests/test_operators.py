@@ -113,3 +113,14 @@ def test_latest_version_numeric(spark, tmp_path):
     assert latest == "v10"
     with pytest.raises(FileNotFoundError):
         store.read_feature_version(spark, root, "v3")
+
+
+def test_na_region_survives_csv(spark, tmp_path):
+    from weekcast.sources import files
+
+    meta = spark.createDataFrame([("A", "seasonal", "NA", 250.0, 3)],
+                                 "sku_id string, category string, supplier_region string, unit_cost double, "
+                                 "lead_time_weeks int")
+    path = str(tmp_path / "meta")
+    files.write_csv(meta, path)
+    assert files.scan_sku_metadata(spark, path).first()["supplier_region"] == "NA"
