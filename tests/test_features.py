@@ -81,3 +81,16 @@ def test_one_exchange_for_window_chain(spark):
         rows, "sku_id string, week date, demand double, stockout_flag int, holiday_flag int, promotion_flag int")
     plan = time_features(panel)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_metadata_join_is_broadcast_when_small(spark):
+    import os
+
+    from weekcast.plans.context import Inputs
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("driver test data not present")
+    x = Inputs(spark, sf, materialized=False)
+    plan = build_features(x.panel, x.meta)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan

@@ -655,14 +655,10 @@ from weekcast.operators.evaluation import evaluate_forecast  # noqa: E402
 
 
 def _quantile_run(x: Inputs, rounds: int = 6):
+    """Fit the quantile learner on the training weeks (validation = their last 13 weeks)."""
     train, test = _split(x)
     fit, val = S.holdout_split(train)
-    model = QuantileBoost_fit(fit, val, rounds)
-    return model, test
-
-
-def QuantileBoost_fit(fit: DataFrame, val: DataFrame, rounds: int):
-    return LR.QuantileBoost(rounds=rounds).fit(fit, val)
+    return LR.QuantileBoost(rounds=rounds).fit(fit, val), test
 
 
 @query("quantile_gbm")
