@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.functions.columns import clamp_nonneg
@@ -30,11 +30,13 @@ from weekcast.operators.splits import last_n_rows
 def request_clean(requests: DataFrame) -> DataFrame:
     """trim ids; reject blank ids, horizons outside 1..52 and batches over 500 ids."""
     sku = F.trim(F.col("sku_id"))
-    batch_size = F.count("*").over(Window.partitionBy("batch_id"))
+    # batch sizes by a grouped count (map-side combined) joined back: a huge
+    # batch stays splittable by AQE's skew handling, unlike a window partition
+    sizes = requests.groupBy("batch_id").agg(F.count("*").alias("_batch_size"))
     reason = (F.when(sku.isNull() | (sku == ""), "blank_sku_id")
               .when(~F.col("horizon_weeks").between(1, MAX_HORIZON), "horizon_out_of_range")
-              .when(batch_size > MAX_BATCH_SKUS, "batch_too_large"))
-    return requests.select("request_id", "batch_id", sku.alias("sku_id"), "horizon_weeks", "include_intervals",
+              .when(F.col("_batch_size") > MAX_BATCH_SKUS, "batch_too_large"))
+    return requests.join(sizes, "batch_id", "left").select("request_id", "batch_id", sku.alias("sku_id"), "horizon_weeks", "include_intervals",
                            reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
 
 
