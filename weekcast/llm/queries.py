@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import sketches
-from weekcast.llm.common import ship
+from weekcast.llm import packing, sketches
+from weekcast.llm.common import save, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +16,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> bytes:
+    """A public vocabulary file, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = save(packing.cut(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")), "pieces")
+    return packing.pack(pieces)
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
