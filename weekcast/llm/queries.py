@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import packing, sketches
+from weekcast.llm import packing, sharding, simhash, sketches
 from weekcast.llm.common import save, ship
 
 
@@ -24,17 +24,29 @@ def _vocabulary(name: str) -> bytes:
         return file.read()
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.external_shuffle(_table(spark, sf_dir, "documents"), shards=16)
+    return dealt.select("record.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = save(packing.cut(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")), "pieces")
     return packing.pack(pieces)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link(_table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
