@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import packing, sharding, simhash, sketches
+from weekcast.llm import packing, ppm, sharding, simhash, sketches
 from weekcast.llm.common import save, ship
 
 
@@ -39,6 +39,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link(_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
