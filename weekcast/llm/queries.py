@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import packing, ppm, sharding, simhash, sketches
+from weekcast.llm import langid, packing, ppm, sharding, simhash, sketches, toxicity
 from weekcast.llm.common import save, ship
 
 
@@ -24,6 +24,10 @@ def _vocabulary(name: str) -> bytes:
         return file.read()
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.external_shuffle(_table(spark, sf_dir, "documents"), shards=16)
     return dealt.select("record.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -39,6 +43,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"))
 
@@ -48,9 +56,11 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
