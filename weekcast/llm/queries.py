@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import langid, packing, ppm, sharding, simhash, sketches, toxicity
+from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, toxicity
 from weekcast.llm.common import save, ship
 
 
@@ -47,6 +47,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
