@@ -19,11 +19,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm.winnow import MAX_UNITS
-
 LAST = (1 << 63) - 1            # order of a null doc_id: after every other
 SHARD_BYTES = 4 << 20           # text per shard; one longer text makes a shard of its own
-SHARD_SCHEMA = "shard long, shard_key string, n_docs int, doc_ids binary, lengths binary, texts binary"
+SHARD_SCHEMA = "shard_key string, n_docs int, doc_ids binary, lengths binary, texts binary, carried array<string>"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -96,34 +94,35 @@ def unpack(doc_ids: bytes, lengths: bytes, texts: bytes) -> tuple[np.ndarray, np
 
 
 def _shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    ids: list[int] = []
-    texts: list[bytes] = []
+    held: list[tuple[int, bytes, str | None]] = []
     size = 0
 
     def flush() -> pd.DataFrame:
         key = uuid.uuid4().hex
-        return pd.DataFrame([{"shard": int(key[:15], 16), "shard_key": key, **pack(ids, texts)}])
+        ids, texts, carried = zip(*held, strict=True)
+        return pd.DataFrame([{"shard_key": key, **pack(list(ids), list(texts)), "carried": None if carried[0] is None else list(carried)}])
 
     for frame in frames:
-        for doc, text in zip(frame["ord"], frame["text"], strict=True):
+        for doc, text, carried in zip(frame["ord"], frame["text"], frame["carried"], strict=True):
             raw = bytes(text) if text is not None else b""
-            if ids and size + len(raw) > SHARD_BYTES:
+            if held and size + len(raw) > SHARD_BYTES:
                 yield flush()
-                ids, texts, size = [], [], 0
-            ids.append(int(doc))
-            texts.append(raw)
+                held, size = [], 0
+            held.append((int(doc), raw, carried))
             size += len(raw)
-    if ids:
+    if held:
         yield flush()
 
 
-def shard_documents(docs: DataFrame) -> DataFrame:
+def shard_documents(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Documents as compressed shards of about 4 MB of text, one row each, in scan order (no shuffle).
 
-    Saved at once: later passes join their answers to a shard by its key, so
-    shards must not change when a task is run again.
+    ``carry`` names columns that go along, as one JSON object for each
+    document. Saved at once: later passes join their answers to a shard by its
+    key, so shards must not change when a task is run again.
     """
-    rows = docs.select(order_key().alias("ord"), F.col("text").cast("binary").alias("text"))
+    along = F.to_json(F.struct(*[F.col(f"`{c}`") for c in carry]), {"ignoreNullFields": "false"}) if carry else F.lit(None).cast("string")
+    rows = docs.select(order_key().cast("long").alias("ord"), F.col("text").cast("string").cast("binary").alias("text"), along.alias("carried"))
     return save(rows.mapInPandas(_shards, SHARD_SCHEMA), "shards", compression="none")
 
 
@@ -136,8 +135,3 @@ def spread(n_docs: int, sizes: np.ndarray, most: int = 1 << 19) -> Iterator[tupl
         j = max(i + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield i, j
         i = j
-
-
-def check_units(n: int) -> None:
-    if n >= MAX_UNITS:
-        raise ValueError(f"a single text of {n} units is longer than the {MAX_UNITS} that one shard can address")

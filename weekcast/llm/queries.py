@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, toxicity
+from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, substrings, suffixes, toxicity
 from weekcast.llm.common import save, ship
 
 
@@ -34,6 +34,16 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.deduplicate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = save(packing.cut(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")), "pieces")
     return packing.pack(pieces)
@@ -62,6 +72,8 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
