@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> bytes:
+def vocabulary(name: str) -> bytes:
     """A public vocabulary file, read on the driver."""
     import public_tokenizers
 
@@ -45,7 +45,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = save(packing.cut(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")), "pieces")
+    pieces = save(packing.cut(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken")), "pieces")
     return packing.pack(pieces)
 
 
