@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.llm import tokens
-from weekcast.llm.common import save, ship
+from weekcast.llm.common import LAST, order_key, save, ship
 
 CAPACITY = 1024
 END_ID = 2
@@ -31,6 +31,8 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of every document: its ids and then ``end_id``; null text counts as empty.
 
+    A null doc_id is held as the largest long until ``pack`` gives it back.
+
     Only a document of more than ``capacity`` ids is cut; its first piece takes the remainder.
     """
     ship(docs.sparkSession)
@@ -47,9 +49,9 @@ def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = E
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 rows += [(doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, PIECE_SCHEMA)
+    return docs.select(order_key().cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, PIECE_SCHEMA)
 
 
 # ------------------------------------------------------------------ one group
@@ -217,4 +219,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(*names, "sequence_id", "offset")
+    return out.select(*[F.when(F.col(c) != LAST, F.col(c)).alias(c) if c == "doc_id" else c for c in names], "sequence_id", "offset")

@@ -232,8 +232,10 @@ def _take_out(row, method: Method) -> pd.DataFrame:
         edge = np.flatnonzero(np.diff(np.concatenate(([0], here.astype(np.int8), [0]))))
         spans = [{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)]
         kept = method.kept(body, start[a:b] - bounds[d], end[a:b] - bounds[d], ~here)
-        rows.append((None if ids[d] == LAST else int(ids[d]), b - a, int(here.sum()), len(spans), spans, kept, carried[d]))
-    return pd.DataFrame(rows, columns=["doc_id", "n_units", "n_removed", "n_spans", "spans", "kept", "carried"]).astype({"doc_id": "Int64"})
+        rows.append((b - a, int(here.sum()), len(spans), spans, kept, carried[d]))
+    out = pd.DataFrame(rows, columns=["n_units", "n_removed", "n_spans", "spans", "kept", "carried"])
+    out.insert(0, "doc_id", pd.array([None if k == LAST else k for k in ids.tolist()], dtype="Int64"))
+    return out
 
 
 def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = None) -> DataFrame:

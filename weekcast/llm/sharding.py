@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +42,10 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
     def shuffle(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys = pa.table({"size": table.column("size"), "crc": table.column("text_crc32"), "tie": table.column("tie")})
-        order = pa.compute.sort_indices(keys, [("tie", "ascending"), ("crc", "ascending"), ("size", "ascending")]).to_numpy().copy()
+        order = pc.sort_indices(keys, [("tie", "ascending"), ("crc", "ascending"), ("size", "ascending")]).to_numpy().copy()
         np.random.default_rng([seed, bucket]).shuffle(order)         # Fisher-Yates
+        record = table.column("record")
+        table = table.set_column(table.column_names.index("record"), "record", record.cast(_nullable(record.type)))
         return (table.take(pa.array(order)).drop_columns(["tie"])
                 .append_column("place", pa.array(np.arange(len(order), dtype=np.int64))))
 
@@ -57,6 +60,15 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
             .withColumn("shard", (at % shards).cast("int")).withColumn("slot", F.floor(at / shards).cast("long")).drop("before"))
 
 
+def _nullable(kind: pa.DataType) -> pa.DataType:
+    """The same type with every field nullable, as in a table read back."""
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(pa.field(kind.value_field.name, _nullable(kind.value_type)))
+    return kind
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 

@@ -183,6 +183,8 @@ def similar(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             parts = [F.lit(_signed((mask & ALL) | part)) for part in _parts(mask & ALL, max_bits + 1) if part]
             here = level.filter(F.col("mask") == mask).select("fp", F.explode(F.array(*parts)).alias("mask"))
             rows = here if rows is None else rows.unionByName(here)
+        if rows is None:                # an empty table
+            rows = level.select("fp", "mask")
         return rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("pattern"))
 
     edges: list[DataFrame] = []

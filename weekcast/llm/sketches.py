@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.llm import winnow
-from weekcast.llm.common import order_key, parts_for, spread, text_bytes
+from weekcast.llm.common import LAST, order_key, parts_for, spread, text_bytes
 
 K = 128
 SHINGLE = 5
@@ -113,7 +113,7 @@ EDIT_SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint str
                "near_edited double, near_next double, distinct_shingles double")
 
 
-def _compare(docs: list[tuple[int | None, str]], last_next: str) -> pd.DataFrame:
+def _compare(docs: list[tuple[int, str]], last_next: str) -> pd.DataFrame:
     texts = [t for _, t in docs] + [last_next]
     edited = []
     for own, following in zip(texts, texts[1:], strict=False):
@@ -122,7 +122,7 @@ def _compare(docs: list[tuple[int | None, str]], last_next: str) -> pd.DataFrame
     made = sketch_many([t.encode() for t in texts] + edited)
     own, changed = made[:len(texts)], made[len(texts):]
     return pd.DataFrame({
-        "doc_id": pd.array([d for d, _ in docs], dtype="Int64"), "n_chars": [len(t) for t in texts[:-1]],
+        "doc_id": pd.array([None if d == LAST else d for d, _ in docs], dtype="Int64"), "n_chars": [len(t) for t in texts[:-1]],
         "edited_sha256": [hashlib.sha256(t).hexdigest() for t in edited],
         "fingerprint": [encode(s) for s in own[:-1]], "edited_fingerprint": [encode(s) for s in changed],
         "near_edited": [resemblance(a, b) for a, b in zip(own, changed, strict=False)],
@@ -142,7 +142,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     as the neighbour of its last document.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_key().cast("long").alias("ord"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(order_key().cast("long").alias("ord"), F.col("text").cast("string").alias("text"))
     n = parts_for(text_bytes(docs), BUCKET_BYTES, 2 * spark.sparkContext.defaultParallelism)
     cuts = rows.agg(F.percentile_approx("ord", [(i + 1) / n for i in range(n - 1)] or [0.5], 20 * n)).first()[0] or []
     cuts = np.unique(np.array(cuts, dtype=np.int64))
@@ -165,10 +165,10 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
                 yield copies.assign(bucket=[before[o] for o in copies["ord"]], extra=1)
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[int | None, str]] = []
+        held: list[tuple[int, str]] = []
         bucket, size = None, 0
         for frame in frames:
-            for doc, at, extra, text in zip(frame["doc_id"], frame["bucket"], frame["extra"], frame["text"], strict=True):
+            for doc, at, extra, text in zip(frame["ord"], frame["bucket"], frame["extra"], frame["text"], strict=True):
                 if extra and at != bucket:
                     continue                                # a later copy of the neighbour's id
                 if held and (extra or size > 1 << 20):      # the text at hand is the last one's neighbour
@@ -176,8 +176,8 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
                 bucket = None if extra else at
                 if not extra:
-                    held.append((None if pd.isna(doc) else int(doc), text))
+                    held.append((int(doc), text))
                     size += len(text)
 
-    dealt = rows.mapInPandas(deal, "doc_id long, ord long, text string, bucket int, extra int")
+    dealt = rows.mapInPandas(deal, "ord long, text string, bucket int, extra int")
     return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "extra", "ord", "text").mapInPandas(walk, EDIT_SCHEMA)

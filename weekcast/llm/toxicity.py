@@ -242,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE,
 
     Rows without a label count for nothing; a document labelled both ways is
     toxic. Texts are taken in hash order, whole, until ``most_bytes`` is
-    reached. Without labelled texts every score is 0.5.
+    reached. Without labelled texts nothing is found toxic.
     """
     known = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .filter(train).withColumn("pick", F.xxhash64(F.lit("toxicity"), "doc_id")))
@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE,
             break
         ids.append((r["doc_id"], r["toxic"], r["pick"]))
     if not ids:
-        return Field(np.zeros(FEATURES), 0.0, np.zeros((2, 2)), np.zeros(3))
+        return Field(np.zeros(FEATURES), -20.0, np.zeros((2, 2)), np.array([0.0, 0.0, -20.0]))
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int, pick long").distinct()
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("pick", "doc_id", F.xxhash64("text")).select("text", "toxic").collect()
     return fit_field([r["text"].encode() for r in rows], np.array([r["toxic"] == 1 for r in rows], dtype=bool))
