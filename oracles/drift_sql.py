@@ -132,7 +132,16 @@ cells AS (SELECT c.*, s.n_ref, s.n_cur, s.n_values,
                  s.n_ref * (c.c_ref + c.c_cur) / (s.n_ref + s.n_cur) AS e_ref,
                  s.n_cur * (c.c_ref + c.c_cur) / (s.n_ref + s.n_cur) AS e_cur
           FROM cc c JOIN cs s USING (feature) WHERE s.n_ref > 0 AND s.n_cur > 0)
+, chi AS (
 SELECT feature, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
-       round(sum(pow(c_ref - e_ref, 2) / e_ref + pow(c_cur - e_cur, 2) / e_cur), 6) AS chi2_statistic,
-       max(n_values) - 1 AS dof
-FROM cells GROUP BY feature, n_ref, n_cur"""
+       sum(pow(c_ref - e_ref, 2) / e_ref + pow(c_cur - e_cur, 2) / e_cur) AS x, max(n_values) - 1 AS dof
+FROM cells GROUP BY feature, n_ref, n_cur),
+pv AS (SELECT *, CASE WHEN dof < 1 OR x <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - list_sum(list_transform(
+         range(0, CAST(ceil(x) AS BIGINT) + 200),
+         lambda n: exp((dof / 2.0 + n) * ln(x / 2) - x / 2 - lgamma(dof / 2.0 + n + 1))))) END AS p FROM chi)
+SELECT feature, n_ref, n_cur, round(x, 6) AS chi2_statistic, dof, round(CAST(p AS DOUBLE), 6) AS p_value, p < 0.05 AS drifted FROM pv"""
+SQL["drift_report_flat"] = FULL + """
+SELECT '20240201_000000' AS timestamp, d.status AS data_drift_status, round(d.drift_fraction, 6) AS data_drift_fraction,
+       p.status AS prediction_drift_status, f.status AS performance_drift_status, round(f.recent_wape, 6) AS current_wape,
+       f.baseline_wape, a.action, CAST(NULL AS VARCHAR) AS html_report_url
+FROM dds d, pd p, pf f, act a"""

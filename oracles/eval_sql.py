@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracles.ctes import FEATURES, PANEL, with_ctes
 
+NAIVE, AVERAGE, SEASONAL = "Naive", "MovingAverage(w=4)", "SeasonalNaive"
 METRICS = ["mae", "rmse", "mape", "smape", "wape", "bias", "coverage_80pct", "interval_width"]
 
 MODEL = """
@@ -201,3 +202,25 @@ lb AS (SELECT model, {metric_sql()} FROM scored GROUP BY model
 board AS (SELECT CAST(row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS INTEGER) AS rank, model,
                  round(wape, 6) AS wape, round(rmse, 6) AS rmse, round(bias, 6) AS bias,
                  round(coverage_80pct, 6) AS coverage_80pct, '< 1' AS inference_ms FROM lb)"""
+
+SQL["baseline_modes"] = with_ctes(PANEL, FEATURES, MODEL, baselines_sql("train", "sku_id", "13", ""), SCORED) + f""",
+prior AS (
+  SELECT sku_id, week, demand,
+         coalesce(lag(demand) OVER (PARTITION BY sku_id ORDER BY week), 0.0) AS naive,
+         coalesce(avg(demand) OVER (PARTITION BY sku_id ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), 0.0) AS average
+  FROM model_rows),
+near AS (
+  SELECT t.sku_id, t.week, h.week AS matched_week, h.demand AS matched
+  FROM test t JOIN model_rows h ON h.sku_id = t.sku_id
+  QUALIFY row_number() OVER (PARTITION BY t.sku_id, t.week
+                             ORDER BY abs(date_diff('day', h.week, CAST(t.week - 364 AS DATE))), h.week) = 1),
+one AS (
+  SELECT t.sku_id, t.week, t.demand, p.naive, p.average,
+         CASE WHEN n.matched_week < t.week THEN n.matched ELSE 0.0 END AS seasonal
+  FROM test t JOIN prior p USING (sku_id, week) LEFT JOIN near n USING (sku_id, week)),
+modes AS (
+  SELECT 'multi_step' AS mode, model, {metric_sql()} FROM scored GROUP BY model
+  UNION ALL SELECT 'one_step', '{NAIVE}', {metric_sql(p="naive")} FROM one
+  UNION ALL SELECT 'one_step', '{AVERAGE}', {metric_sql(p="average")} FROM one
+  UNION ALL SELECT 'one_step', '{SEASONAL}', {metric_sql(p="seasonal")} FROM one)
+SELECT mode, model, {rm()} FROM modes"""

@@ -82,3 +82,25 @@ SQL.update(_GATE)
 from oracles.scoring_sql import SQL as _SCORING  # noqa: E402
 
 SQL.update(_SCORING)
+
+# ---------------------------------------------------------------- scale key: one SKU per part
+_BRAND_TYPE = "CAST(brand_no * 6 + type_no AS BIGINT) AS sku_num"
+assert _BRAND_TYPE in PANEL
+
+
+def part_key(sql: str) -> str:
+    """The same query over the panel with one SKU per part."""
+    return sql.replace(_BRAND_TYPE, "CAST(p_partkey AS BIGINT) AS sku_num")
+
+
+from oracles.drift_sql import DRIFT, ks_sql  # noqa: E402
+
+SQL["features_part_key"] = part_key(SQL["model_matrix"])
+SQL["leaderboard_part_key"] = part_key(SQL["leaderboard_sorted"])
+SQL["batch_score_part_key"] = part_key(SQL["batch_score"])
+SQL["ks_part_key"] = part_key(with_ctes(PANEL, FEATURES, """
+model_rows AS (SELECT * FROM features WHERE demand IS NOT NULL),
+recent AS (SELECT * FROM model_rows WHERE week IN (SELECT DISTINCT week FROM model_rows ORDER BY week DESC LIMIT 6))""",
+    ks_sql("features", "recent", DRIFT))) + """
+SELECT feature, n_ref, n_cur, round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value,
+       p_value < 0.05 AS drifted FROM ks"""

@@ -16,11 +16,12 @@ req AS (
          CAST(1 + p_partkey % 60 AS INTEGER) AS horizon_weeks, p_partkey % 5 <> 0 AS include_intervals
   FROM part),
 chk AS (
-  SELECT request_id, batch_id, trim(sku_id) AS sku_id, horizon_weeks, include_intervals,
-         CASE WHEN trim(sku_id) IS NULL OR trim(sku_id) = '' THEN 'blank_sku_id'
-              WHEN NOT (horizon_weeks BETWEEN 1 AND 52) THEN 'horizon_out_of_range'
-              WHEN count(*) OVER (PARTITION BY batch_id) > 500 THEN 'batch_too_large' END AS reason
-  FROM req),
+  SELECT request_id, batch_id, sku AS sku_id, h AS horizon_weeks, coalesce(include_intervals, true) AS include_intervals,
+         count(*) OVER (PARTITION BY batch_id) > 500 AS large_batch,
+         CASE WHEN sku IS NULL OR sku = '' THEN 'blank_sku_id'
+              WHEN NOT (h BETWEEN 1 AND 52) THEN 'horizon_out_of_range' END AS reason
+  FROM (SELECT *, regexp_replace(sku_id, '^\\s+|\\s+$', '', 'g') AS sku,
+               CAST(coalesce(horizon_weeks, 4) AS INTEGER) AS h FROM req)),
 chk2 AS (SELECT *, reason IS NULL AS valid FROM chk),
 latest AS (SELECT * FROM features QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY week DESC) = 1),
 known AS (SELECT * FROM chk2 WHERE valid AND sku_id IN (SELECT sku_id FROM latest)),
@@ -52,7 +53,22 @@ FROM sframe"""
 
 SQL: dict[str, str] = {}
 SQL["request_clean"] = SC + """
-SELECT request_id, batch_id, sku_id, horizon_weeks, include_intervals, reason, valid FROM chk2"""
+SELECT request_id, batch_id, sku_id, horizon_weeks, include_intervals, large_batch, reason, valid FROM chk2"""
+AWKWARD = """
+  SELECT request_id, CAST(1 AS BIGINT) AS batch_id,
+         CASE WHEN request_id % 29 = 0 THEN chr(9) WHEN request_id % 31 = 0 THEN NULL
+              WHEN request_id % 7 = 0 THEN chr(10) || sku_id ELSE sku_id END AS sku_id,
+         CAST(CASE WHEN request_id % 5 = 0 THEN NULL WHEN request_id % 41 = 0 THEN 0 WHEN request_id % 43 = 0 THEN 53
+                   ELSE horizon_weeks END AS INTEGER) AS horizon_weeks,
+         CASE WHEN request_id % 3 = 0 THEN NULL ELSE include_intervals END AS include_intervals
+  FROM plain),
+chk AS ("""
+SQL["request_outcomes"] = SC.replace("\nreq AS (", "\nplain AS (").replace("req AS (\n  SELECT p_partkey", "plain AS (\n  SELECT p_partkey").replace(
+    "\nchk AS (", "\nreq AS (" + AWKWARD, 1) + """
+SELECT c.request_id, CASE WHEN NOT c.valid THEN 'rejected' WHEN l.sku_id IS NULL THEN 'unknown' ELSE 'forecast' END AS outcome,
+       CAST(CASE WHEN c.valid AND l.sku_id IS NOT NULL THEN c.horizon_weeks ELSE 0 END AS BIGINT) AS n_rows,
+       CASE WHEN NOT c.valid THEN c.reason WHEN l.sku_id IS NULL THEN 'SKU not found in feature store' END AS reason
+FROM chk2 c LEFT JOIN latest l ON l.sku_id = c.sku_id"""
 SQL["request_join"] = SC + "\nSELECT request_id, sku_id, horizon_weeks FROM known"
 SQL["unknown_sku_anti_join"] = SC + """
 SELECT request_id, sku_id, 'SKU not found in feature store' AS error FROM chk2
@@ -61,6 +77,12 @@ SQL["fill_features_zero"] = SC + "\nSELECT request_id, step, week, " + ", ".join
     f"round({c}, 6) AS {c}" if c in DOUBLES else c for c in FEATURES_34) + " FROM sframe"
 SQL["batch_score"] = SC + serve("rolling_mean_4w", "rolling_mean_4w - 1.28 * rolling_std_4w",
                                 "rolling_mean_4w + 1.28 * rolling_std_4w")
+SQL["response_nested"] = f"""
+WITH f AS ({SQL["batch_score"]})
+SELECT request_id, sku_id, horizon_weeks, category AS sku_segment,
+       CAST(row_number() OVER (PARTITION BY request_id ORDER BY step) - 1 AS INTEGER) AS place,
+       strftime(week, '%Y-%m-%d') AS week, p10, p50, p90
+FROM f"""
 SQL["interval_fallback"] = SC + serve("rolling_mean_4w", None, None)
 
 # ---------------------------------------------------------------- sources / sinks
@@ -81,15 +103,25 @@ SELECT rank, model, round(wape, 1) AS wape, round(rmse, 1) AS rmse, round(bias,
 from oracles.ctes import W  # noqa: E402
 
 SEQ = ["lag_1", "rolling_mean_4w", "zero_demand_ratio_12w", "promotion_flag"]
-SQL["lookback_sequences"] = with_ctes(PANEL, FEATURES) + f"""
+FRAME = f"({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING)"
+SQL["lookback_sequences"] = with_ctes(PANEL, FEATURES) + f""",
+n AS (SELECT *, row_number() OVER ({W}) AS rn FROM features)
 SELECT * FROM (
-  SELECT sku_id, week,
-         CAST(count(*) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS INTEGER) AS seq_len,
-         first_value(week) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS first_week,
-         last_value(week) OVER ({W} ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING) AS last_week,
-         round(coalesce(lag(lag_1, 1) OVER ({W}), 0.0), 6) AS last_lag_1,
+  SELECT sku_id, week, CAST(count(*) OVER {FRAME} AS INTEGER) AS seq_len,
+         first_value(week) OVER {FRAME} AS first_week, last_value(week) OVER {FRAME} AS last_week,
+         """ + ",\n         ".join(
+    f"round(sum(rn * coalesce(CAST({c} AS DOUBLE), 0.0)) OVER {FRAME}"
+    f" - (rn - 27) * sum(coalesce(CAST({c} AS DOUBLE), 0.0)) OVER {FRAME}, 6) AS sum_{c}" for c in SEQ) + """,
          round(coalesce(demand, 0.0), 6) AS target
-  FROM features) WHERE seq_len = 26"""
+  FROM n) WHERE seq_len = 26"""
+SQL["zero_pad_sequence"] = with_ctes(PANEL, FEATURES) + """,
+last AS (SELECT *, row_number() OVER (PARTITION BY sku_id ORDER BY week DESC) AS back FROM features),
+grid AS (SELECT s.sku_id, CAST(p.place AS INTEGER) AS place
+         FROM (SELECT DISTINCT sku_id FROM features) s CROSS JOIN (SELECT unnest(range(0, 26)) AS place) p)
+SELECT g.sku_id, g.place, """ + ", ".join(f"round(coalesce(CAST(l.{c} AS DOUBLE), 0.0), 6) AS {c}" for c in SEQ) + """
+FROM grid g LEFT JOIN last l ON l.sku_id = g.sku_id AND l.back = 26 - g.place"""
+SQL["feature_store_versions"] = with_ctes(PANEL, FEATURES) + """
+SELECT 'v10' AS feature_version, count(*) AS n_rows, 'v10' AS latest_version FROM features"""
 SQL["feature_scaling"] = with_ctes(PANEL, FEATURES) + """,
 wt AS (SELECT *, greatest(0, least(count(*) OVER (PARTITION BY sku_id) - 1,
                                    row_number() OVER (PARTITION BY sku_id ORDER BY week) - 1 + 26)

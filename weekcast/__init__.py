@@ -6,7 +6,6 @@ functions  fixed vocabularies and Column builders (encodings, calendar, metrics,
 sources    driver tables -> demand panel and SKU dimension; file sinks and the feature store
 operators  DataFrame -> DataFrame operators (features, splits, baselines, metrics, drift, ...)
 plans      compositions of operators (leaderboard, walk-forward CV, shock-to-action)
-streaming  micro-batch wrappers (the analysed workload is batch only)
 """
 
-__all__ = ["functions", "sources", "operators", "plans", "streaming"]
+__all__ = ["functions", "sources", "operators", "plans"]

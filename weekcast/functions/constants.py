@@ -45,6 +45,7 @@ SERVE_P10_FACTOR = 0.7         # served p10 when the model gives none
 SERVE_P90_FACTOR = 1.3         # served p90 when the model gives none
 MAX_HORIZON = 52
 MAX_BATCH_SKUS = 500
+DEFAULT_HORIZON = 4
 
 # --- fixed values: drift ----------------------------------------------------
 DRIFT_FEATURES = [

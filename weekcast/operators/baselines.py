@@ -62,10 +62,10 @@ def nearest_asof(targets: DataFrame, history: DataFrame, keys=("sku_id",),
     """For each target row, the history row of the same group whose week is
     nearest to ``target_col`` by absolute days; ties go to the earlier week.
 
-    History and targets are unioned and sorted once per group; the previous
-    and next history rows come from two running window frames, so the cost is
-    one sort per group, with no pairing of targets and history rows and no cap
-    on how far apart they may be.
+    History and targets are unioned; the previous and next history rows come
+    from two running frames, one in each direction of time. The cost is one
+    shuffle and two sorts per group, with no pairing of targets and history
+    rows and no cap on how far apart they may be.
     """
     hist = history.select(*keys, F.col("week").alias("_t"), F.lit(0).alias("_kind"),
                           F.struct(F.col("week").alias("w"), F.col(value_col).alias("v")).alias("_h"),
@@ -74,7 +74,8 @@ def nearest_asof(targets: DataFrame, history: DataFrame, keys=("sku_id",),
                          F.lit(None).cast("struct<w:date,v:double>").alias("_h"), "week")
     w = Window.partitionBy(*keys).orderBy("_t", "_kind")
     before = F.last("_h", True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("_h", True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    back = Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_kind").desc())
+    after = F.last("_h", True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     both = hist.unionByName(tgt).select("*", before.alias("_prev"), after.alias("_next"))
     d_prev = F.datediff(F.col("_t"), F.col("_prev.w"))
     d_next = F.datediff(F.col("_next.w"), F.col("_t"))

@@ -1,8 +1,8 @@
 """Exact running sums over ordered values without a single-task window.
 
 ``running_sums`` orders rows by ``order_col`` inside each group in two
-levels: rows are cut into value buckets at approximate quantiles (a small
-broadcast row of cut points per group), bucket totals get exclusive prefix
+levels: rows are cut into value buckets at approximate quantiles (one row of
+cut points per group), bucket totals get exclusive prefix
 offsets from a window over the (group, bucket) table -- at most
 ``buckets`` rows per group -- and each bucket then runs its own window.
 Bucket edges only balance the work; the sums are exact.
@@ -13,7 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+
+def default_buckets(df: DataFrame) -> int:
+    """Twice the session's tasks at a time: every group keeps the whole cluster busy."""
+    spark = df.sparkSession
+    return 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def one_row_attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
@@ -22,23 +26,24 @@ def one_row_attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
 
 
 def running_sums(df: DataFrame, groups: list[str], order_col: str, sum_cols: list[str],
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with order_col <= current, per group.
 
     ``df`` must hold one row per (groups, order_col) value (aggregate first).
     """
+    buckets = buckets or default_buckets(df)
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     gkey = groups if groups else []
     cut_src = df.groupBy(*gkey) if gkey else df.groupBy()
     cuts = cut_src.agg(F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
-    tagged = (df.join(F.broadcast(cuts), gkey, "inner") if gkey else one_row_attach(df, cuts))
+    tagged = (df.join(cuts, gkey, "inner") if gkey else one_row_attach(df, cuts))
     tagged = tagged.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))).drop("_cuts")
     totals = tagged.groupBy(*gkey, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
     before = Window.partitionBy(*gkey).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*gkey, "_bucket", *[
         F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
     running = Window.partitionBy(*gkey, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(F.broadcast(offsets), [*gkey, "_bucket"], "inner")
+    out = tagged.join(offsets, [*gkey, "_bucket"], "inner")
     return out.select(*[c for c in tagged.columns if c != "_bucket"], *[
         (F.col(f"_o_{c}") + F.sum(c).over(running)).alias(f"cum_{c}") for c in sum_cols])
 
@@ -52,7 +57,7 @@ def exact_median(df: DataFrame, col: str, groups: list[str] | None = None) -> Da
     counts = df.filter(F.col(col).isNotNull()).groupBy(*groups, col).agg(F.count("*").alias("n"))
     cum = running_sums(counts, groups, col, ["n"])
     n_all = (counts.groupBy(*groups) if groups else counts.groupBy()).agg(F.sum("n").alias("_n"))
-    cum = cum.join(F.broadcast(n_all), groups, "inner") if groups else one_row_attach(cum, n_all)
+    cum = cum.join(n_all, groups, "inner") if groups else one_row_attach(cum, n_all)
     lo_rank = F.floor((F.col("_n") - 1) / 2)       # 0-based middle ranks
     hi_rank = F.ceil((F.col("_n") - 1) / 2)
     first_rank = F.col("cum_n") - F.col("n")
@@ -76,7 +81,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], groups: li
     counts = df.filter(F.col(col).isNotNull()).groupBy(*groups, col).agg(F.count("*").alias("n"))
     cum = running_sums(counts, groups, col, ["n"])
     n_all = (counts.groupBy(*groups) if groups else counts.groupBy()).agg(F.sum("n").alias("_n"))
-    cum = cum.join(F.broadcast(n_all), groups, "inner") if groups else one_row_attach(cum, n_all)
+    cum = cum.join(n_all, groups, "inner") if groups else one_row_attach(cum, n_all)
     first_rank = F.col("cum_n") - F.col("n")
     last_rank = F.col("cum_n") - 1
     aggs = []

@@ -26,7 +26,6 @@ from weekcast.operators.cumulative import one_row_attach, running_sums
 from weekcast.operators.evaluation import wape_column
 from weekcast.operators.splits import in_week_set, latest_weeks
 
-KS_BUCKETS = 64
 
 
 
@@ -39,7 +38,7 @@ def _long(df: DataFrame, cols: list[str], side: int) -> DataFrame:
 
 
 def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
-                  buckets: int = KS_BUCKETS, cur_features: list[str] | None = None) -> DataFrame:
+                  buckets: int | None = None, cur_features: list[str] | None = None) -> DataFrame:
     """Per feature n_ref, n_cur, ks_statistic, p_value.
 
     ``cur_features`` names the current-side columns when they differ
@@ -51,7 +50,7 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
     both = _long(reference, features, 0).unionByName(_long(cur, features, 1))
     counts = both.groupBy("feature", "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
-    sizes = F.broadcast(counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur")))
+    sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     cum = running_sums(counts, ["feature"], "value", ["c_ref", "c_cur"], buckets)
     cdf = cum.join(sizes, "feature").select(
         "feature", "n_ref", "n_cur",
@@ -76,10 +75,16 @@ def data_drift_status(ks: DataFrame, n_available: int) -> DataFrame:
                       status.alias("status"))
 
 
-def prediction_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """KS on p50 (or demand when a side has no p50); 'skipped' if a side is empty."""
+def prediction_drift(reference: DataFrame, current: DataFrame, like_for_like: bool = False) -> DataFrame:
+    """KS on p50 (or demand when a side has no p50); 'skipped' if a side is empty.
+
+    ``like_for_like`` compares predictions with predictions only: 'skipped'
+    when just one side has them.
+    """
     ref_col = "p50" if "p50" in reference.columns else "demand"
     cur_col = "p50" if "p50" in current.columns else "demand"
+    if like_for_like and ref_col != cur_col:
+        current = current.limit(0)
     ks = ks_two_sample(reference.select(F.col(ref_col).alias("x")), current.select(F.col(cur_col).alias("x")), ["x"])
     one = reference.sparkSession.range(1).select(F.lit(1).alias("_k"))
     out = one.join(F.broadcast(ks.withColumn("_k", F.lit(1))), "_k", "left")
@@ -90,14 +95,16 @@ def prediction_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 def performance_drift(predictions: DataFrame, baseline_wape: float,
                       weeks: int = PERF_RECENT_WEEKS) -> DataFrame:
-    """WAPE on the last ``weeks`` distinct weeks vs the baseline WAPE."""
+    """WAPE on the last ``weeks`` distinct weeks vs the baseline WAPE; 'skipped' without predictions or rows."""
+    if "p50" not in predictions.columns:
+        predictions = predictions.withColumn("p50", F.lit(None).cast("double")).limit(0)
     recent = in_week_set(predictions, latest_weeks(predictions, weeks))
     wape = wape_column()
     base = F.lit(float(baseline_wape))
     deg = (F.col("recent_wape") - base) / (base + 1e-8)
     dropped = F.count(F.when(F.col("demand").isNull() | F.col("p50").isNull(), 1))
-    return recent.agg(wape.alias("recent_wape"), dropped.alias("n_dropped_pairs")).select(
-        F.when(deg > PERF_DEGRADATION_THRESHOLD, "retrain").otherwise("ok").alias("status"),
+    return recent.agg(wape.alias("recent_wape"), dropped.alias("n_dropped_pairs"), F.count("*").alias("n_rows")).select(
+        (F.when(F.col("n_rows") == 0, "skipped").when(deg > PERF_DEGRADATION_THRESHOLD, "retrain").otherwise("ok")).alias("status"),
         base.alias("baseline_wape"), "recent_wape",
         F.round(deg * 100, 2).alias("degradation_pct"),
         F.lit(PERF_DEGRADATION_THRESHOLD * 100).alias("threshold_pct"), "n_dropped_pairs")

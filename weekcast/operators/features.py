@@ -41,8 +41,9 @@ def _prev(n: int):
 def fill_gaps(df: DataFrame, col: str = "demand", out: str = "demand_filled") -> DataFrame:
     """Forward fill, then back fill what is still missing (leading nulls)."""
     past = sku_week().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    future = sku_week().rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return df.withColumn(out, F.coalesce(F.last(col, True).over(past), F.first(col, True).over(future)))
+    # after the forward fill only leading nulls are left: the group's first value fills them all
+    whole = sku_week().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumn(out, F.coalesce(F.last(col, True).over(past), F.first(col, True).over(whole)))
 
 
 def impute_stockout(df: DataFrame, window: int = STOCKOUT_LOOKBACK,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weekcast.functions.columns import clamp_nonneg
 from weekcast.functions.constants import (
+    DEFAULT_HORIZON,
     FEATURE_COLUMNS,
     INTERVAL_Z,
     MAX_BATCH_SKUS,
@@ -24,25 +25,35 @@ from weekcast.functions.constants import (
     SERVE_P90_FACTOR,
 )
 from weekcast.operators.baselines import expand_horizon
-from weekcast.operators.splits import last_n_rows
 
 
-def request_clean(requests: DataFrame) -> DataFrame:
-    """trim ids; reject blank ids, horizons outside 1..52 and batches over 500 ids."""
-    sku = F.trim(F.col("sku_id"))
+def request_clean(requests: DataFrame, max_batch: int | None = None) -> DataFrame:
+    """strip white space from ids, apply the defaults (4 weeks, intervals on), reject
+    blank ids and horizons outside 1..52.
+
+    ``large_batch`` labels requests of batches over 500 ids; they are rejected
+    only where the caller sets ``max_batch``.
+    """
+    sku = F.regexp_replace("sku_id", r"^\s+|\s+$", "")
+    horizon = F.coalesce("horizon_weeks", F.lit(DEFAULT_HORIZON)).cast("int")
     # batch sizes by a grouped count (map-side combined) joined back: a huge
     # batch stays splittable by AQE's skew handling, unlike a window partition
     sizes = requests.groupBy("batch_id").agg(F.count("*").alias("_batch_size"))
     reason = (F.when(sku.isNull() | (sku == ""), "blank_sku_id")
-              .when(~F.col("horizon_weeks").between(1, MAX_HORIZON), "horizon_out_of_range")
-              .when(F.col("_batch_size") > MAX_BATCH_SKUS, "batch_too_large"))
-    return requests.join(sizes, "batch_id", "left").select("request_id", "batch_id", sku.alias("sku_id"), "horizon_weeks", "include_intervals",
-                           reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
+              .when(~horizon.between(1, MAX_HORIZON), "horizon_out_of_range"))
+    if max_batch is not None:
+        reason = reason.when(F.col("_batch_size") > max_batch, "batch_too_large")
+    return requests.join(sizes, "batch_id", "left").select(
+        "request_id", "batch_id", sku.alias("sku_id"), horizon.alias("horizon_weeks"),
+        F.coalesce("include_intervals", F.lit(True)).alias("include_intervals"),
+        F.coalesce(F.col("_batch_size") > MAX_BATCH_SKUS, F.lit(False)).alias("large_batch"),
+        reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
 
 
 def latest_rows(features: DataFrame) -> DataFrame:
-    """Each SKU's last feature row (top-1 per SKU)."""
-    return last_n_rows(features, 1)
+    """Each SKU's last feature row: a grouped maximum, combined map-side before the shuffle."""
+    row = F.struct(*features.columns)
+    return features.groupBy("sku_id").agg(F.max_by(row, "week").alias("_row")).select("_row.*")
 
 
 def split_known(valid: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,16 +104,33 @@ def interval_fallback(scored: DataFrame) -> DataFrame:
 
 
 def batch_score(requests: DataFrame, features: DataFrame,
-                model: Callable[[DataFrame], DataFrame] = rolling_stats_model):
-    """Requests -> (forecast rows, rejected requests, unknown SKUs)."""
-    checked = request_clean(requests)
+                model: Callable[[DataFrame], DataFrame] = rolling_stats_model, max_batch: int | None = None):
+    """Requests -> (forecast rows, rejected requests, unknown SKUs).
+
+    Every request is in exactly one of the three. The inner join with the
+    latest rows drops unknown SKUs; batches of any size are scored unless
+    ``max_batch`` is set.
+    """
+    checked = request_clean(requests, max_batch)
     latest = latest_rows(features)
-    known, unknown = split_known(checked.filter("valid"), latest)
-    forecasts = interval_fallback(model(scoring_frame(known, latest)))
+    valid = checked.filter("valid")
+    _, unknown = split_known(valid, features.select("sku_id").distinct())
+    forecasts = interval_fallback(model(scoring_frame(valid, latest)))
     rejected = checked.filter(~F.col("valid")).select("request_id", "sku_id", "reason")
     return forecasts, rejected, unknown
 
 
+def request_outcomes(requests: DataFrame, features: DataFrame, **options) -> DataFrame:
+    """(request_id, outcome, n_rows, reason) for every request: forecast, rejected or unknown."""
+    forecasts, rejected, unknown = batch_score(requests, features, **options)
+    none = F.lit(None).cast("string")
+    return (forecasts.groupBy("request_id").agg(F.count("*").alias("n_rows"))
+            .select("request_id", F.lit("forecast").alias("outcome"), "n_rows", none.alias("reason"))
+            .unionByName(rejected.select("request_id", F.lit("rejected").alias("outcome"), F.lit(0).cast("long").alias("n_rows"), "reason"))
+            .unionByName(unknown.select("request_id", F.lit("unknown").alias("outcome"), F.lit(0).cast("long").alias("n_rows"),
+                                        F.col("error").alias("reason"))))
+
+
 def response_nested(forecasts: DataFrame) -> DataFrame:
     """One row per request with its week forecasts in week order."""
     item = F.struct(F.col("step"), F.date_format("week", "yyyy-MM-dd").alias("week"), "p10", "p50", "p90")

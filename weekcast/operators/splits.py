@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import CV_FOLDS, TEST_WEEKS
-from weekcast.operators.cumulative import one_row_attach
 
 
 def drop_null_target(df: DataFrame, target: str = "demand") -> DataFrame:
@@ -46,11 +45,12 @@ def cutoff_week(df: DataFrame, n: int = TEST_WEEKS) -> DataFrame:
 
 
 def holdout_split(df: DataFrame, n: int = TEST_WEEKS) -> tuple[DataFrame, DataFrame]:
-    """V1/V2: train = weeks before the cutoff, test = the cutoff and after."""
-    tagged = one_row_attach(df, cutoff_week(df, n))
-    train = tagged.filter(F.col("week") < F.col("cutoff_week")).drop("cutoff_week")
-    test = tagged.filter(F.col("week") >= F.col("cutoff_week")).drop("cutoff_week")
-    return train, test
+    """V1/V2: train = weeks before the cutoff, test = the cutoff and after.
+
+    The cutoff is a scalar subquery, so the week filter reaches the scan.
+    """
+    cutoff = cutoff_week(df, n).scalar()
+    return df.filter(F.col("week") < cutoff), df.filter(F.col("week") >= cutoff)
 
 
 def week_positions(df: DataFrame) -> DataFrame:

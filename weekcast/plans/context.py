@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weekcast.operators.features import build_features
-from weekcast.plans.sizing import sized_broadcast
 from weekcast.sources import panel as P
 from weekcast.sources import store, tables
 
@@ -26,9 +26,9 @@ class Inputs:
         fp = store.input_fingerprint(self.spark, [f"{base}/lineitem.parquet", f"{base}/part.parquet"])
         return f"{self.key}-{fp}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Materialise a reused intermediate (see ``weekcast.sources.store``)."""
-        return store.materialize(df, name, self.fingerprint) if self.materialized else df
+    def keep(self, build: Callable[[], DataFrame], name: str) -> DataFrame:
+        """A shared input, stored once (see ``weekcast.sources.store``); built only where the store lacks it."""
+        return store.materialize(self.spark, build, name, self.fingerprint) if self.materialized else build()
 
     @cached_property
     def lineitem(self) -> DataFrame:
@@ -44,20 +44,19 @@ class Inputs:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return P.week_calendar(self.weekly)
+        return P.week_calendar(self.lineitem)
 
     @cached_property
     def panel(self) -> DataFrame:
-        return self.keep(P.observed_demand(P.dense_panel(self.weekly, self.calendar)), "panel")
+        return self.keep(lambda: P.observed_demand(P.dense_panel(self.weekly, self.calendar)), "panel")
 
     @cached_property
     def meta(self) -> DataFrame:
-        meta = self.keep(P.sku_dimension(self.part, self.panel, self.key), "sku_dimension")
-        return sized_broadcast(meta) if self.materialized else meta
+        return self.keep(lambda: P.sku_dimension(self.part, self.panel, self.key), "sku_dimension")
 
     @cached_property
     def features(self) -> DataFrame:
-        return self.keep(build_features(self.panel, self.meta), "features")
+        return self.keep(lambda: build_features(self.panel, self.meta), "features")
 
     @cached_property
     def model_rows(self) -> DataFrame:

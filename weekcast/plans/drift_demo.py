@@ -18,7 +18,9 @@ from weekcast.functions.constants import (
     DRIFT_FEATURES,
     EPSILON,
     PERF_DEGRADATION_THRESHOLD,
+    PVALUE_THRESHOLD,
 )
+from weekcast.functions.stats import chi2_pvalue
 from weekcast.operators import drift as D
 from weekcast.operators.cumulative import exact_median, one_row_attach
 from weekcast.operators.features import build_features
@@ -56,18 +58,16 @@ def proxy_predictions(features: DataFrame) -> DataFrame:
 def shock_to_action(x: Inputs, region: str = DEMO_REGION, multiplier: float = DEMO_MULTIPLIER,
                     weeks: int = DEMO_WEEKS, baseline_wape: float = DEMO_BASELINE_WAPE) -> ShockRun:
     reference = x.features
-    shocked_panel = D.scenario_shock(x.panel, x.meta, region, multiplier, weeks).drop("shocked")
-    shocked_features = x.keep(build_features(shocked_panel, x.meta),
+    shocked_features = x.keep(lambda: build_features(D.scenario_shock(x.panel, x.meta, region, multiplier, weeks).drop("shocked"), x.meta),
                               f"shocked_features-{region}-{multiplier}-{weeks}")
-    shocked = x.keep(proxy_predictions(shocked_features), f"shocked_predictions-{region}-{multiplier}-{weeks}")
+    shocked = x.keep(lambda: proxy_predictions(shocked_features), f"shocked_predictions-{region}-{multiplier}-{weeks}")
     current = in_week_set(shocked, latest_weeks(shocked, weeks))
     predictions = current.select("sku_id", "week", "demand", "p50")
     available = [f for f in DRIFT_FEATURES if f in current.columns and f in reference.columns]
-    tag = f"{region}-{multiplier}-{weeks}"
-    ks = x.keep(D.ks_two_sample(reference, current, available), f"drift_ks-{tag}")
+    ks = D.ks_two_sample(reference, current, available)
     data = D.data_drift_status(ks, len(available))
-    pred = x.keep(D.prediction_drift(reference, current), f"drift_prediction-{tag}")
-    perf = x.keep(D.performance_drift(predictions, baseline_wape), f"drift_performance-{tag}-{baseline_wape}")
+    pred = D.prediction_drift(reference, current)
+    perf = D.performance_drift(predictions, baseline_wape)
     action = D.drift_action(data, pred, perf)
     return ShockRun(reference, shocked, current, predictions, ks, data, pred, perf, action)
 
@@ -96,19 +96,21 @@ def rolling_wape_timeline(predictions: DataFrame, baseline_wape: float = DEMO_BA
 
 
 def chi_square_drift(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
-    """Pearson chi-square statistic of the side x value contingency table."""
+    """Pearson chi-square test of the side x value contingency table, with its decision."""
     from weekcast.operators.drift import _long
 
     both = _long(reference, features, 0).unionByName(_long(current, features, 1))
     counts = both.groupBy("feature", "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
-    sizes = F.broadcast(counts.groupBy("feature").agg(
-        F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"), F.count("*").alias("n_values")))
+    sizes = counts.groupBy("feature").agg(
+        F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"), F.count("*").alias("n_values"))
     cells = counts.join(sizes, "feature").filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     n = F.col("n_ref") + F.col("n_cur")
     col_total = F.col("c_ref") + F.col("c_cur")
     e_ref = F.col("n_ref") * col_total / n
     e_cur = F.col("n_cur") * col_total / n
     term = (F.col("c_ref") - e_ref) ** 2 / e_ref + (F.col("c_cur") - e_cur) ** 2 / e_cur
-    return cells.groupBy("feature", "n_ref", "n_cur").agg(
+    test = cells.groupBy("feature", "n_ref", "n_cur").agg(
         F.sum(term).alias("chi2_statistic"), (F.max("n_values") - 1).alias("dof"))
+    p = chi2_pvalue(F.col("chi2_statistic"), F.col("dof"))
+    return test.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < PVALUE_THRESHOLD)

@@ -37,18 +37,17 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; create a scratch one only when unset.
+    """The session's checkpoint folder, which driver and executors share.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Tests and local runs get a fresh temporary folder.
+    ``spark.checkpoint.dir`` names it on a cluster. Only a local master, where
+    everything runs on one machine, gets a temporary folder when it names none.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="weekcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            configured = tempfile.mkdtemp(prefix="weekcast-ckpt-")
+        sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()

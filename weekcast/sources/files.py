@@ -7,9 +7,6 @@ null token other than the empty string).
 
 from __future__ import annotations
 
-import json
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,13 +78,10 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def drop_hidden_truth(panel: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Publish the history without ``true_demand``; keep a copy with it."""
-    public = panel.select(*[f.name for f in DEMAND_SCHEMA.fields])
-    truth = panel.select(*[f.name for f in DEMAND_TRUTH_SCHEMA.fields])
-    write_csv(public, f"{path}/demand_history")
-    write_csv(truth, f"{path}/demand_history_with_true")
-    return public, truth
+def publish_history(panel: DataFrame, path: str, with_truth: bool = False) -> str:
+    """The demand history as CSV, without ``true_demand`` unless asked for."""
+    schema = DEMAND_TRUTH_SCHEMA if with_truth else DEMAND_SCHEMA
+    return write_csv(panel.select(*[f.name for f in schema.fields]), path)
 
 
 def write_leaderboard(board: DataFrame, path: str) -> str:
@@ -122,18 +116,22 @@ def drift_summary(timestamp: str, baseline_wape: float, ks: DataFrame, data: Dat
         "prediction_drift", "performance_drift", "action")
 
 
-def write_drift_summary(summary: DataFrame, root: str) -> str:
-    """S8 sink: append one JSON summary named by its timestamp."""
-    ts = summary.select("timestamp").first()[0] or time.strftime("%Y%m%d_%H%M%S", time.gmtime())
-    path = f"{root.rstrip('/')}/drift_summary_{ts}"
+def write_drift_summary(summary: DataFrame, root: str, timestamp: str) -> str:
+    """S8 sink: one JSON summary more, in a folder named by its timestamp."""
+    path = f"{root.rstrip('/')}/drift_summary_{timestamp}"
     summary.coalesce(1).write.mode("overwrite").json(path)
     return path
 
 
 def latest_drift_summary(spark: SparkSession, root: str) -> DataFrame:
-    """S8 reader: the summary with the greatest timestamp."""
-    all_rows = spark.read.schema(DRIFT_SUMMARY_SCHEMA).json(f"{root.rstrip('/')}/drift_summary_*")
-    return all_rows.orderBy(F.col("timestamp").desc()).limit(1)
+    """S8 reader: the summary with the greatest timestamp; no row where none was written."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/drift_summary_*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    if not found:
+        return spark.createDataFrame([], DRIFT_SUMMARY_SCHEMA)
+    newest = max(str(f.getPath()) for f in found)
+    return spark.read.schema(DRIFT_SUMMARY_SCHEMA).json(newest)
 
 
 def drift_report_flat(summary: DataFrame) -> DataFrame:
@@ -149,8 +147,3 @@ def drift_report_flat(summary: DataFrame) -> DataFrame:
         F.col("performance_drift.baseline_wape").alias("baseline_wape"),
         F.coalesce("action", unknown).alias("action"),
         F.lit(None).cast("string").alias("html_report_url"))
-
-
-def to_json_text(df: DataFrame) -> list[str]:
-    """Small helper for tests: JSON lines of a small result."""
-    return [json.dumps(r.asDict(recursive=True), default=str) for r in df.collect()]

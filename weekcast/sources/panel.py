@@ -13,11 +13,10 @@ Two SKU keys are supported:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.operators.cumulative import one_row_attach
-from weekcast.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from weekcast.functions.constants import (
     BRAND_REGION,
     HOLIDAY_ISO_WEEKS,
@@ -31,7 +30,6 @@ PANEL_COLUMNS = [
     "sku_num", "sku_id", "week", "week_idx", "true_demand", "stockout_flag",
     "missing_flag", "demand", "holiday_flag", "promotion_flag",
 ]
-DEMAND_COLUMNS = ["sku_id", "week", "demand", "stockout_flag", "holiday_flag", "promotion_flag"]
 
 
 def _brand_no() -> Column:
@@ -85,13 +83,15 @@ def weekly_quantities(lineitem: DataFrame, part: DataFrame, key: str = "brand_ty
     return lines.groupBy("sku_num", "week").agg(F.sum("l_quantity").alias("qty"))
 
 
-def week_calendar(weekly: DataFrame) -> DataFrame:
-    """Every Monday from the first to the last active week, with flags.
+def week_calendar(lineitem: DataFrame) -> DataFrame:
+    """Every Monday from the first to the last shipping week, with flags.
 
-    One row per week; the row count is bounded by the date span (52 per
-    year), which is what makes broadcasting it safe.
+    Two dates from one pass over ``l_shipdate``. One row per week; the row
+    count is bounded by the date span (52 per year), which is what makes
+    broadcasting it safe.
     """
-    bounds = weekly.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
+    bounds = lineitem.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi")).select(
+        monday_of(F.col("lo")).alias("lo"), monday_of(F.col("hi")).alias("hi"))
     cal = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week"))
     return calendar_flags(cal)
 
@@ -114,20 +114,19 @@ def calendar_flags(cal: DataFrame) -> DataFrame:
 def dense_panel(weekly: DataFrame, calendar: DataFrame) -> DataFrame:
     """Every active SKU x every calendar week, zero where nothing shipped.
 
-    Each SKU row expands to its weeks with a generator (no pair join); the
-    expanded grid and the weekly quantities are unioned and summed once,
-    after a single hash exchange on ``sku_id`` that all later per-SKU
-    windows reuse.
+    Only the sparse weekly rows are shuffled, once, by ``sku_id``; all later
+    per-SKU windows reuse that exchange. Then each row stands for its own week
+    and the empty weeks up to the SKU's next active one (the first row also
+    for the weeks before it) and expands to them with a generator.
     """
     bounds = calendar.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
-    skus = weekly.select("sku_num").distinct()
-    grid = (one_row_attach(skus, bounds)
-            .select("sku_num", F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week"),
-                    F.lit(None).cast("double").alias("qty")))
-    both = weekly.select("sku_num", "week", "qty").unionByName(grid)
-    both = both.withColumn("sku_id", sku_id_of(F.col("sku_num"))).repartition("sku_id")
-    dense = both.groupBy("sku_id", "sku_num", "week").agg(
-        F.coalesce(F.sum("qty"), F.lit(0.0)).alias("true_demand"))
+    per_sku = Window.partitionBy("sku_id").orderBy("active")
+    sparse = weekly.select(sku_id_of(F.col("sku_num")).alias("sku_id"), "sku_num", F.col("week").alias("active"), "qty")
+    spans = one_row_attach(sparse.select("*", F.lag("active").over(per_sku).alias("before"), F.lead("active").over(per_sku).alias("after")), bounds)
+    first = F.when(F.col("before").isNull(), F.col("lo")).otherwise(F.col("active"))
+    last = F.when(F.col("after").isNull(), F.col("hi")).otherwise(F.date_sub("after", 7))
+    dense = (spans.select("sku_id", "sku_num", "active", "qty", F.explode(F.sequence(first, last, F.expr("interval 7 days"))).alias("week"))
+             .select("week", "sku_id", "sku_num", F.when(F.col("week") == F.col("active"), F.col("qty")).otherwise(F.lit(0.0)).alias("true_demand")))
     return dense.join(F.broadcast(calendar), "week", "inner")
 
 
@@ -143,15 +142,8 @@ def observed_demand(panel: DataFrame) -> DataFrame:
             .select(*PANEL_COLUMNS))
 
 
-def build_panel(lineitem: DataFrame, part: DataFrame, key: str = "brand_type") -> DataFrame:
-    """Driver tables -> observed demand panel."""
-    weekly = weekly_quantities(lineitem, part, key)
-    return observed_demand(dense_panel(weekly, week_calendar(weekly)))
-
-
-def sku_dimension(part: DataFrame, panel: DataFrame, key: str = "brand_type",
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """One row per SKU present in the panel.
+def sku_dimension(part: DataFrame, active: DataFrame, key: str = "brand_type") -> DataFrame:
+    """One row per SKU of the panel (``active`` has their ``sku_num``).
 
     unit_cost is avg(p_retailprice) rounded half-up to cents, computed in
     integer cents so every engine rounds the same way.
@@ -171,17 +163,14 @@ def sku_dimension(part: DataFrame, panel: DataFrame, key: str = "brand_type",
         F.min(region).alias("supplier_region"),
         F.floor((F.sum(cents) * 2 + F.count("*")) / (F.count("*") * 2)).alias("cost_cents"),
     )
-    present = panel.select("sku_num").distinct()
-    meta = (per_sku.join(present, "sku_num", "left_semi")
+    present = active.select("sku_num").distinct()
+    return (per_sku.join(present, "sku_num", "left_semi")
             .select(
                 sku_id_of(F.col("sku_num")).alias("sku_id"),
                 "category", "supplier_region",
                 (F.col("cost_cents") / F.lit(100.0)).alias("unit_cost"),
                 (F.lit(1) + F.col("sku_num") % 8).cast("int").alias("lead_time_weeks"),
             ))
-    # The semi join only removes rows, so the part-side SKU count (a scan of
-    # the part table alone) bounds the dimension's size.
-    return F.broadcast(meta) if row_count_at_most(per_sku, max_broadcast_rows) else meta
 
 
 def dataset_profile(panel: DataFrame) -> DataFrame:

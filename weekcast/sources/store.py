@@ -13,12 +13,14 @@ reused.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekcast.session import ensure_checkpoint_dir
 
@@ -51,32 +53,59 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Hash of every input file's path, length and modification time (folder times say nothing on object stores)."""
     parts = []
     for p in paths:
         hp, fs = _fs(spark, p)
-        summary = fs.getContentSummary(hp)
-        status = fs.getFileStatus(hp)
-        parts.append(f"{p}:{summary.getLength()}:{status.getModificationTime()}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:12]
+        files = fs.listFiles(hp, True)
+        while files.hasNext():
+            f = files.next()
+            parts.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:12]
 
 
 def store_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/weekcast-store"
 
 
-def materialize(df: DataFrame, name: str, fingerprint: str) -> DataFrame:
-    """Write ``df`` once (atomic rename of a finished write) and read it back."""
-    spark = df.sparkSession
+def materialize(spark: SparkSession, build: Callable[[], DataFrame], name: str, fingerprint: str) -> DataFrame:
+    """The stored table ``name``; built and written first where the store lacks it.
+
+    A writer publishes its own folder with a ``_SUCCESS`` file and then points
+    the name at it. Whoever points last wins; both folders hold the same rows.
+    The schema is stored with the pointer, so reading starts no job.
+    """
     safe = re.sub(r"[^A-Za-z0-9_.=-]", "_", name)
-    path = f"{store_root(spark)}/{safe}-{fingerprint}-{code_hash()}"
-    if not exists(spark, path):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        df.write.mode("overwrite").parquet(tmp)
-        hp_tmp, fs = _fs(spark, tmp)
-        hp, _ = _fs(spark, path)
-        if not fs.rename(hp_tmp, hp) and not fs.exists(hp):
-            raise OSError(f"could not publish {tmp} -> {path}")
-    return spark.read.parquet(path)
+    pointer = f"{store_root(spark)}/{safe}-{fingerprint}-{code_hash()}.json"
+    known = _read_text(spark, pointer)
+    if known is None:
+        path = f"{store_root(spark)}/{safe}-{fingerprint}-{uuid.uuid4().hex[:8]}"
+        df = build()
+        df.write.parquet(path)
+        known = json.dumps({"path": path, "schema": df.schema.json()})
+        _write_text(spark, pointer, known)
+    found = json.loads(known)
+    return spark.read.schema(T.StructType.fromJson(json.loads(found["schema"]))).parquet(found["path"])
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    hp, fs = _fs(spark, path)
+    if not fs.exists(hp):
+        return None
+    stream = fs.open(hp)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    hp, fs = _fs(spark, path)
+    stream = fs.create(hp, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 # ------------------------------------------------------------------ feature store
@@ -87,12 +116,23 @@ def write_feature_version(df: DataFrame, root: str, version: str) -> str:
     return path
 
 
-def read_feature_version(spark: SparkSession, root: str, version: str) -> DataFrame:
-    """Read one version; error when it does not exist."""
+def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """S4 schema contract: every expected column is there with its type; extra columns are let through."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: expected {f.dataType.simpleString()}, found {have[f.name].simpleString() if f.name in have else 'nothing'}"
+             for f in expected.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError("feature schema mismatch: " + "; ".join(wrong))
+    return df
+
+
+def read_feature_version(spark: SparkSession, root: str, version: str, expected: T.StructType | None = None) -> DataFrame:
+    """Read one version; error when it does not exist or breaks the ``expected`` schema."""
     path = f"{root.rstrip('/')}/version={version}"
     if not exists(spark, path):
         raise FileNotFoundError(f"Feature version {version} not found at {path}")
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    return df if expected is None else check_schema(df, expected)
 
 
 def list_versions(spark: SparkSession, root: str) -> list[str]:
@@ -116,10 +156,3 @@ def latest_feature_version(spark: SparkSession, root: str) -> tuple[DataFrame, s
         raise FileNotFoundError(f"No versioned feature files found in {root}")
     latest = max(versions, key=version_number)
     return read_feature_version(spark, root, latest), latest
-
-
-def feature_schema(df: DataFrame) -> DataFrame:
-    """S4 schema contract: column -> type name, in column order."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string").select(
-        "position", "column", "type").orderBy(F.col("position"))
