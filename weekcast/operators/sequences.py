@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import LOOKBACK
+from weekcast.operators.cumulative import one_row_attach
 
 
 def lookback_sequences(features: DataFrame, cols: list[str], lookback: int = LOOKBACK) -> DataFrame:
@@ -46,15 +47,18 @@ def sequence_weights(features: DataFrame, lookback: int = LOOKBACK) -> DataFrame
 
 
 def feature_scaling(features: DataFrame, cols: list[str], lookback: int = LOOKBACK) -> DataFrame:
-    """Per feature mean and population std (+1e-8) over all sequence cells,
-    computed from the rows weighted by their window counts (no array expansion)."""
-    wt = sequence_weights(features, lookback)
+    """Per feature mean and population std (+1e-8) over all sequence cells.
+
+    Rows are weighted by their window counts (no array expansion). Two grouped
+    passes over the wide rows, the second around the first one's means; only
+    the last one-row frame is unpivoted.
+    """
+    wt = sequence_weights(features, lookback).filter(F.col("seq_weight") > 0)
     wide = wt.select("seq_weight", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    long = wide.unpivot(["seq_weight"], cols, "feature", "x").filter(F.col("seq_weight") > 0)
-    agg = long.groupBy("feature").agg(
-        F.sum("seq_weight").alias("w"),
-        F.sum(F.col("x") * F.col("seq_weight")).alias("sx"))
-    means = long.join(F.broadcast(agg), "feature").groupBy("feature", "w", "sx").agg(
-        F.sum(F.col("seq_weight") * (F.col("x") - F.col("sx") / F.col("w")) ** 2).alias("ss"))
-    return means.select("feature", (F.col("sx") / F.col("w")).alias("mean"),
-                        (F.sqrt(F.col("ss") / F.col("w")) + 1e-8).alias("std"))
+    w = F.col("seq_weight")
+    means = wide.agg(F.sum(w).alias("_w"), *[(F.sum(F.col(c) * w) / F.sum(w)).alias(f"_mean_{c}") for c in cols])
+    spread = one_row_attach(wide, means).groupBy(*means.columns).agg(
+        *[F.sum(w * (F.col(c) - F.col(f"_mean_{c}")) ** 2).alias(f"_ss_{c}") for c in cols])
+    one = spread.select(*[F.struct(F.col(f"_mean_{c}").alias("mean"), (F.sqrt(F.col(f"_ss_{c}") / F.col("_w")) + 1e-8).alias("std")).alias(c)
+                          for c in cols])
+    return one.unpivot([], cols, "feature", "made").select("feature", "made.mean", "made.std")
