@@ -121,7 +121,7 @@ def test_transform_is_the_sorted_suffixes():
     want = [s[k - 1] + 1 if k else 0 for s, k in ((strings[i], k) for _, i, k in rows)]
     bwt = suffixes.transform(data, size)
     assert bwt.tolist() == want
-    lengths, names, at = suffixes.rows_of(bwt, suffixes.last_to_first(bwt), len(size))
+    lengths, names, at = suffixes.rows_of(bwt, suffixes.last_to_first(bwt), np.arange(len(size)))
     assert lengths.tolist() == size.tolist()
     place = {(i, len(strings[i]) - k): r for r, (_, i, k) in enumerate(rows)}
     assert all(place[i, back] == r for back, (ns, rs) in enumerate(zip(names, at)) for i, r in zip(ns.tolist(), rs.tolist()))

@@ -40,12 +40,13 @@ OUT_SCHEMA = ("doc_id long, n_units long, n_removed long, n_spans long, "
 
 @dataclass
 class Entries:
-    """Distinct surroundings: units[first : first + size], the anchor's place in it, and the least document with it."""
+    """Distinct surroundings: units[first : first + size], the anchor's place in it, the least document with it, and its hash."""
 
     first: np.ndarray
     size: np.ndarray
     anchor: np.ndarray
     order: np.ndarray
+    content: np.ndarray
 
 
 class Method:
@@ -191,7 +192,7 @@ def _gather(row, method: Method, buckets: int, context_buckets: int) -> pd.DataF
     sent = []
     for b, x, y in zip(filled.tolist(), edges, edges[1:], strict=False):
         own = head[lay[x:y]]
-        sent.append((row.shard_key, b, packer.compress(method.message(s.units, Entries(first[own], size[own], s.position[at][own] - first[own], s.ids[doc[own]])))))
+        sent.append((row.shard_key, b, packer.compress(method.message(s.units, Entries(first[own], size[own], s.position[at][own] - first[own], s.ids[doc[own]], content[own])))))
     state = np.concatenate([[len(at), len(head)], first, size, place[entry], s.ids[doc] > least[entry], size[head][lay]]).astype("<i8").tobytes()
     sent.append((row.shard_key, -1, packer.compress(np.packbits(copies).tobytes().ljust(-(-len(s.ids) // 8)) + state)))
     return pd.DataFrame(sent, columns=["shard_key", "bucket", "body"])

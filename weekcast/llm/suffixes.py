@@ -8,7 +8,8 @@ symbol before each suffix (the last-to-first mapping keeps each shard's own
 order). A border that opens in round d says that its neighbours have d - 1
 symbols in common; after as many rounds as a window has bytes, the rows between
 two borders are a repeated interval. Only suffixes from which a window's start
-is still to be reached take part, and intervals of one document drop out early.
+is still to be reached take part, equal strings of several shards are walked
+once, and intervals of one document drop out early.
 """
 
 from __future__ import annotations
@@ -60,14 +61,14 @@ def last_to_first(bwt: np.ndarray) -> np.ndarray:
     return out
 
 
-def rows_of(bwt: np.ndarray, step: np.ndarray, m: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Walk all strings backwards from their closing rows: (sizes, strings alive, their rows) by distance from the end."""
-    size = np.zeros(m, dtype=np.int64)
-    alive, row = np.arange(m), np.arange(m, dtype=np.int64)
+def rows_of(bwt: np.ndarray, step: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Walk strings backwards from their closing rows: (sizes, strings alive, their rows) by distance from the end."""
+    size = np.zeros(len(closing), dtype=np.int64)
+    alive, row = np.arange(len(closing), dtype=np.int32), closing.astype(np.int32)
     names, rows = [alive], [row]
     while True:
         going = bwt[row] > 0
-        alive, row = alive[going], step[row[going]].astype(np.int64)
+        alive, row = alive[going], step[row[going]]
         if not len(alive):
             return size, names, rows
         size[alive] += 1
@@ -90,33 +91,38 @@ class BytePassages(Method):
         total = int(entries.size.sum())
         at = np.repeat(entries.first - (np.cumsum(entries.size) - entries.size), entries.size) + np.arange(total)
         bwt = transform(units[at], entries.size)
-        return np.array([len(entries.size)], "<i8").tobytes() + entries.order.astype("<i8").tobytes() + bwt.tobytes()
+        head = np.concatenate([[len(entries.size)], entries.order, entries.content.astype(np.int64)]).astype("<i8")
+        return head.tobytes() + bwt.tobytes()
 
     def solve(self, messages: list[bytes]) -> list[np.ndarray]:
-        bwts, steps, rows, orders, sizes = [], [], [], [], []
-        base = 0
-        for body in messages:
-            m = int(np.frombuffer(body, "<i8", 1)[0])
-            bwt = np.frombuffer(body, np.uint8, offset=8 + 8 * m)
-            step = last_to_first(bwt)
-            size, names, at = rows_of(bwt, step, m)
-            run = size - self.window + 1
-            first = np.concatenate(([0], np.cumsum(run)))
-            # before the first round, window j stands at the suffix that begins right after it
-            start = np.empty(int(first[-1]), dtype=np.int64)
-            for back, (name, row) in enumerate(zip(names, at, strict=True)):
-                j = size[name] - back - self.window
-                fits = j >= 0
-                start[first[name[fits]] + j[fits]] = row[fits]
-            bwts.append(bwt)
-            steps.append(step + np.int32(base))
-            rows.append(start + base)
-            orders.append(np.repeat(np.frombuffer(body, "<i8", m, offset=8), run))
-            sizes.append(int(first[-1]))
-            base += len(bwt)
-        flags = merge(np.concatenate(bwts), np.concatenate(steps), np.concatenate(rows), np.concatenate(orders), self.window)
-        edges = np.cumsum([0, *sizes])
-        return [flags[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        heads = [np.frombuffer(body, "<i8", 2 * int(np.frombuffer(body, "<i8", 1)[0]), offset=8).reshape(2, -1) for body in messages]
+        bwts = [np.frombuffer(body, np.uint8, offset=8 + head.nbytes) for body, head in zip(messages, heads, strict=True)]
+        base = np.cumsum([0, *map(len, bwts)])
+        order, content = np.concatenate(heads, axis=1)
+        closing = np.concatenate([b + np.arange(head.shape[1]) for b, head in zip(base, heads, strict=False)])
+        step = np.concatenate([last_to_first(bwt) + np.int32(b) for bwt, b in zip(bwts, base, strict=False)])
+        bwt = np.concatenate(bwts)
+        # equal strings are walked once, under their least document
+        by = np.lexsort((order, content))
+        new = np.concatenate(([True], content[by][1:] != content[by][:-1]))
+        own = by[new]
+        like = np.empty(len(by), dtype=np.int64)
+        like[by] = np.cumsum(new) - 1
+        size, names, rows = rows_of(bwt, step, closing[own])
+        run = size - self.window + 1
+        first = np.concatenate(([0], np.cumsum(run)))
+        # before the first round, window j stands at the suffix that begins right after it
+        start = np.empty(int(first[-1]), dtype=np.int32)
+        for back, (name, row) in enumerate(zip(names, rows, strict=True)):
+            j = size[name] - back - self.window
+            fits = j >= 0
+            start[first[name[fits]] + j[fits]] = row[fits]
+        flags = merge(bwt, step, start, np.repeat(order[own], run), self.window)
+        many = run[like]
+        ends = np.cumsum(many)
+        all_flags = flags[np.repeat(first[like] - (ends - many), many) + np.arange(int(ends[-1]))] | np.repeat(order > order[own][like], many)
+        edges = np.concatenate(([0], ends))[np.cumsum([0, *(head.shape[1] for head in heads)])]
+        return [all_flags[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def merge(bwt: np.ndarray, step: np.ndarray, row: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
@@ -126,13 +132,13 @@ def merge(bwt: np.ndarray, step: np.ndarray, row: np.ndarray, order: np.ndarray,
     ``row`` each window's row to begin with, ``order`` its document.
     """
     flags = np.zeros(len(row), dtype=bool)
-    item = np.argsort(row, kind="stable")                   # shard after shard, each in its own order
+    item = np.argsort(row, kind="stable").astype(np.int32)  # shard after shard, each in its own order
     row = row[item]
     border = np.zeros(len(row), dtype=bool)                 # True: differs from the row above
     for d in range(1, depth + 1):
         symbol = bwt[row]
         move = np.argsort(symbol, kind="stable")
-        block = np.cumsum(border)[move]
+        block = np.cumsum(border, dtype=np.int32)[move]
         symbol, row, item = symbol[move], step[row[move]], item[move]
         border = np.zeros(len(row), dtype=bool)
         border[1:] = (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1])    # common prefix of d - 1 at a new border
