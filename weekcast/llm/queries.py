@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, substrings, suffixes, toxicity
 from weekcast.llm.common import save, ship
+from weekcast.llm.oracles import SQL as SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,4 +83,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
-SQL: dict[str, str] = {}
