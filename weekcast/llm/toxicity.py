@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from weekcast.llm import winnow
 from weekcast.llm.common import id_remainder, ship, spread
 
-SAMPLE = 2000               # training documents of each label
-SAMPLE_BYTES = 12 << 20     # text of the training documents, at most
+SAMPLE = 1500               # training documents of each label
+SAMPLE_BYTES = 4 << 20      # text of the training documents, at most
 SEGMENT = 128
 FEATURES = 1 << 18
 STEMS = (4, 5, 6, 7, 8)     # bytes of a word's stems
@@ -57,7 +57,7 @@ def tokenize(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _slots(marks: np.ndarray) -> np.ndarray:
-    return (marks & np.uint64(FEATURES - 1)).astype(np.int64)
+    return (marks & np.uint64(FEATURES - 1)).astype(np.int32)
 
 
 # ------------------------------------------------------------------ forward-backward
@@ -205,18 +205,29 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS) -> Fi
     label = np.isin(marks[:-1], chosen).any(axis=0) & np.repeat(toxic, np.diff(offsets))
     previous = np.concatenate(([False], label[:-1]))
     previous[offsets[:-1][np.diff(offsets) > 0]] = False
-    seen = np.bincount(previous.astype(int) * 2 + label, minlength=4).reshape(2, 2)
-    features = _slots(marks)
+    seen = np.bincount(previous.astype(np.int8) * 2 + label, minlength=4).reshape(2, 2)
+    features = np.stack([_slots(m) for m in marks])
     del marks
 
+    blocks = list(spread(len(texts), np.diff(offsets), 1 << 16))
+
     def by_feature(x: np.ndarray) -> np.ndarray:
         return sum(np.bincount(f, weights=x, minlength=FEATURES) for f in features)
 
+    def tagged() -> tuple[np.ndarray, np.ndarray]:
+        """Marginals and transition counts, some documents at a time."""
+        p, pairs = np.zeros(len(label)), np.zeros((2, 2))
+        for i, j in blocks:
+            a, b = offsets[i], offsets[j]
+            p[a:b], here = marginals(weights[features[:, a:b]].sum(axis=0) + bias, offsets[i:j + 1] - a, trans)
+            pairs += here
+        return p, pairs
+
     observed = by_feature(label)
     weights, bias, trans = np.zeros(FEATURES), -3.0, np.zeros((2, 2))
     pace_w, pace_b, pace_t = np.full(FEATURES, 1e-8), 1e-8, np.full((2, 2), 1e-8)
     for _ in range(rounds if len(label) else 0):
-        p, pairs = marginals(weights[features].sum(axis=0) + bias, offsets, trans)
+        p, pairs = tagged()
         slope = by_feature(p) - observed + 0.05 * weights
         pace_w += slope ** 2
         weights -= 0.7 * slope / np.sqrt(pace_w)
@@ -226,7 +237,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS) -> Fi
         slope_t = pairs - seen + 0.05 * trans
         pace_t += slope_t ** 2
         trans -= 0.3 * slope_t / np.sqrt(pace_t)
-    p, _ = marginals(weights[features].sum(axis=0) + bias, offsets, trans)
+    p, _ = tagged()
     x = np.hstack([_summary(p, offsets), np.ones((len(texts), 1))])
     y = toxic.astype(float)
     calibration = np.zeros(3)
