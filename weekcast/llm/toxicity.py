@@ -196,8 +196,12 @@ def telling_marks(sets: list[np.ndarray], toxic: np.ndarray, least: int = 3, lea
     return np.array(chosen, dtype=np.uint64)
 
 
-def fit_field(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS) -> Field:
-    """Fit tags, then the document score, on labelled texts."""
+def fit_field(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS, prior: float | None = None) -> Field:
+    """Fit tags, then the document score, on labelled texts.
+
+    ``prior`` is the share of toxic documents among all labelled ones; the
+    score is moved from the sample's share to it.
+    """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     _, _, offsets, marks = tokenize(data, np.concatenate(([0], np.cumsum(sizes))))
@@ -245,6 +249,9 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS) -> Fi
         q = 1 / (1 + np.exp(-x @ calibration))
         h = x.T @ (x * (q * (1 - q))[:, None]) + 0.1 * np.eye(3)
         calibration -= np.linalg.solve(h, x.T @ (q - y) + 0.1 * calibration)
+    share = y.mean()
+    if prior is not None and 0 < prior < 1 and 0 < share < 1:
+        calibration[2] += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
     return Field(weights, float(bias), trans, calibration)
 
 
@@ -270,7 +277,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE,
         return Field(np.zeros(FEATURES), -20.0, np.zeros((2, 2)), np.array([0.0, 0.0, -20.0]))
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int, pick long").distinct()
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("pick", "doc_id", F.xxhash64("text")).select("text", "toxic").collect()
-    return fit_field([r["text"].encode() for r in rows], np.array([r["toxic"] == 1 for r in rows], dtype=bool))
+    prior = known.filter("toxic in (0, 1)").agg(F.avg("toxic")).first()[0]
+    return fit_field([r["text"].encode() for r in rows], np.array([r["toxic"] == 1 for r in rows], dtype=bool), prior=prior)
 
 
 def tag(text: Column, field: Field) -> Column:
