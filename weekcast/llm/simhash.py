@@ -257,9 +257,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """``docs`` with one row of each component: the least doc_id, then the least row hash."""
     ship(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = docs.select(row.alias("record"), order_key().alias("ord"), F.xxhash64(row).alias("tie"), fingerprint_column(F.col("text"), shingle).alias("fp"))
-    keyed = save(keyed, "simhash-keyed", compression="zstd")
-    fps = keyed.select("ord", "tie", "fp")
+    fps = save(docs.select(order_key().alias("ord"), F.xxhash64(row).alias("tie"), fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-docs")
     best = (fps.groupBy("fp").agg(F.min(F.struct("ord", "tie")).alias("key")).join(component_of(fps, max_bits), "fp")
-            .groupBy("root").agg(F.min(F.struct("key", "fp")).alias("one")).select("one.fp", "one.key.ord", "one.key.tie"))
-    return keyed.join(best, ["fp", "ord", "tie"]).groupBy("fp", "ord", "tie").agg(F.first("record").alias("record")).select("record.*")
+            .groupBy("root").agg(F.min("key").alias("key")).select("key.ord", "key.tie"))
+    keyed = docs.select(row.alias("record"), order_key().alias("ord"), F.xxhash64(row).alias("tie"))
+    return keyed.join(save(best, "simhash-best"), ["ord", "tie"]).groupBy("ord", "tie").agg(F.first("record").alias("record")).select("record.*")
