@@ -6,6 +6,7 @@ executors share, so a lost executor costs a re-read and not a recomputation.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import shutil
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +37,35 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+BATCH_ROWS = 1000               # rows that a Python worker gets at a time
 _shipped: set[str] = set()
+_libc = ctypes.CDLL(None)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Spark keeps idle Python workers, and what they hold, for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def lean(run):
+    """A mapInPandas function that trims its worker's memory at its end."""
+    def trimmed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from run(frames)
+        finally:
+            trim()
+    return trimmed
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors (once per application), so tasks can import its kernels."""
+    """Send this package's code to the executors (once per application), so tasks can import its kernels.
+
+    Documents are large rows, so the session's Arrow batches get fewer of them.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -80,7 +106,7 @@ def text_bytes(docs: DataFrame) -> int:
 
 # ------------------------------------------------------------------ shards
 def pack(doc_ids: list[int], texts: list[bytes]) -> dict:
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=5)       # a shard is moved up to twice
     return {"n_docs": len(doc_ids), "doc_ids": np.array(doc_ids, dtype="<i8").tobytes(),
             "lengths": np.array([len(t) for t in texts], dtype="<i8").tobytes(),
             "texts": packer.compress(b"".join(texts))}
@@ -123,7 +149,7 @@ def shard_documents(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     """
     along = F.to_json(F.struct(*[F.col(f"`{c}`") for c in carry]), {"ignoreNullFields": "false"}) if carry else F.lit(None).cast("string")
     rows = docs.select(order_key().cast("long").alias("ord"), F.col("text").cast("string").cast("binary").alias("text"), along.alias("carried"))
-    return save(rows.mapInPandas(_shards, SHARD_SCHEMA), "shards", compression="none")
+    return save(rows.mapInPandas(lean(_shards), SHARD_SCHEMA), "shards", compression="none")
 
 
 def spread(n_docs: int, sizes: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:

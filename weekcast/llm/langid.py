@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import id_remainder, ship
+from weekcast.llm.common import id_remainder, ship, trim
 
 LANDMARKS = 128             # landmark texts, shared out among the languages
 SAMPLE = 4000               # texts that the regressors are fitted on, shared out likewise
@@ -172,6 +172,7 @@ def identify(text: Column, model: Model | None) -> Column:
         if good.any():
             best, score[good] = model.predict([t for t, g in zip(texts, good, strict=True) if g])
             lang[good] = np.array(model.languages, dtype=object)[best]
+        trim()
         return pd.DataFrame({"lang_pred": lang, "score": score})
     return language(text.cast("string"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.llm import tokens
-from weekcast.llm.common import LAST, order_key, save, ship
+from weekcast.llm.common import LAST, lean, order_key, save, ship
 
 CAPACITY = 1024
 END_ID = 2
@@ -51,7 +51,7 @@ def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = E
                 rows += [(doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(order_key().cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, PIECE_SCHEMA)
+    return docs.select(order_key().cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(lean(run), PIECE_SCHEMA)
 
 
 # ------------------------------------------------------------------ one group

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import order_key, save, ship
+from weekcast.llm.common import order_key, save, ship, trim
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -60,7 +60,9 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     """Signed 64-bit SimHash of a text column; null text has no word."""
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(fingerprints([t.encode() if isinstance(t, str) else b"" for t in texts], shingle).astype(np.int64))
+        made = fingerprints([t.encode() if isinstance(t, str) else b"" for t in texts], shingle)
+        trim()
+        return pd.Series(made.astype(np.int64))
     return simhash(text.cast("string"))
 
 
