@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.llm import winnow
-from weekcast.llm.common import LAST, parts_for, save, shard_documents, ship, text_bytes, unpack
+from weekcast.llm.common import LAST, parts_for, save, shard_documents, ship, text_bytes, trim, unpack
 
 ANCHOR_BUCKET_BYTES = 16 << 20          # text for each bucket of anchors
 CONTEXT_BUCKET_BYTES = 8 << 20          # text for each bucket of surroundings
@@ -85,15 +85,17 @@ def _blocks(bounds: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray]]
         i = j
 
 
-def _anchors(units: np.ndarray, bounds: np.ndarray, method: Method) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, hash, first window, last window) of every anchor of a shard."""
+def _anchors(units: np.ndarray, bounds: np.ndarray, method: Method) -> tuple[np.ndarray, ...]:
+    """(position, hash, first window, last window, hash of the surroundings) of every anchor of a shard."""
     found = []
     for a, inner in _blocks(bounds, method.window):
-        p, h, first, last = winnow.anchors(units[a:a + inner[-1]], inner, method.window, method.seed)
-        found.append((p + a, h, first + a, last + a))
+        part = units[a:a + inner[-1]]
+        p, h, first, last = winnow.anchors(part, inner, method.window, method.seed)
+        content = winnow.span_hash(winnow.prefix_sums(part), first, last + method.window)
+        found.append((p + a, h, first + a, last + a, content))
     if not found:
         none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none, none, none.astype(np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -112,7 +114,7 @@ class _Shard:
         self.ids, self.bounds, self.text = unpack(row.doc_ids, row.lengths, row.texts)
         data = np.frombuffer(self.text, dtype=np.uint8)
         self.units, self.unit_bounds, self.start, self.end = method.units(data, self.bounds)
-        self.position, self.hash, self.first, self.last = _anchors(self.units, self.unit_bounds, method)
+        self.position, self.hash, self.first, self.last, self.content = _anchors(self.units, self.unit_bounds, method)
         self.doc = np.searchsorted(self.unit_bounds, self.position, side="right") - 1
         self.keys, self.of_key = np.unique(self.hash, return_inverse=True)
         self.order, self.filled, self.edges = _split(self.keys, buckets)
@@ -177,8 +179,7 @@ def _gather(row, method: Method, buckets: int, context_buckets: int) -> pd.DataF
     shared = _unpack_bits(anchors, s.filled, s.edges, s.order)
     at = np.flatnonzero(shared[s.of_key] & ~copies[s.doc])
     first, size, doc = s.first[at], s.last[at] - s.first[at] + method.window, s.doc[at]
-    sums = winnow.prefix_sums(s.units)
-    content = winnow.span_hash(sums, first, first + size)
+    content = s.content[at]
     order = np.lexsort((s.ids[doc], content, s.hash[at]))
     new = np.concatenate(([True], (content[order][1:] != content[order][:-1]) | (s.hash[at][order][1:] != s.hash[at][order][:-1]))) if len(at) else np.zeros(0, bool)
     head = order[np.flatnonzero(new)]                       # the least document's
@@ -258,11 +259,13 @@ def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = No
             for frame in frames:
                 for row in frame.itertuples(index=False):
                     yield step(row)
+                    trim()
         return run
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         opener = zstandard.ZstdDecompressor()
         flags = method.solve([opener.decompress(b) for b in frame["body"]])
+        trim()
         return pd.DataFrame({"shard_key": frame["shard_key"], "bucket": frame["bucket"], "n": [len(f) for f in flags], "body": [np.packbits(f).tobytes() for f in flags]})
 
     text = shards.drop("carried")

@@ -23,7 +23,8 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 20), base, dtype=np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        _cache[name] = have
+        if n <= 1 << 20:                # longer ones aren't kept
+            _cache[name] = have
     return have[:n]
 
 
