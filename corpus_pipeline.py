@@ -19,15 +19,16 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the texts that some language claims: not ``und``, and a score of LEAST_LANGUAGE_SCORE or more.
+    """Keeps the texts that some language claims: not ``und``, a score of LEAST_LANGUAGE_SCORE or more, and ``langid.claimed``.
 
     Fitted on the documents whose crc32(doc_id as text) mod 3 isn't 1. Null
-    texts and texts without a letter go.
+    texts and texts without a letter go, and so does what holds hardly a
+    letter amid 3-grams of the learned languages: other scripts, junk.
     """
     ship(spark)
     model = langid.fit(docs.filter(id_remainder(3) != 1))
-    made = docs.withColumn("__made", langid.identify(F.col("text"), model))
-    return made.filter((F.col("__made.lang_pred") != langid.UND) & (F.col("__made.score") >= LEAST_LANGUAGE_SCORE)).drop("__made")
+    made = docs.withColumn("__made", langid.claimed(F.col("text"), model))
+    return made.filter((F.col("__made.lang_pred") != langid.UND) & (F.col("__made.score") >= LEAST_LANGUAGE_SCORE) & F.col("__made.claimed")).drop("__made")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

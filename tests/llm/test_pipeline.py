@@ -48,3 +48,11 @@ def test_suffix_stage_keeps_other_columns_and_nulls(spark, hard):
     assert made.filter("text is null").count() == hard.filter("text is null").count()
     same = made.join(hard.select(F.col("doc_id"), "text", "lang", "source").distinct(), ["doc_id", "text"], "left_semi")
     assert same.count() > 30
+
+
+def test_language_stage_drops_what_no_language_claims(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    junk = ["Это русский текст о погоде, о городе и о людях.", "漢字 混ぜる 日本語の文章です", "2841 ### 9931 ----- $$$ x 4417 %% 11", "qxzj vvkq wjxq zzkp qqvx"]
+    planted = spark.createDataFrame([(10**12 + k, t) for k, t in enumerate(junk)], "doc_id long, text string")
+    made = corpus_pipeline.language_id(spark, docs.unionByName(planted, allowMissingColumns=True), SF)
+    assert {r.doc_id for r in made.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}

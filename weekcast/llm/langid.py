@@ -24,6 +24,7 @@ LANDMARKS = 128             # landmark texts, shared out among the languages
 SAMPLE = 4000               # texts that the regressors are fitted on, shared out likewise
 RIDGE = 1e-3
 BLOCK_DOCS, BLOCK_BYTES = 64, 1 << 19
+CLAIM_QUANTILE, CLAIM_SHARE = 0.01, 0.25    # a claim of less than this share of the sampled texts' low quantile is none
 UND = "und"
 CODES = 256 + (1 << 16) + (1 << 24)
 _FOLD = np.full(256, 0x20, dtype=np.uint8)      # what isn't a letter byte is a space
@@ -59,6 +60,7 @@ class Model:
     presence: np.ndarray        # grams x landmarks
     sizes: np.ndarray           # grams of each landmark
     weights: np.ndarray         # landmarks + 1 x languages
+    floors: np.ndarray          # least claim of each language's own texts
 
     def kernel(self, texts: list[str]) -> np.ndarray:
         """Normalised kernel of each text with each landmark."""
@@ -92,6 +94,13 @@ class Model:
             self._lookup[self.codes] = np.arange(len(self.codes))
         return self._lookup
 
+    def claim(self, text: str) -> float:
+        """Share of the visible bytes that are letters amid a 3-gram that landmarks share; 0 for an unknown script."""
+        data = folded(f" {text} ")
+        visible = sum(len(word.encode()) for word in text.lower().split())
+        known = self._columns()[grams(data)[2]] >= 0
+        return float((known & (data[1:-1] != 0x20)).sum()) / max(1, visible)
+
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(language number, score from 0 to 1) of each text."""
         kernel = self.kernel(texts)
@@ -135,21 +144,23 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, sample: int = SAMPLE, r
     codes = codes[(times > 1) | (len(held) == 1)][:np.iinfo(np.int16).max]
     presence = np.array([np.isin(codes, h, assume_unique=True) for h in held], dtype=np.float32).T.copy()
     languages = sorted(counts)
-    model = Model(languages, codes, presence, presence.sum(axis=0), np.zeros((len(held) + 1, len(languages)), dtype=np.float32))
+    model = Model(languages, codes, presence, presence.sum(axis=0), np.zeros((len(held) + 1, len(languages)), dtype=np.float32), np.zeros(len(languages)))
     number = {lang: k for k, lang in enumerate(languages)}
 
     def kernels(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame = frame[frame["text"].map(has_letter)]
             k = model.kernel(list(frame["text"]))
-            yield pd.DataFrame({"lang": [number[x] for x in frame["lang"]], "row": [r.astype("<f4").tobytes() for r in k]})
+            yield pd.DataFrame({"lang": [number[x] for x in frame["lang"]], "row": [r.astype("<f4").tobytes() for r in k], "claim": [model.claim(t) for t in frame["text"]]})
 
-    fitted = _share(rows, counts, sample, "sample").mapInPandas(kernels, "lang int, row binary").toPandas()
+    fitted = _share(rows, counts, sample, "sample").mapInPandas(kernels, "lang int, row binary, claim double").toPandas()
     fitted = fitted.sort_values(["lang", "row"], ignore_index=True)
     if not len(fitted):
         return None
     x = np.array([np.frombuffer(r, "<f4") for r in fitted["row"]], dtype=np.float64)
     y = np.where(fitted["lang"].to_numpy()[:, None] == np.arange(len(languages)), 1.0, -1.0)
+    for lang, claims in fitted.groupby("lang")["claim"]:
+        model.floors[lang] = CLAIM_SHARE * claims.quantile(CLAIM_QUANTILE)
     norm = np.sqrt(np.maximum(1, model.sizes))
     values, vectors = np.linalg.eigh((presence.T @ presence / norm[:, None] / norm).astype(np.float64))
     good = values > 1e-6 * values.max()
@@ -177,6 +188,27 @@ def identify(text: Column, model: Model | None) -> Column:
     return language(text.cast("string"))
 
 
+def claimed(text: Column, model: Model | None) -> Column:
+    """Struct (lang_pred, score, claimed): ``claimed`` if the text's claim reaches the floor of its language.
+
+    Scores can't tell this: the languages' values always sum to 2 - L, so the
+    best of L scores is 1 / L or more for any text.
+    """
+    @F.pandas_udf("lang_pred string, score double, claimed boolean")
+    def language(texts: pd.Series) -> pd.DataFrame:
+        good = np.array([model is not None and has_letter(t) for t in texts], dtype=bool)
+        lang = np.full(len(texts), UND, dtype=object)
+        score, sure = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
+        if good.any():
+            some = [t for t, g in zip(texts, good, strict=True) if g]
+            best, score[good] = model.predict(some)
+            lang[good] = np.array(model.languages, dtype=object)[best]
+            sure[good] = np.array([model.claim(t) for t in some]) >= model.floors[best]
+        trim()
+        return pd.DataFrame({"lang_pred": lang, "score": score, "claimed": sure})
+    return language(text.cast("string"))
+
+
 def predict(docs: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out."""
     remainder = id_remainder(modulus)
