@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weekcast.llm import contamination, langid, packing, simhash, suffixes
 from weekcast.llm.common import id_remainder, save, ship
-from weekcast.llm.queries import vocabulary
+from weekcast.llm.queries import pieces
 
 LEAST_LANGUAGE_SCORE = 0.2
 
@@ -67,7 +67,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their sequence and offset."""
-    return packing.pack(save(packing.cut(docs, vocabulary("byte_bpe_50k.tiktoken")), "pieces"))
+    return packing.pack(pieces(docs))
 
 
 STAGES = [

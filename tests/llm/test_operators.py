@@ -166,6 +166,22 @@ def test_pretokens_match_the_tokenizer():
     check()
 
 
+def test_added_tokens_get_their_ids(spark):
+    from weekcast.llm.queries import pieces
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark} x\n{mark}", f"it's  {mark}  's <|endoftext|", "<|endof", "plain text", "", f"word {mark}" * 700]
+    want = []
+    for k, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        first = len(ids) % 1024 or 1024
+        edges = [0, *range(first, len(ids) + 1, 1024)] if len(ids) > 1024 else [0, len(ids)]
+        want += [(k, x, a, b - a, zlib.crc32(ids[a:b].tobytes())) for x, (a, b) in enumerate(zip(edges, edges[1:]))]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    assert sorted(rows_of(pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))) == want
+
+
 def test_local_search_beats_best_fit_alone():
     rng = np.random.default_rng(5)
     better = 0

@@ -28,9 +28,10 @@ MERGE = 32                  # groups of a round that meet in the next
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = END_ID, added: dict[str, int] | None = None) -> DataFrame:
     """Pieces of every document: its ids and then ``end_id``; null text counts as empty.
 
+    ``added`` has the vocabulary's added tokens; without it their strings are ordinary text.
     A null doc_id is held as the largest long until ``pack`` gives it back.
 
     Only a document of more than ``capacity`` ids is cut; its first piece takes the remainder.
@@ -40,7 +41,7 @@ def cut(docs: DataFrame, ranks: bytes, capacity: int = CAPACITY, end_id: int = E
     tail = np.array([end_id], dtype="<u4")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = tokens.Encoder(held.value)
+        encoder = tokens.Encoder(held.value, added)
         for frame in frames:
             rows = []
             texts = [t if isinstance(t, str) else "" for t in frame["text"]]

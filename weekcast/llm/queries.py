@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, substrings, suffixes, toxicity
+from weekcast.llm import contamination, langid, packing, ppm, sharding, simhash, sketches, substrings, suffixes, tokens, toxicity
 from weekcast.llm.common import save, ship
 from weekcast.llm.oracles import SQL as SQL
 
@@ -25,6 +25,12 @@ def vocabulary(name: str) -> bytes:
         return file.read()
 
 
+def pieces(docs: DataFrame) -> DataFrame:
+    """Token pieces by the public byte_bpe_50k vocabulary with its added tokens, saved."""
+    added = tokens.added_tokens(vocabulary("byte_bpe_50k.json"))
+    return save(packing.cut(docs, vocabulary("byte_bpe_50k.tiktoken"), added=added), "pieces")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -46,8 +52,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = save(packing.cut(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken")), "pieces")
-    return packing.pack(pieces)
+    return packing.pack(pieces(_table(spark, sf_dir, "documents")))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,15 @@ The split into pre-tokens (runs of letters, digits, other signs and white
 space, each with one leading space, and the seven contractions) is done on
 whole arrays of code points. Each distinct pre-token is encoded once per
 worker, by the public vocabulary's ranks, and its ids are copied to all its
-places. The strings of special tokens inside a text are ordinary text.
+places. A text is cut at the vocabulary's added tokens (special ones too)
+before anything else, and those get their own ids.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 import unicodedata
 from functools import cache
 
@@ -66,10 +69,24 @@ def pretoken_starts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return start[:n]
 
 
+def added_tokens(tokenizer_json: bytes) -> dict[str, int]:
+    """String and id of each added token of a ``tokenizers`` file."""
+    listed = json.loads(tokenizer_json)["added_tokens"]
+    if any(t[flag] for t in listed for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take white space or whole words only aren't supported")
+    return {t["content"]: t["id"] for t in listed}
+
+
 class Encoder:
-    """Ids of texts, with each distinct pre-token encoded once (forgotten when the cache is full)."""
+    """Ids of texts, with each distinct pre-token encoded once (forgotten when the cache is full).
+
+    ``added`` has the strings that are tokens of their own wherever they
+    stand; without it every text is ordinary.
+    """
 
-    def __init__(self, ranks_text: bytes):
+    def __init__(self, ranks_text: bytes, added: dict[str, int] | None = None):
+        self.added = {t: np.array([i], dtype="<u4") for t, i in (added or {}).items()}
+        self.marker = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_text.splitlines())}
         self.encode = tiktoken.Encoding("bytes", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
         self.reset()
@@ -79,6 +96,15 @@ class Encoder:
         self.pieces: list[np.ndarray] = []
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
+        marked = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not marked:
+            return self._plain(texts)
+        parts = {k: self.marker.split(texts[k]) for k in marked}        # every second part is an added token
+        plain = iter(self._plain([p for k, t in enumerate(texts) for p in (parts[k][::2] if k in parts else [t])]))
+        return [np.concatenate([self.added[p] if x % 2 else next(plain) for x, p in enumerate(parts[k])]) if k in parts else next(plain)
+                for k in range(len(texts))]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         for i, j in spread(len(texts), sizes, 1 << 20):
