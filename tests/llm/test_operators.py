@@ -182,6 +182,27 @@ def test_added_tokens_get_their_ids(spark):
     assert sorted(rows_of(pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))) == want
 
 
+def test_groups_stay_bounded_when_bins_stay_open(spark):
+    rows = [(k, 0, 0, 700, k) for k in range(1500)] + [(2**63 - 1, 0, 0, 600, 7)] * 500
+    made = packing.pack(spark.createDataFrame(rows, packing.PIECE_SCHEMA), group_pieces=100).collect()
+    assert Counter(r.doc_id for r in made) == Counter([*range(1500), *[None] * 500])
+    assert len({r.sequence_id for r in made}) == 2000                       # no two fit together
+    assert max(Counter(r.sequence_id >> 20 for r in made).values()) < 200    # level and group
+
+
+def test_later_rounds_fill_bins_without_one_last_group(spark):
+    lengths = np.random.default_rng(8).integers(150, 700, 1500).tolist()
+    rows = [(k, 0, 0, n, k) for k, n in enumerate(lengths)]
+    made = packing.pack(spark.createDataFrame(rows, packing.PIECE_SCHEMA), group_pieces=100).collect()
+    fill = Counter()
+    for r in sorted(made, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill[r.sequence_id]
+        fill[r.sequence_id] += r.length
+    assert len(made) == 1500 and max(fill.values()) <= 1024
+    assert max(Counter(r.sequence_id >> 20 for r in made).values()) < 200
+    assert len(fill) <= 1.01 * len(packing.pack_group(lengths))
+
+
 def test_local_search_beats_best_fit_alone():
     rng = np.random.default_rng(5)
     better = 0

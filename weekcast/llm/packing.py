@@ -3,9 +3,11 @@
 Pieces are dealt into groups of bounded size. A group is packed best-fit,
 longest first; then documents are moved or exchanged (one for one, two for
 one) between underfull bins, each step raising the sum of squared fills, until
-no step helps or bins empty. The underfull bins of some groups meet in a next,
-smaller round of groups, until one group remains, so hardly any room is lost
-at group borders and no task sees more than one group's pieces.
+no step helps or bins empty. The underfull bins are dealt whole, by a salted
+hash, into a next round of groups; their number follows the measured number of
+pieces still open, so every round's groups have about the same size. Rounds end
+when all is in one group, when no bin could be spared any more, or when rounds
+free hardly any bins.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from weekcast.llm.common import LAST, lean, order_key, save, ship
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 20_000
-MERGE = 32                  # groups of a round that meet in the next
+LEAST_FREED, IDLE_ROUNDS = 0.01, 2     # so many rounds in a row that free less than this share of the open bins are the last
+LEVELS = 32                 # rounds that a sequence number has room for
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -185,15 +188,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     spark = pieces.sparkSession
     ship(spark)
     names = pieces.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields), "sequence_id long", "offset long", "level int", "grp long", "open boolean"])
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields]
+    schema = ", ".join([*fields, "sequence_id long", "offset long", "open boolean"])
 
     def packer(level: int):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
             group = int(frame["grp"].iloc[0])
-            frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
+            frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
             lengths = frame["length"].tolist()
+            bins = pack_group(lengths, capacity)
+            if level and len(bins) > frame["bin"].nunique():        # never more bins than came in
+                bins = [b.tolist() for b in frame.groupby("bin").indices.values()]
             order, sequence, offset, is_open = [], [], [], []
-            for k, b in enumerate(pack_group(lengths, capacity)):
+            for k, b in enumerate(bins):
                 at = 0
                 for i in b:
                     order.append(i)
@@ -201,23 +208,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
                     offset.append(at)
                     at += lengths[i]
                 is_open += [at < capacity] * len(b)
-            return frame[names].iloc[order].assign(sequence_id=sequence, offset=offset, level=level, grp=group, open=is_open)
+            return frame[names].iloc[order].assign(sequence_id=sequence, offset=offset, open=is_open)
         return run
 
     groups = -(-max(1, pieces.count()) // group_pieces)
-    todo = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # rows may be equal in all columns, so the row's own number decides
+    todo = pieces.withColumn("bin", F.monotonically_increasing_id()).withColumn("grp", F.pmod(F.xxhash64("bin"), F.lit(groups)))
     done: list[DataFrame] = []
-    level = 0
-    while True:
+    before, idle = None, 0
+    for level in range(LEVELS):
         packed = save(todo.groupBy("grp").applyInPandas(packer(level), schema), "packed")
-        if groups == 1:
+        left = packed.filter("open").agg(F.count("*").alias("pieces"), F.count_distinct("sequence_id").alias("bins"), F.sum("length").alias("length")).first()
+        spare = left.bins - -(-(left.length or 0) // capacity)
+        idle = idle + 1 if before is not None and before - left.bins < LEAST_FREED * before else 0
+        if groups == 1 or not spare or idle == IDLE_ROUNDS or level == LEVELS - 1:
             done.append(packed)
             break
         done.append(packed.filter(~F.col("open")))
-        groups = -(-groups // MERGE)
-        todo = packed.filter("open").select(*names, F.floor(F.col("grp") / MERGE).cast("long").alias("grp"))
-        level += 1
-    out = done[0]
+        before, groups = left.bins, -(-left.pieces // group_pieces)
+        dealt = F.pmod(F.xxhash64(F.lit(level), "sequence_id"), F.lit(groups))
+        todo = packed.filter("open").select(*names, F.col("sequence_id").alias("bin"), dealt.alias("grp"))
+    out = done[0].drop("open")
     for more in done[1:]:
-        out = out.unionByName(more)
+        out = out.unionByName(more.drop("open"))
     return out.select(*[F.when(F.col(c) != LAST, F.col(c)).alias(c) if c == "doc_id" else c for c in names], "sequence_id", "offset")
