@@ -3,16 +3,19 @@
 import hashlib
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.llm.conftest import SCHEMA
-from weekcast.llm import (contamination, langid, packing, ppm, sharding, simhash, sketches, substrings, suffixes, toxicity)
+from weekcast.llm import (common, contamination, langid, packing, passages, ppm, sharding, simhash, sketches, substrings, suffixes, toxicity)
 from weekcast.llm.queries import QUERIES, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -112,6 +115,35 @@ def test_repeats_match_plain_version(operator, plain, hard, hard_rows, nothing,
     assert sum(r.n_removed >= r.n_units - 2 for r in long) == 1 and len(long) == 2
 
 
+@pytest.mark.parametrize(("method", "plain"), [(suffixes.BytePassages(), brute.byte_repeats), (substrings.WordPassages(), brute.word_repeats)])
+def test_hot_anchors_match_plain_version(method, plain, hard, hard_rows):
+    short = [r for r in hard_rows if len(r[1] or "") < 3000]
+    made = passages.remove_repeats(hard.filter("text is null or length(text) < 3000"), method, hot_entries=0)     # all are hot
+    got = sorted((key(r.doc_id), r.n_units, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in made.collect())
+    assert got == plain(short)
+
+
+@pytest.mark.parametrize(("method", "words"), [(suffixes.BytePassages(), 12), (substrings.WordPassages(), 40)])
+def test_hot_anchors_do_not_fill_one_bucket(method, words):
+    rng = np.random.default_rng(9)
+    say = lambda n: " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (n, 6)))
+    phrase, buckets = say(words), 16
+    texts = [f"{say(60)} {phrase} {say(60)}".encode() for _ in range(400)]
+    rows = [SimpleNamespace(shard_key=str(k), **common.pack(list(range(k, 400, 4)), texts[k::4])) for k in range(4)]
+    asked = pd.concat([passages._ask(r, method, 1) for r in rows], ignore_index=True)
+    sent = {}
+    for hot_entries in (10**9, 100):
+        for row in rows:
+            replies = passages._answer(asked, hot_entries)
+            row.replies = replies[replies["shard_key"] == row.shard_key].to_dict("records")
+        made = pd.concat([passages._gather(r, method, 1, buckets) for r in rows])
+        body = made[made["bucket"] >= 0]["body"].map(zstandard.ZstdDecompressor().decompress)
+        entries = body.map(lambda b: int(np.frombuffer(b, "<i8", 1)[0])).groupby(made["bucket"][made["bucket"] >= 0].to_numpy()).sum()
+        sent[hot_entries] = entries.reindex(range(buckets), fill_value=0)
+    assert sent[10**9].max() >= 150 and sent[10**9].max() > 3 * sent[10**9].mean()      # without it, one bucket gets most documents
+    assert sent[100].max() < 2 * sent[100].mean()
+
+
 def test_transform_is_the_sorted_suffixes():
     rng = np.random.default_rng(3)
     size = rng.integers(1, 90, 20)

@@ -10,10 +10,15 @@ chosen by the window's content, so equal windows have equal anchors:
 2. Each shard sends the surroundings of its shared anchors to buckets, equal
    ones once, under their least document. A ``Method`` compares a bucket's
    surroundings and tells each shard which windows a smaller document holds.
+   An anchor that stands in many different surroundings (a frequent phrase, the
+   edge of a passage) is hot: buckets count them in step 1. Of a hot anchor
+   each window goes by itself to the bucket of its own hash, so equal windows
+   still meet and no bucket gets all of the anchor's surroundings.
 3. Each shard takes out what those windows cover.
 
-A passage in very many documents so costs one entry for each shard, and no
-message is larger than its shard. Nothing is capped.
+Inside a passage in very many documents, an anchor costs one entry for each
+shard; where it meets text that differs, one for each different surrounding or
+window. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,7 +38,10 @@ from weekcast.llm.common import LAST, parts_for, save, shard_documents, ship, te
 
 ANCHOR_BUCKET_BYTES = 16 << 20          # text for each bucket of anchors
 CONTEXT_BUCKET_BYTES = 8 << 20          # text for each bucket of surroundings
+HOT_ENTRIES = 1 << 15                   # different surroundings, shard by shard, from which an anchor is hot
+HEAVY = 4                               # a shard tells how many a key of its own has from so many on; fewer count as one
 BLOCK = 1 << 19
+ASKED = "shard_key string, bucket long, anchors binary, heavy binary, docs binary"
 OUT_SCHEMA = ("doc_id long, n_units long, n_removed long, n_spans long, "
               "spans array<struct<start:long,end:long>>, kept binary, carried string")
 
@@ -99,6 +107,17 @@ def _anchors(units: np.ndarray, bounds: np.ndarray, method: Method) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _window_hashes(units: np.ndarray, bounds: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """Hash of the window at each of the ascending starts, some documents at a time."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    for a, inner in _blocks(bounds, window):
+        i, j = np.searchsorted(starts, [a, a + min(BLOCK, int(inner[-1]))])
+        if i < j:
+            at = starts[i:j] - a
+            out[i:j] = winnow.span_hash(winnow.prefix_sums(units[a:a + inner[-1]]), at, at + window)
+    return out
+
+
 def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(stable order by bucket, filled buckets, edges)."""
     at = (keys % np.uint64(buckets)).astype(np.int64)
@@ -132,21 +151,35 @@ def _ask(row, method: Method, buckets: int) -> pd.DataFrame:
     np.minimum.at(low, s.of_key, s.ids[s.doc])
     np.maximum.at(high, s.of_key, s.ids[s.doc])
     body = (((s.keys // np.uint64(buckets)) << np.uint64(1)) & np.uint64(0xFFFFFFFF) | (low != high).astype(np.uint64)).astype("<u4")[s.order]
+    times = np.bincount(s.of_key, minlength=len(s.keys))
+    some = np.flatnonzero(times[s.of_key] >= HEAVY)
+    pairs = np.unique(np.stack([s.of_key[some].astype(np.uint64), s.content[some]], axis=1), axis=0)
+    many = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(s.keys))[s.order]
     docs = np.hstack([s.digest, s.ids[s.long].astype("<u8")[:, None]])[s.doc_order]
     anchors = {int(b): body[x:y].tobytes() for b, x, y in zip(s.filled, s.edges, s.edges[1:], strict=False)}
+    heavy = {}
+    for b, x, y in zip(s.filled, s.edges, s.edges[1:], strict=False):
+        at = np.flatnonzero(many[x:y] >= HEAVY)
+        heavy[int(b)] = np.stack([at, many[x:y][at]]).astype("<u4").tobytes()
     wholes = {int(b): docs[x:y].tobytes() for b, x, y in zip(s.doc_filled, s.doc_edges, s.doc_edges[1:], strict=False)}
     filled = sorted(anchors.keys() | wholes.keys())
-    return pd.DataFrame({"shard_key": row.shard_key, "bucket": filled, "anchors": [anchors.get(b, b"") for b in filled], "docs": [wholes.get(b, b"") for b in filled]})
+    return pd.DataFrame({"shard_key": row.shard_key, "bucket": filled, "anchors": [anchors.get(b, b"") for b in filled],
+                         "heavy": [heavy.get(b, b"") for b in filled], "docs": [wholes.get(b, b"") for b in filled]})
 
 
-def _answer(frame: pd.DataFrame) -> pd.DataFrame:
-    """Per shard: which anchors several documents hold, and which texts a smaller document holds whole."""
+def _answer(frame: pd.DataFrame, hot_entries: int) -> pd.DataFrame:
+    """Per shard: which anchors several documents hold, which are hot, and which texts a smaller document holds whole."""
     parts = [np.frombuffer(b, "<u4") for b in frame["anchors"]]
     every = np.concatenate(parts)
     _, inverse, times = np.unique(every >> np.uint32(1), return_inverse=True, return_counts=True)
     several = np.bincount(inverse, weights=every & 1) + times > 1
     shared = several[inverse]
     edges = np.cumsum([0, *map(len, parts)])
+    load = np.ones(len(every))
+    for a, body in zip(edges.tolist(), frame["heavy"], strict=False):
+        at, many = np.frombuffer(body, "<u4").reshape(2, -1)
+        load[a + at.astype(np.int64)] = many
+    hot = (np.bincount(inverse, weights=load) > hot_entries)[inverse]
     docs = [np.frombuffer(b, "<u8").reshape(-1, 3) for b in frame["docs"]]
     rows = np.concatenate(docs)
     order = np.lexsort((rows[:, 2].astype(np.int64), rows[:, 1], rows[:, 0]))
@@ -158,14 +191,16 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     doc_edges = np.cumsum([0, *map(len, docs)])
     return pd.DataFrame({"shard_key": frame["shard_key"], "bucket": frame["bucket"],
                          "anchors": [np.packbits(shared[a:b]).tobytes() for a, b in zip(edges, edges[1:], strict=False)],
+                         "heavy": [np.packbits(hot[a:b]).tobytes() if hot[a:b].any() else b"" for a, b in zip(edges, edges[1:], strict=False)],
                          "docs": [np.packbits(copy[a:b]).tobytes() for a, b in zip(doc_edges, doc_edges[1:], strict=False)]})
 
 
 def _unpack_bits(replies: dict[int, bytes], filled: np.ndarray, edges: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Answers of all buckets, back in the order of the keys."""
+    """Answers of all buckets, back in the order of the keys; an empty answer is all no."""
     out = np.zeros(len(order), dtype=bool)
     for b, x, y in zip(filled.tolist(), edges, edges[1:], strict=False):
-        out[order[x:y]] = np.unpackbits(np.frombuffer(replies[b], np.uint8), count=y - x).astype(bool)
+        if replies[b]:
+            out[order[x:y]] = np.unpackbits(np.frombuffer(replies[b], np.uint8), count=y - x).astype(bool)
     return out
 
 
@@ -174,19 +209,28 @@ def _gather(row, method: Method, buckets: int, context_buckets: int) -> pd.DataF
     s = _Shard(row, method, buckets)
     anchors = {r["bucket"]: r["anchors"] for r in row.replies} if row.replies is not None else {}
     wholes = {r["bucket"]: r["docs"] for r in row.replies} if row.replies is not None else {}
+    heavy = {r["bucket"]: r["heavy"] for r in row.replies} if row.replies is not None else {}
     copies = np.zeros(len(s.ids), dtype=bool)
     copies[s.long] = _unpack_bits(wholes, s.doc_filled, s.doc_edges, s.doc_order)
     shared = _unpack_bits(anchors, s.filled, s.edges, s.order)
     at = np.flatnonzero(shared[s.of_key] & ~copies[s.doc])
-    first, size, doc = s.first[at], s.last[at] - s.first[at] + method.window, s.doc[at]
-    content = s.content[at]
-    order = np.lexsort((s.ids[doc], content, s.hash[at]))
-    new = np.concatenate(([True], (content[order][1:] != content[order][:-1]) | (s.hash[at][order][1:] != s.hash[at][order][:-1]))) if len(at) else np.zeros(0, bool)
+    first, size, key, content = s.first[at], s.last[at] - s.first[at] + method.window, s.hash[at], s.content[at]
+    alone = _unpack_bits(heavy, s.filled, s.edges, s.order)[s.of_key[at]]
+    if alone.any():                                         # a hot anchor's windows, one by one
+        many = np.where(alone, size - method.window + 1, 1)
+        at, key, content = np.repeat(at, many), np.repeat(key, many), np.repeat(content, many)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        alone, first = np.repeat(alone, many), np.repeat(first, many) + step
+        size = np.where(alone, method.window, np.repeat(size, many))
+        key[alone] = content[alone] = _window_hashes(s.units, s.unit_bounds, first[alone], method.window)
+    doc = s.doc[at]
+    order = np.lexsort((s.ids[doc], content, key))
+    new = np.concatenate(([True], (content[order][1:] != content[order][:-1]) | (key[order][1:] != key[order][:-1]))) if len(at) else np.zeros(0, bool)
     head = order[np.flatnonzero(new)]                       # the least document's
     entry = np.empty(len(at), dtype=np.int64)
     entry[order] = np.cumsum(new) - 1
     least = s.ids[doc[head]]
-    lay, filled, edges = _split(s.hash[at][head], context_buckets)
+    lay, filled, edges = _split(key[head], context_buckets)
     place = np.empty(len(head), dtype=np.int64)
     place[lay] = np.arange(len(head))
     packer = zstandard.ZstdCompressor(level=1)
@@ -240,7 +284,7 @@ def _take_out(row, method: Method) -> pd.DataFrame:
     return out
 
 
-def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = None, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """Per document: doc_id, n_units, n_removed, n_spans, spans (in units), kept (bytes), carried.
 
     ``carry`` names columns to take along as JSON in ``carried``. Null texts
@@ -269,9 +313,9 @@ def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = No
         return pd.DataFrame({"shard_key": frame["shard_key"], "bucket": frame["bucket"], "n": [len(f) for f in flags], "body": [np.packbits(f).tobytes() for f in flags]})
 
     text = shards.drop("carried")
-    replies = (text.mapInPandas(each(lambda row: _ask(row, method, buckets)), "shard_key string, bucket long, anchors binary, docs binary")
-               .groupBy("bucket").applyInPandas(_answer, "shard_key string, bucket long, anchors binary, docs binary")
-               .groupBy("shard_key").agg(F.collect_list(F.struct("bucket", "anchors", "docs")).alias("replies")))
+    replies = (text.mapInPandas(each(lambda row: _ask(row, method, buckets)), ASKED)
+               .groupBy("bucket").applyInPandas(lambda frame: _answer(frame, hot_entries), ASKED)
+               .groupBy("shard_key").agg(F.collect_list(F.struct("bucket", "anchors", "heavy", "docs")).alias("replies")))
     asked = text.join(replies, "shard_key", "left")
     sent = save(asked.mapInPandas(each(lambda row: _gather(row, method, buckets, context_buckets)), "shard_key string, bucket long, body binary"), "contexts", compression="none")
     found = (sent.filter("bucket >= 0").groupBy("bucket").applyInPandas(solve, "shard_key string, bucket long, n int, body binary")
