@@ -46,6 +46,28 @@ def test_toxicity_learns_and_handles_awkward_rows(spark, hard, nothing, clashing
     assert {r.predicted for r in toxicity.score(hard, labels.limit(0)).collect()} == {0}
 
 
+def test_toxicity_sample_takes_long_texts_and_repeated_ids(spark, monkeypatch):
+    fitted = []
+    plain = toxicity.fit_field
+    monkeypatch.setattr(toxicity, "fit_field", lambda texts, toxic, **k: fitted.append((texts, toxic)) or plain(texts, toxic, **k))
+    rows = [(k, ("you stupid moron " if k % 3 == 0 else "you there ") + " ".join(f"word{(k * 7 + j) % 50}" for j in range(20))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    first = labels.filter(train).orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id").first().doc_id
+    long = docs.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("long words "), 500_000)).otherwise(F.col("text")))
+    again = docs.filter(F.col("doc_id") == first).crossJoin(spark.range(5000)).select("doc_id", "text")
+    for table in (long, docs.unionByName(again), long.unionByName(long)):
+        fitted.clear()
+        got = {r.doc_id: r for r in toxicity.score(table, labels).collect()}
+        (texts, toxic), = fitted
+        assert len(texts) == labels.filter(train).count() == len(toxic) and sum(map(len, texts)) <= toxicity.SAMPLE_BYTES
+        assert all(r.predicted == int(k % 3 == 0) for k, r in got.items() if r.held_out)
+    fitted.clear()
+    toxicity.fit(long, labels, train, most_bytes=6000)                      # the long one doesn't fit, others do
+    assert {True, False} == set(fitted[0][1].tolist()) and 4000 < sum(map(len, fitted[0][0])) <= 6000
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(1)
     sizes = [0, 1, 5, 9]

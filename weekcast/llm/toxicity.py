@@ -27,6 +27,7 @@ from weekcast.llm.common import id_remainder, ship, spread
 
 SAMPLE = 1500               # training documents of each label
 SAMPLE_BYTES = 4 << 20      # text of the training documents, at most
+SAMPLE_CHARS = 8192         # of a longer training document, a random segment of so many characters
 SEGMENT = 128
 FEATURES = 1 << 18
 STEMS = (4, 5, 6, 7, 8)     # bytes of a word's stems
@@ -259,24 +260,32 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE,
     """Fit on at most ``sample`` labelled documents of each label, picked by a hash of the id.
 
     Rows without a label count for nothing; a document labelled both ways is
-    toxic. Texts are taken in hash order, whole, until ``most_bytes`` is
-    reached. Without labelled texts nothing is found toxic.
+    toxic. An id counts once, with one of its texts; of a text longer than
+    SAMPLE_CHARS a random segment stands for it. Each label has half of
+    ``most_bytes``, filled in hash order; a text that doesn't fit is skipped.
+    Without labelled texts nothing is found toxic.
     """
     known = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .filter(train).withColumn("pick", F.xxhash64(F.lit("toxicity"), "doc_id")))
     picked = known.filter("toxic = 1").orderBy("pick", "doc_id").limit(sample).unionByName(known.filter("toxic = 0").orderBy("pick", "doc_id").limit(sample))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
-    sized = texts.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(picked), "doc_id").orderBy("pick", "doc_id", "size").collect()    # 2 * sample ids
-    total, ids = 0, []
-    for r in sized:
-        total += r["size"]
-        if total > most_bytes:
-            break
-        ids.append((r["doc_id"], r["toxic"], r["pick"]))
+    whole = F.col("text").cast("string")
+    over = F.greatest(F.length(whole) - SAMPLE_CHARS, F.lit(0))
+    begin = (F.pmod(F.xxhash64(F.lit("segment"), "doc_id"), over + 1) + 1).cast("int")
+    texts = (docs.join(F.broadcast(picked), "doc_id").filter("text is not null")                    # 2 * sample ids
+             .select("doc_id", "toxic", "pick", whole.substr(begin, F.lit(SAMPLE_CHARS)).alias("text"))
+             .withColumn("one", F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"))))
+    sized = texts.groupBy("doc_id", "toxic", "pick").agg(F.min("one").alias("one")).select("doc_id", "toxic", "pick", "one.*").collect()
+    room, ids = {1: most_bytes // 2, 0: most_bytes // 2}, []
+    for r in sorted(sized, key=lambda r: (r["pick"], r["doc_id"])):
+        if r["size"] <= room[r["toxic"]]:
+            room[r["toxic"]] -= r["size"]
+            ids.append((r["doc_id"], r["size"], r["hash"]))
     if not ids:
         return Field(np.zeros(FEATURES), -20.0, np.zeros((2, 2)), np.array([0.0, 0.0, -20.0]))
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int, pick long").distinct()
-    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("pick", "doc_id", F.xxhash64("text")).select("text", "toxic").collect()
+    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, size int, hash long")
+    one = (texts.select("doc_id", "toxic", "pick", "text", "one.*").join(F.broadcast(chosen), ["doc_id", "size", "hash"])
+           .groupBy("doc_id", "pick", "toxic").agg(F.first("text").alias("text")))                  # its equal rows
+    rows = sorted(one.collect(), key=lambda r: (r["pick"], r["doc_id"]))
     prior = known.filter("toxic in (0, 1)").agg(F.avg("toxic")).first()[0]
     return fit_field([r["text"].encode() for r in rows], np.array([r["toxic"] == 1 for r in rows], dtype=bool), prior=prior)
 
