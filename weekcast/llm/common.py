@@ -85,6 +85,22 @@ def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HEAVY_SHARE = 1024              # a key with a 1024th of all rows or more is heavy: there are at most so many
+
+
+def join_heavy(rows: DataFrame, side: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side``, which has one row for each key and, in ``weight``, how many of ``rows`` have it.
+
+    Heavy keys (at most HEAVY_SHARE) are broadcast, so a key with a third of
+    all rows isn't shuffled at all; the others meet in a shuffle, in which none
+    of them is large. Save both frames first: they are read twice.
+    """
+    total = side.agg(F.sum(weight)).first()[0] or 0
+    heavy = side.filter(F.col(weight) * HEAVY_SHARE >= total)
+    light = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(side.filter(F.col(weight) * HEAVY_SHARE < total), keys, how)
+    return rows.join(F.broadcast(heavy), keys).unionByName(light)
+
+
 def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32(doc_id as text) mod ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -66,3 +66,30 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(hit.n_hi
        CAST(coalesce(named.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(named.items, '')) AS items_sha256,
        coalesce(hit.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN named ON named.r = d.r"""
+
+
+SQL["op12_conversation_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS item,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list(item ORDER BY pos) AS turns,
+             flatten([[CAST(ascii(c) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]) AS bits
+      FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, turns, conv_id - conv_id % 5 AS base,
+             CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), bits),
+                  lambda c, e: CASE WHEN xor(c, e) & 1 = 1 THEN xor(xor(c, e) >> 1, 3988292384) ELSE xor(c, e) >> 1 END), 4294967295) % 9 AS BIGINT) AS h
+      FROM s),
+r AS (SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns FROM h a LEFT JOIN h b ON b.conv_id = a.base),
+p AS (SELECT conv_id, depth, turns[1:depth] AS k, depth = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM r)),
+n AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM p GROUP BY depth, k),
+c AS (SELECT depth - 1 AS depth, k[1:depth - 1] AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * CASE WHEN depth > 0 THEN octet_length(encode(k[depth].t)) ELSE 0 END AS own
+      FROM n LEFT JOIN c USING (depth, k)),
+b AS (SELECT depth, k, sum(own) AS saved, sum(CAST(n_children = 0 AS BIGINT)) AS leaves
+      FROM (SELECT v.own, v.n_children, d AS depth, v.k[1:d] AS k FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v) v) GROUP BY depth, k)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN b USING (depth, k) LEFT JOIN v u ON u.depth = v.depth - 1 AND u.k = v.k[1:v.depth - 1] AND v.depth > 0"""
