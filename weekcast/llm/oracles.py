@@ -93,3 +93,22 @@ b AS (SELECT depth, k, sum(own) AS saved, sum(CAST(n_children = 0 AS BIGINT)) AS
 SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
        CAST(b.saved AS BIGINT) AS saved_tokens, v.ends_sha256
 FROM v JOIN b USING (depth, k) LEFT JOIN v u ON u.depth = v.depth - 1 AND u.k = v.k[1:v.depth - 1] AND v.depth > 0"""
+
+
+SQL["op13_phrase_collocation_mining"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+n AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, words, k, unnest(range(0, len(words) - k + 1)) AS i FROM (SELECT p.*, unnest([1, 2, 3, 4]) AS k FROM p) x WHERE len(words) >= k),
+f AS (SELECT lang, k, array_to_string(words[i + 1 : i + k], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2),
+u AS (SELECT lang, phrase, a, words, cut, array_to_string(words[1 : cut], ' ') AS x, array_to_string(words[cut + 1 :], ' ') AS y
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+s AS (SELECT u.lang, u.phrase, u.a, u.cut, fx.f AS l, fy.f AS r, CAST(u.a AS HUGEINT) * 2000000 // (CAST(fx.f AS HUGEINT) + fy.f) AS score
+      FROM u JOIN f fx ON fx.lang = u.lang AND fx.phrase = u.x JOIN f fy ON fy.lang = u.lang AND fy.phrase = u.y),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM s) WHERE place = 1),
+o AS (SELECT lang, array_to_string(words[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+      FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL),
+e AS (SELECT b.* FROM b LEFT JOIN o USING (lang, phrase) WHERE o.longer IS NULL OR 100 * CAST(o.longer AS HUGEINT) < 80 * CAST(b.a AS HUGEINT)),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e)
+SELECT t.lang, t.rank, t.phrase, t.a, t.l, t.r, n.n, CAST(t.score AS BIGINT) AS score FROM t JOIN n USING (lang) WHERE t.rank <= 2000"""

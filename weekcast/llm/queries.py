@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import contamination, langid, packing, ppm, prefixes, sharding, simhash, sketches, substrings, suffixes, tokens, toxicity
+from weekcast.llm import collocations, contamination, langid, packing, ppm, prefixes, sharding, simhash, sketches, substrings, suffixes, tokens, toxicity
 from weekcast.llm.common import save, ship
 from weekcast.llm.oracles import SQL as SQL
 
@@ -79,6 +79,10 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefixes.trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -91,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_phrase_collocation_mining": op13_phrase_collocation_mining,
 }
 
