@@ -85,6 +85,19 @@ def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` doesn't have, one for each stem (Spark takes names that differ in case alone for equal)."""
+    taken = {c.lower() for c in df.columns}
+    made = []
+    for stem in stems:
+        name = f"__{stem}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
 HEAVY_SHARE = 1024              # a key with a 1024th of all rows or more is heavy: there are at most so many
 
 

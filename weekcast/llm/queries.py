@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekcast.llm import collocations, contamination, langid, packing, ppm, prefixes, sharding, simhash, sketches, substrings, suffixes, tokens, toxicity
+from weekcast.llm import collocations, contamination, extraction, langid, packing, ppm, prefixes, sharding, simhash, sketches, substrings, suffixes, tokens, toxicity
 from weekcast.llm.common import save, ship
 from weekcast.llm.oracles import SQL as SQL
 
@@ -75,6 +75,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.trie(_table(spark, sf_dir, "conversations"))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_html_extraction": op11_html_extraction,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_phrase_collocation_mining": op13_phrase_collocation_mining,
 }
