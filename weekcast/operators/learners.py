@@ -1,176 +1,59 @@
-"""Boosted-tree learners on MLlib.
-
-MLlib has no quantile loss, so ``QuantileBoost`` boosts on the pinball
-loss itself: each round fits a regression tree to the negative
-pinball gradient (alpha above the current prediction, alpha - 1 below),
-then re-values every leaf with the alpha-quantile of the residuals in that
-leaf (a grouped ``percentile_approx``; at most 2^depth rows, broadcast back).
-The training frame is checkpointed every round to the session's checkpoint
-folder, so lineage stays short and lost executors re-read instead of
-recomputing all rounds. Early stopping watches the validation pinball loss.
-Nulls get sentinels MLlib trees can split on: lags and rolling values -1
-(demand is never negative), velocities -2 (never below -1), the rest 0.
+"""Boosted-tree learners (B5-B7): ``boosting`` fits them, ``forest`` scores them.
+
+Missing inputs stay missing: each split learns the side they go to.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import FEATURE_COLUMNS, QUANTILES
-from weekcast.session import ensure_checkpoint_dir
-
-
-def with_sentinels(df: DataFrame, cols: list[str] = FEATURE_COLUMNS) -> DataFrame:
-    fills = {}
-    for c in cols:
-        if c.startswith("demand_change"):
-            fills[c] = -2.0
-        elif c.startswith("lag_") or c.startswith("rolling_"):
-            fills[c] = -1.0
-        else:
-            fills[c] = 0
-    return df.fillna(fills)
-
-
-def assemble(df: DataFrame, cols: list[str] = FEATURE_COLUMNS) -> DataFrame:
-    casted = with_sentinels(df, cols).select("*", *[F.col(c).cast("double").alias(f"_f_{c}") for c in cols])
-    return VectorAssembler(inputCols=[f"_f_{c}" for c in cols], outputCol="features_vec").transform(casted)
-
-
-def pinball(y, q, alpha: float):
-    r = y - q
-    return F.when(r >= 0, alpha * r).otherwise((alpha - 1) * r)
-
-
-@dataclass
-class QuantileTrees:
-    alpha: float
-    init: float
-    learning_rate: float
-    trees: list = field(default_factory=list)        # (DecisionTreeRegressionModel, {leaf: gamma})
-    history: list = field(default_factory=list)      # (round, train loss, val loss)
-
-    def score(self, vec_df: DataFrame, out: str) -> DataFrame:
-        pred = F.lit(self.init)
-        df = vec_df
-        for i, (tree, gammas) in enumerate(self.trees):
-            leaf = f"_leaf_{i}"
-            df = tree.setLeafCol(leaf).setPredictionCol(f"_tp_{i}").transform(df)
-            mapping = F.create_map(*[x for k, v in gammas.items() for x in (F.lit(float(k)), F.lit(float(v)))])
-            pred = pred + self.learning_rate * F.coalesce(mapping[F.col(leaf)], F.lit(0.0))
-        keep = [c for c in vec_df.columns]
-        return df.select(*keep, pred.alias(out))
+from weekcast.operators.boosting import Fit, HistogramBoost
+from weekcast.operators.forest import Forest
 
 
 class QuantileBoost:
-    """P10 / P50 / P90 boosted trees with pinball loss and early stopping.
+    """P10 / P50 / P90 boosted trees with pinball loss and early stopping, all quantiles in the same jobs.
 
-    The defaults are the analysed workload's: 500 rounds, learning rate 0.05,
-    80 % of rows and columns for each tree, and a stop after 50 rounds without
-    a better validation loss.
+    The defaults are the analysed workload's: 500 rounds of 63 leaves, learning
+    rate 0.05, 80 % of the columns for each tree, and a stop after 50 rounds
+    without a better validation loss.
     """
 
-    def __init__(self, features: list[str] = FEATURE_COLUMNS, quantiles: dict[str, float] = QUANTILES,
-                 rounds: int = 500, learning_rate: float = 0.05, depth: int = 6, min_instances: int = 20,
-                 early_stopping: int = 50, row_share: float = 0.8, column_share: float = 0.8, seed: int = 42):
-        self.features, self.quantiles = features, quantiles
-        self.rounds, self.learning_rate, self.depth = rounds, learning_rate, depth
-        self.min_instances, self.early_stopping, self.seed = min_instances, early_stopping, seed
-        self.row_share, self.column_share = row_share, column_share
-        self.models: dict[str, QuantileTrees] = {}
-
-    def _tree(self, grad: DataFrame, seed: int):
-        """One regression tree on a sample of rows and, at each split, of columns."""
-        forest = RandomForestRegressor(featuresCol="features_vec", labelCol="g", numTrees=1, bootstrap=False,
-                                       subsamplingRate=self.row_share, featureSubsetStrategy=str(self.column_share),
-                                       maxDepth=self.depth, minInstancesPerNode=self.min_instances, seed=seed)
-        return forest.fit(grad).trees[0]
-
-    def _fit_one(self, train: DataFrame, val: DataFrame | None, alpha: float) -> QuantileTrees:
-        """Training and validation rows carry their prediction along: a round scores one tree only."""
-        init = train.agg(F.percentile("demand", alpha)).first()[0] or 0.0
-        m = QuantileTrees(alpha, float(init), self.learning_rate)
-        rows = train.withColumn("_is_val", F.lit(False))
-        if val is not None:
-            rows = rows.unionByName(val.withColumn("_is_val", F.lit(True)))
-        cur = rows.select("features_vec", F.col("demand").alias("y"), "_is_val", F.lit(float(init)).alias("q"))
-        best, since = None, 0
-        for r in range(self.rounds):
-            grad = cur.withColumn("g", F.when(F.col("y") > F.col("q"), alpha).otherwise(alpha - 1.0))
-            tree = self._tree(grad.filter(~F.col("_is_val")), self.seed + r)
-            leaves = tree.setLeafCol("leaf").setPredictionCol("_tp").transform(cur)
-            gam = (leaves.filter(~F.col("_is_val")).groupBy("leaf")
-                   .agg(F.percentile_approx(F.col("y") - F.col("q"), alpha, 10000).alias("gamma")))
-            gammas = {row["leaf"]: row["gamma"] for row in gam.collect()}   # <= 2^depth rows
-            m.trees.append((tree, gammas))
-            mapping = F.create_map(*[x for k, v in gammas.items() for x in (F.lit(float(k)), F.lit(float(v)))])
-            cur = (leaves.select("features_vec", "y", "_is_val",
-                                 (F.col("q") + self.learning_rate * F.coalesce(mapping[F.col("leaf")], F.lit(0.0)))
-                                 .alias("q"))
-                   .checkpoint(eager=True))
-            losses = {row["_is_val"]: row["loss"] for row in cur.groupBy("_is_val").agg(
-                F.avg(pinball(F.col("y"), F.col("q"), alpha)).alias("loss")).collect()}
-            val_loss = losses.get(True)
-            m.history.append((r + 1, losses.get(False), val_loss))
-            if val_loss is not None:
-                if best is None or val_loss < best - 1e-12:
-                    best, since = val_loss, 0
-                else:
-                    since += 1
-                    if since >= self.early_stopping:
-                        m.trees = m.trees[: len(m.trees) - since]
-                        break
-        return m
+    def __init__(self, features: list[str] = FEATURE_COLUMNS, quantiles: dict[str, float] = QUANTILES, **options):
+        self.features, self.quantiles, self.options = features, quantiles, options
+        self.models: dict[str, Fit] = {}
+        self.forest: Forest | None = None
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> "QuantileBoost":
-        ensure_checkpoint_dir(train.sparkSession)
-        tv = assemble(train, self.features).select("features_vec", "demand").checkpoint(eager=True)
-        vv = assemble(val, self.features).select("features_vec", "demand").checkpoint(eager=True) if val is not None else None
-        for name, alpha in self.quantiles.items():
-            self.models[name] = self._fit_one(tv, vv, alpha)
+        boost = HistogramBoost(list(self.features), dict(self.quantiles), **self.options).fit(train, val)
+        self.models, self.forest = boost.fits, Forest.of(boost)
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds p10 / p50 / p90 (clamped at 0)."""
-        out = assemble(df, self.features)
-        base_cols = df.columns
-        for name, m in self.models.items():
-            out = m.score(out, name).withColumn(name, F.greatest(F.lit(0.0), F.col(name)))
-        return out.select(*base_cols, *self.models.keys())
+    def transform(self, df: DataFrame, ordered: bool = False) -> DataFrame:
+        """Adds p10 / p50 / p90 (at least 0; sorted in each row if ``ordered``)."""
+        return self.forest.transform(df, ordered)
 
     def feature_importance(self, name: str = "p50") -> list[tuple[str, float]]:
-        """Split importance summed over the trees of one quantile model."""
-        total = [0.0] * len(self.features)
-        for tree, _ in self.models[name].trees:
-            for i, v in enumerate(tree.featureImportances.toArray()):
-                total[i] += float(v)
-        s = sum(total) or 1.0
-        return sorted(((f, v / s) for f, v in zip(self.features, total)), key=lambda t: -t[1])
+        return self.forest.importance(name)
+
 
+def point_boost(train: DataFrame, val: DataFrame | None = None, features: list[str] = FEATURE_COLUMNS, depthwise: bool = False, **options) -> Forest:
+    """Squared-error boosted trees with early stopping.
 
-def point_boost(train: DataFrame, val: DataFrame | None = None, features: list[str] = FEATURE_COLUMNS,
-                rounds: int = 500, depth: int = 6, learning_rate: float = 0.05, seed: int = 42):
-    """Squared-error boosted trees (MLlib GBTRegressor), early stopping on validation."""
-    tv = assemble(train, features).withColumn("_is_val", F.lit(False))
-    if val is not None:
-        tv = tv.unionByName(assemble(val, features).withColumn("_is_val", F.lit(True)))
-    gbt = GBTRegressor(featuresCol="features_vec", labelCol="demand", maxIter=rounds, maxDepth=depth,
-                       stepSize=learning_rate, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                       minInstancesPerNode=20, seed=seed, lossType="squared",
-                       validationIndicatorCol="_is_val" if val is not None else None)
-    return gbt.fit(tv.select("features_vec", "demand", "_is_val"))
+    Leaf-wise like B5's, or ``depthwise``: whole levels down to depth 6, 80 % of
+    the rows for each tree, one row's weight added to each leaf.
+    """
+    if depthwise:
+        options = {"leaves": 64, "depth": 6, "row_share": 0.8, "l2": 1.0, **options}
+    return Forest.of(HistogramBoost(list(features), {"p50": None}, **options).fit(train, val))
 
 
-def point_predict(model, df: DataFrame, features: list[str] = FEATURE_COLUMNS) -> DataFrame:
-    out = model.transform(assemble(df, features))
-    return out.select("sku_id", "week", F.greatest(F.lit(0.0), F.col("prediction")).alias("p50"))
+def point_predict(model: Forest, df: DataFrame) -> DataFrame:
+    return model.transform(df.select("sku_id", "week", *model.features)).select("sku_id", "week", "p50")
 
 
 def importance_frame(spark, pairs: list[tuple[str, float]]) -> DataFrame:
     """B7 as a DataFrame (feature, importance), descending."""
-    return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"))
+    return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")

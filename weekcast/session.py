@@ -8,6 +8,7 @@ partitions, broadcast threshold) always win.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,3 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             configured = tempfile.mkdtemp(prefix="weekcast-ckpt-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so tasks can import its functions."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="weekcast-package-"), "weekcast")
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(app)
