@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.llm import winnow
-from weekcast.llm.common import join_heavy, lean, save, ship, trim
+from weekcast.llm.common import free, join_heavy, lean, save, ship, trim
 
 LONGEST = 4
 SUPPORT = 30
@@ -40,7 +40,7 @@ TOP = 2000
 BLOCK_BYTES = 16 << 20          # text for each row of a relation
 PART_BYTES = 1 << 19            # longer texts are cut at a separator
 BETWEEN = re.compile(rb"[.,;:!?\n-\r]")
-SCHEMA = "shard long, keys binary, phrases array<string>, langs array<string>, f binary, own binary, at binary, pos binary"
+SCHEMA = "shard long, keys binary, phrases binary, langs binary, names array<string>, f binary, own binary, at binary, pos binary"
 NO_LANG = "und"
 
 # fixed: 0 belongs to a word, 1 stands between words, 2 between pieces
@@ -87,7 +87,8 @@ def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 def _block(held: list[tuple[bytes, str]]) -> pd.DataFrame:
     """All word occurrences of some texts as one row: the relation of length 1 before its semi-join."""
-    keys, places, names, spans = [], [], [], []
+    keys, places, langs, spans = [], [], [], []
+    number: dict[str, int] = {}
     place, i = 0, 0
     laid = []
     while i < len(held):
@@ -103,26 +104,32 @@ def _block(held: list[tuple[bytes, str]]) -> pd.DataFrame:
             salt = np.array([xxhash.xxh3_64_intdigest(lang) for _, lang in held[i:j]], dtype=np.uint64)
             keys.append(winnow.mix(hashes + salt[text]))
             places.append(place + np.arange(len(start)) + piece)          # one more at each piece's end
-            names.append(np.array([lang for _, lang in held[i:j]], dtype=object)[text])
+            langs.append(np.array([number.setdefault(lang, len(number)) for _, lang in held[i:j]])[text])
             spans.append(np.stack([start, end]) + sum(map(len, laid)))
             laid.append(data)
             place = int(place + len(start) + piece[-1] + 1) if len(start) else place
         i = j
     if not keys:
-        keys, places, names, spans = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, object)], [np.zeros((2, 0), np.int64)]
+        keys, places, langs, spans = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)]
     distinct, where, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     raw = b"".join(d.tobytes() for d in laid)
     start, end = np.concatenate(spans, axis=1)[:, where]
     phrases = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-    return _row(uuid.uuid4().int >> 65, distinct, phrases, np.concatenate(names)[where], None, None, at, np.concatenate(places))
+    return _row(uuid.uuid4().int >> 65, distinct, phrases, np.concatenate(langs)[where], list(number), None, None, at, np.concatenate(places))
 
 
-def _row(shard: int, keys, phrases, langs, f, own, at, pos) -> pd.DataFrame:
-    return pd.DataFrame([{"shard": shard, "keys": _pack(keys.astype("<u8")), "phrases": list(phrases), "langs": list(langs),
+def _row(shard: int, keys, phrases: list[str], langs: np.ndarray, names: list[str], f, own, at, pos) -> pd.DataFrame:
+    text = zstandard.ZstdCompressor(level=3).compress("\n".join(phrases).encode())        # no word holds a line feed
+    return pd.DataFrame([{"shard": shard, "keys": _pack(keys.astype("<u8")), "phrases": text, "langs": _pack(langs.astype("<i4")), "names": names,
                           "f": None if f is None else _pack(f.astype("<i8")), "own": None if own is None else _pack(own.astype(np.uint8)),
                           "at": _pack(at.astype("<i4")), "pos": _pack(np.diff(pos, prepend=0).astype("<i4"))}])
 
 
+def _phrases(row) -> list[str]:
+    text = zstandard.ZstdDecompressor().decompress(row.phrases).decode()
+    return text.split("\n") if text else []
+
+
 def occurrences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
     for frame in frames:
@@ -176,13 +183,14 @@ def _semi_join(length: int):
             hit[inside] = found[to[inside]] == signed[inside]
             pick = np.flatnonzero(hit)
             reply = order[to[pick]]
+            every = _phrases(row)
             if length == 1:
-                phrases = [row.phrases[i] for i in pick.tolist()]
+                phrases = [every[i] for i in pick.tolist()]
             else:
-                phrases = [f"{row.phrases[a]} {row.phrases[b].rsplit(' ', 1)[-1]}" for a, b in zip(left[pick].tolist(), right[pick].tolist(), strict=True)]
+                phrases = [f"{every[a]} {every[b].rsplit(' ', 1)[-1]}" for a, b in zip(left[pick].tolist(), right[pick].tolist(), strict=True)]
             number = np.cumsum(hit) - 1
             kept = np.flatnonzero(hit[entry])
-            out.append(_row(row.shard, key[pick], phrases, [row.langs[i] for i in left[pick].tolist()], frequent["f"].to_numpy()[reply].astype(np.int64),
+            out.append(_row(row.shard, key[pick], phrases, _unpack(row.langs, "<i4")[left[pick]], list(row.names), frequent["f"].to_numpy()[reply].astype(np.int64),
                             frequent["owner"].to_numpy()[reply] == row.shard, number[entry[kept]], pos[kept]))
         trim()
         return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in SCHEMA.split(", ")])
@@ -195,7 +203,8 @@ def _owned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in frame.itertuples(index=False):
             mine = np.flatnonzero(_unpack(row.own, np.uint8))
             if len(mine):
-                yield pd.DataFrame({"lang": np.asarray(row.langs, dtype=object)[mine], "phrase": np.asarray(row.phrases, dtype=object)[mine], "f": _unpack(row.f, "<i8")[mine]})
+                yield pd.DataFrame({"lang": np.asarray(row.names, dtype=object)[_unpack(row.langs, "<i4")[mine]], "phrase": np.asarray(_phrases(row), dtype=object)[mine],
+                                    "f": _unpack(row.f, "<i8")[mine]})
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
@@ -204,27 +213,29 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, support: int = SUP
     ship(spark)
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"))
     relation = save(rows.mapInPandas(lean(occurrences), SCHEMA), "occurrences-1", compression="none")
-    words = relation.mapInPandas(_lang_words, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    words = save(relation.mapInPandas(_lang_words, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     of_key = Window.partitionBy("key")
     found = []
     for k in range(1, longest + 1):
         counts = relation.mapInPandas(_counts(k), "key long, shard long, n long")
         groups = (counts.withColumn("f", F.sum("n").over(of_key)).withColumn("owner", F.min("shard").over(of_key))      # a key has one row for each block
                   .filter(F.col("f") >= support).select("shard", "key", "f", "owner"))
-        relation = save(relation.groupBy("shard").cogroup(groups.groupBy("shard")).applyInPandas(_semi_join(k), SCHEMA), f"relation-{k}", compression="none")
-        found.append(relation.mapInPandas(lean(_owned), "lang string, phrase string, f long").withColumn("k", F.lit(k)))
+        before, relation = relation, save(relation.groupBy("shard").cogroup(groups.groupBy("shard")).applyInPandas(_semi_join(k), SCHEMA), f"relation-{k}", compression="none")
+        found.append(save(relation.mapInPandas(lean(_owned), "lang string, phrase string, f long").withColumn("k", F.lit(k)), f"frequent-{k}"))
+        del counts, groups
+        free(spark, before)
+    free(spark, relation)
     every = found[0]
     for level in found[1:]:
         every = every.unionByName(level)
-    return save(every, "frequent"), save(words, "words")
+    return every, words
 
 
 def _lang_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for row in frame.itertuples(index=False):
-            many = np.bincount(_unpack(row.at, "<i4"), minlength=len(row.langs))
-            if len(many):
-                yield pd.DataFrame({"lang": row.langs, "n": many}).groupby("lang", as_index=False)["n"].sum()
+            many = np.bincount(_unpack(row.langs, "<i4")[_unpack(row.at, "<i4")], minlength=len(row.names))
+            yield pd.DataFrame({"lang": list(row.names), "n": many})
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, support: int = SUPPORT, cover: int = COVER, top: int = TOP) -> DataFrame:

@@ -7,6 +7,7 @@ executors share, so a lost executor costs a re-read and not a recomputation.
 from __future__ import annotations
 
 import ctypes
+import gc
 import math
 import os
 import shutil
@@ -82,7 +83,22 @@ def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back; cuts the lineage."""
     path = scratch(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    saved._scratch = path
+    return saved
+
+
+def free(spark: SparkSession, *saved: DataFrame) -> None:
+    """Delete saved tables that no later step reads, and let Spark drop the shuffle files of finished steps.
+
+    Spark deletes a shuffle's files once nothing refers to it and the driver's
+    JVM has collected garbage; a step of several shuffles needs that between.
+    """
+    for df in saved:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_names(df: DataFrame, *stems: str) -> list[str]:
