@@ -1,23 +1,27 @@
 """Exact running sums over ordered values without a single-task window.
 
-``running_sums`` orders rows by ``order_col`` inside each group in two
-levels: rows are cut into value buckets at approximate quantiles (one row of
-cut points per group), bucket totals get exclusive prefix
-offsets from a window over the (group, bucket) table -- at most
-``buckets`` rows per group -- and each bucket then runs its own window.
-Bucket edges only balance the work; the sums are exact.
+A value's 64-bit order code (a double's bits, put in numeric order) is cut into
+three digits of 20, 22 and 22 bits. ``running_sums`` adds up each digit's
+totals, runs a window over the first digits of a group, one over the second
+digits under each first one and one over the values under each pair; a value's
+sum is its own window's plus two offsets. No window holds more rows than a digit
+has values, however many rows the group has, and nothing depends on the number
+of tasks. Digits only deal out the work; the sums are exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DIGIT = 22
+LEAST = -(1 << (63 - 2 * DIGIT))
 
-def default_buckets(df: DataFrame) -> int:
-    """Twice the session's tasks at a time: every group keeps the whole cluster busy."""
-    spark = df.sparkSession
-    return 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+def order_code(value: Column) -> Column:
+    """A signed 64-bit code in the order of the value as a double (NaN last, null for null)."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), F.coalesce(value.cast("double"), F.lit(0.0)) + F.lit(0.0)).cast("long")
+    return F.when(value.isNotNull(), F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits))
 
 
 def one_row_attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
@@ -25,27 +29,32 @@ def one_row_attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
     return df.join(F.broadcast(scalars), how="inner")
 
 
-def running_sums(df: DataFrame, groups: list[str], order_col: str, sum_cols: list[str],
-                 buckets: int | None = None) -> DataFrame:
+def running_sums(df: DataFrame, groups: list[str], order_col: str, sum_cols: list[str]) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with order_col <= current, per group.
 
-    ``df`` must hold one row per (groups, order_col) value (aggregate first).
+    ``df`` must hold one row per (groups, order_col) value (aggregate first);
+    ``order_col`` is numeric, a null comes before every value. Group keys must
+    not be null.
     """
-    buckets = buckets or default_buckets(df)
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    gkey = groups if groups else []
-    cut_src = df.groupBy(*gkey) if gkey else df.groupBy()
-    cuts = cut_src.agg(F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
-    tagged = (df.join(cuts, gkey, "inner") if gkey else one_row_attach(df, cuts))
-    tagged = tagged.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))).drop("_cuts")
-    totals = tagged.groupBy(*gkey, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    before = Window.partitionBy(*gkey).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*gkey, "_bucket", *[
-        F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
-    running = Window.partitionBy(*gkey, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(offsets, [*gkey, "_bucket"], "inner")
-    return out.select(*[c for c in tagged.columns if c != "_bucket"], *[
-        (F.col(f"_o_{c}") + F.sum(c).over(running)).alias(f"cum_{c}") for c in sum_cols])
+    code = order_code(F.col(order_col))
+    first = F.coalesce(F.shiftright(code, 2 * DIGIT), F.lit(LEAST - 1))
+    second = F.coalesce(F.shiftright(code, DIGIT).bitwiseAND(F.lit((1 << DIGIT) - 1)), F.lit(0))
+    tagged = df.withColumn("_first", first.cast("long")).withColumn("_second", second.cast("long"))
+    keys = [*groups, "_first", "_second"]
+    total = lambda frame, by, name: frame.groupBy(*by).agg(*[F.sum(c).alias(f"{name}{c}") for c in sum_cols])
+
+    def before(by: list[str], order: str, name: str) -> list[Column]:
+        window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(f"{name}{c}").over(window), F.lit(0)).alias(f"_{name}{c}") for c in sum_cols]
+
+    seconds = total(tagged, keys, "s_")
+    firsts = seconds.groupBy(*groups, "_first").agg(*[F.sum(f"s_{c}").alias(f"f_{c}") for c in sum_cols])
+    outer = firsts.select(*groups, "_first", *before(groups, "_first", "f_"))
+    inner = seconds.select(*keys, *before([*groups, "_first"], "_second", "s_"))
+    offsets = inner.join(outer, [*groups, "_first"]).select(*keys, *[(F.col(f"_s_{c}") + F.col(f"_f_{c}")).alias(f"_o_{c}") for c in sum_cols])
+    running = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = tagged.join(offsets, keys)
+    return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(running)).alias(f"cum_{c}") for c in sum_cols])
 
 
 def exact_median(df: DataFrame, col: str, groups: list[str] | None = None) -> DataFrame:

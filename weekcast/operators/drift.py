@@ -2,10 +2,9 @@
 
 The two-sample KS statistic is exact and distributed: values are first
 collapsed to (feature, value) counts per side (ties and hot values are
-combined map-side), then the empirical CDFs are built with a two-level
-prefix sum -- value buckets from approximate quantiles, bucket offsets from
-a tiny window over (feature, bucket) totals, and running sums inside each
-bucket -- so no task ever holds all values of a feature.
+combined map-side), then the empirical CDFs are built with the prefix sums of
+``cumulative`` -- windows over the digits of a value's order code -- so no task
+ever holds all values of a feature.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ def _long(df: DataFrame, cols: list[str], side: int) -> DataFrame:
 
 
 def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
-                  buckets: int | None = None, cur_features: list[str] | None = None) -> DataFrame:
+                  cur_features: list[str] | None = None) -> DataFrame:
     """Per feature n_ref, n_cur, ks_statistic, p_value.
 
     ``cur_features`` names the current-side columns when they differ
@@ -51,7 +50,7 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
     counts = both.groupBy("feature", "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
     sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
-    cum = running_sums(counts, ["feature"], "value", ["c_ref", "c_cur"], buckets)
+    cum = running_sums(counts, ["feature"], "value", ["c_ref", "c_cur"])
     cdf = cum.join(sizes, "feature").select(
         "feature", "n_ref", "n_cur",
         (F.col("cum_c_ref") / F.col("n_ref")).alias("f_ref"),
