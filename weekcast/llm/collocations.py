@@ -37,7 +37,7 @@ SUPPORT = 30
 SCALE = 2_000_000
 COVER = 80                      # percent of a phrase's occurrences inside a longer one from which it goes
 TOP = 2000
-BLOCK_BYTES = 16 << 20          # text for each row of a relation
+BLOCK_BYTES = 8 << 20           # text for each row of a relation
 PART_BYTES = 1 << 19            # longer texts are cut at a separator
 BETWEEN = re.compile(rb"[.,;:!?\n-\r]")
 SCHEMA = "shard long, keys binary, phrases binary, langs binary, names array<string>, f binary, own binary, at binary, pos binary"

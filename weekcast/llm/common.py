@@ -39,8 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 BATCH_ROWS = 1000               # rows that a Python worker gets at a time
+LARGE_BYTES = 4 << 20           # arrays from this size on go back to the system as soon as they are freed
 _shipped: set[str] = set()
 _libc = ctypes.CDLL(None)
+if hasattr(_libc, "mallopt"):
+    _libc.mallopt(-3, LARGE_BYTES)          # fixed: M_MMAP_THRESHOLD
+    _libc.mallopt(-1, LARGE_BYTES)          # fixed: M_TRIM_THRESHOLD
+pa.set_memory_pool(pa.system_memory_pool())
 
 
 def trim() -> None:
