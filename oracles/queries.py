@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracles.ctes import FEATURES, PANEL, rnd, with_ctes
 
+# fixed values: the 34 model inputs, in order
 FEATURE_INPUTS = [
     "lag_1", "lag_2", "lag_4", "lag_8", "lag_12", "lag_26", "lag_52",
     "rolling_mean_4w", "rolling_mean_12w", "rolling_std_4w", "rolling_std_12w",
@@ -104,3 +105,17 @@ recent AS (SELECT * FROM model_rows WHERE week IN (SELECT DISTINCT week FROM mod
     ks_sql("features", "recent", DRIFT))) + """
 SELECT feature, n_ref, n_cur, round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value,
        p_value < 0.05 AS drifted FROM ks"""
+
+SQL["scan_rejected_rows"] = with_ctes(PANEL) + """,
+spoiled AS (
+  SELECT CASE WHEN sku_num % 11 = 5 THEN NULL ELSE demand END AS demand, promotion_flag, stockout_flag,
+         array_to_string(list_filter([
+           CASE WHEN sku_num % 13 = 6 THEN 'sku_id: missing' END,
+           CASE WHEN sku_num % 5 = 2 AND week_idx % 3 = 0 THEN 'week: not a date: notadate' END,
+           CASE WHEN sku_num % 7 = 3 THEN 'demand: not a number: oops' END], lambda x: x IS NOT NULL), '; ') AS reasons
+  FROM panel)
+SELECT reasons, count(*) AS n_rows, CASE WHEN reasons = '' THEN count(demand) END AS n_demand,
+       CASE WHEN reasons = '' THEN round(sum(demand), 6) END AS demand,
+       CASE WHEN reasons = '' THEN CAST(sum(promotion_flag) AS BIGINT) END AS promotions,
+       CASE WHEN reasons = '' THEN CAST(sum(stockout_flag) AS BIGINT) END AS stockouts
+FROM spoiled GROUP BY reasons"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weekcast.operators import baselines as B
 from weekcast.operators import drift as D
 from weekcast.operators import gate as G
-from weekcast.sources import store
+from weekcast.sources import versions as store
 
 
 def test_asof_nearest_tie_earliest(spark):

@@ -17,6 +17,7 @@ from weekcast.plans.catalog import QUERIES
 from weekcast.plans.context import Inputs
 from weekcast.sources import files as FS
 from weekcast.sources import store as ST
+from weekcast.sources import versions as VS
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -81,7 +82,7 @@ def test_newest_of_several_drift_summaries(spark, tmp_path):
     root = str(tmp_path)
     assert FS.latest_drift_summary(spark, root).count() == 0
     for stamp in ("20240301_000000", "20240101_000000", "20240201_000000"):
-        FS.write_drift_summary(FS.drift_summary(stamp, 1.0, ks, data, prediction, performance, action), root, stamp)
+        FS.write_drift_summary(FS.drift_summary(stamp, 1.0, ks, data, prediction, performance, action), root)
     assert FS.drift_report_flat(FS.latest_drift_summary(spark, root)).first().timestamp == "20240301_000000"
 
 
@@ -125,11 +126,11 @@ def test_stored_tables_keep_their_schema_and_follow_their_files(spark, tmp_path)
 
 
 def test_feature_schema_contract(spark, tmp_path):
-    ST.write_feature_version(spark.range(2).withColumn("demand", F.lit(1.0)), str(tmp_path), "v1")
+    VS.write_feature_version(spark.range(2).withColumn("demand", F.lit(1.0)), str(tmp_path), "v1")
     good = T.StructType([T.StructField("demand", T.DoubleType())])
-    assert ST.read_feature_version(spark, str(tmp_path), "v1", good).count() == 2
+    assert VS.read_feature_version(spark, str(tmp_path), "v1", good).count() == 2
     with pytest.raises(ValueError, match="demand"):
-        ST.read_feature_version(spark, str(tmp_path), "v1", T.StructType([T.StructField("demand", T.LongType())]))
+        VS.read_feature_version(spark, str(tmp_path), "v1", T.StructType([T.StructField("demand", T.LongType())]))
 
 
 @needs_data

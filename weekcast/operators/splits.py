@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import CV_FOLDS, TEST_WEEKS
+from weekcast.sources.store import YEAR
+from weekcast.sources.versions import in_weeks
 
 
 def drop_null_target(df: DataFrame, target: str = "demand") -> DataFrame:
@@ -30,7 +32,9 @@ def latest_weeks(df: DataFrame, n: int) -> DataFrame:
 
 
 def in_week_set(df: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Keep rows whose week is in ``weeks`` (bounded by the calendar)."""
+    """Keep rows whose week is in ``weeks`` (bounded by the calendar); of a yearly table only their years are read."""
+    if YEAR in df.columns:
+        df = in_weeks(df, weeks.agg(F.min("week")).scalar(), weeks.agg(F.max("week")).scalar())
     return df.join(F.broadcast(weeks.select("week").distinct()), "week", "left_semi")
 
 
@@ -47,10 +51,11 @@ def cutoff_week(df: DataFrame, n: int = TEST_WEEKS) -> DataFrame:
 def holdout_split(df: DataFrame, n: int = TEST_WEEKS) -> tuple[DataFrame, DataFrame]:
     """V1/V2: train = weeks before the cutoff, test = the cutoff and after.
 
-    The cutoff is a scalar subquery, so the week filter reaches the scan.
+    The cutoff is a scalar subquery, so the week filter reaches the scan, and
+    of a yearly table only the years of a side are read.
     """
     cutoff = cutoff_week(df, n).scalar()
-    return df.filter(F.col("week") < cutoff), df.filter(F.col("week") >= cutoff)
+    return in_weeks(df, last=cutoff).filter(F.col("week") < cutoff), in_weeks(df, first=cutoff)
 
 
 def week_positions(df: DataFrame) -> DataFrame:

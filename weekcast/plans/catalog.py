@@ -592,6 +592,7 @@ import uuid  # noqa: E402
 
 from weekcast.sources import files as FS  # noqa: E402
 from weekcast.sources import store as ST  # noqa: E402
+from weekcast.sources import versions as VS  # noqa: E402
 
 
 def _scratch(x: Inputs, name: str) -> str:
@@ -620,6 +621,26 @@ def q_scan_sku_metadata(x: Inputs) -> DataFrame:
     return FS.scan_sku_metadata(x.spark, path)
 
 
+@query("scan_rejected_rows")
+def q_scan_rejected_rows(x: Inputs) -> DataFrame:
+    """The history as CSV with its columns in another order and an extra one, some weeks, numbers and keys
+    spoiled; how many rows are rejected for which reasons, and sums over the accepted ones ('' = accepted)."""
+    path, num = _scratch(x, "spoiled"), F.col("sku_num")
+    text = lambda c: F.col(c).cast("string")
+    FS.write_csv(x.panel.select(
+        F.when(num % 7 == 3, F.lit("oops")).when(num % 11 == 5, F.lit("inf")).otherwise(text("demand")).alias("demand"),
+        F.lit("x").alias("comment"), text("holiday_flag").alias("holiday_flag"),
+        F.when((num % 5 == 2) & (F.col("week_idx") % 3 == 0), F.lit("notadate")).otherwise(text("week")).alias("week"),
+        F.when(num % 13 == 6, F.lit(None)).otherwise(F.col("sku_id")).alias("sku_id"),
+        text("promotion_flag").alias("promotion_flag"), text("stockout_flag").alias("stockout_flag")), path)
+    accepted, rejected = FS.read_demand(x.spark, path)
+    return (accepted.groupBy(F.lit("").alias("reasons")).agg(F.count("*").alias("n_rows"), F.count("demand").alias("n_demand"), F.sum("demand").alias("demand"),
+                                                            F.sum("promotion_flag").cast("long").alias("promotions"), F.sum("stockout_flag").cast("long").alias("stockouts"))
+            .unionByName(rejected.groupBy(F.array_join("reasons", "; ").alias("reasons")).agg(
+                F.count("*").alias("n_rows"), F.lit(None).cast("long").alias("n_demand"), F.lit(None).cast("double").alias("demand"),
+                F.lit(None).cast("long").alias("promotions"), F.lit(None).cast("long").alias("stockouts"))))
+
+
 @query("read_leaderboard")
 def q_read_leaderboard(x: Inputs) -> DataFrame:
     path = _scratch(x, "leaderboard")
@@ -633,20 +654,20 @@ def q_feature_store_versions(x: Inputs) -> DataFrame:
     root = _scratch(x, "features")
     for k, v in enumerate(("v1", "v2", "v10")):
         rows = x.features.filter(F.year("week") % 3 <= k)           # versions differ in rows
-        ST.write_feature_version(rows.select("sku_id", "week", "demand").withColumn("feature_version", F.lit(v)), root, v)
-    latest, version = ST.latest_feature_version(x.spark, root)
+        VS.write_feature_version(rows.select("sku_id", "week", "demand").withColumn("feature_version", F.lit(v)), root, v)
+    latest, version = VS.latest_feature_version(x.spark, root)
     return latest.groupBy("feature_version").agg(F.count("*").alias("n_rows")).withColumn(
         "latest_version", F.lit(version))
 
 
 @query("drift_report_flat")
 def q_drift_report_flat(x: Inputs) -> DataFrame:
-    """Write two drift summaries as JSON, read the newest back, flatten it."""
+    """Append two drift summaries to a log, read the newest back, flatten it."""
     run = _demo(x)
     root = _scratch(x, "drift")
     for timestamp, baseline in (("20240201_000000", DD.DEMO_BASELINE_WAPE), ("20240101_000000", DD.DEMO_BASELINE_WAPE * 2)):
         summary = FS.drift_summary(timestamp, baseline, run.ks, run.data, run.prediction, run.performance, run.action)
-        FS.write_drift_summary(summary, root, timestamp)
+        FS.write_drift_summary(summary, root)
     return FS.drift_report_flat(FS.latest_drift_summary(x.spark, root))
 
 

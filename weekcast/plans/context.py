@@ -26,9 +26,9 @@ class Inputs:
         fp = store.input_fingerprint(self.spark, [f"{base}/lineitem.parquet", f"{base}/part.parquet"])
         return f"{self.key}-{fp}"
 
-    def keep(self, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    def keep(self, build: Callable[[], DataFrame], name: str, yearly: bool = False) -> DataFrame:
         """A shared input, stored once (see ``weekcast.sources.store``); built only where the store lacks it."""
-        return store.materialize(self.spark, build, name, self.fingerprint) if self.materialized else build()
+        return store.materialize(self.spark, build, name, self.fingerprint, yearly) if self.materialized else build()
 
     @cached_property
     def lineitem(self) -> DataFrame:
@@ -56,7 +56,7 @@ class Inputs:
 
     @cached_property
     def features(self) -> DataFrame:
-        return self.keep(lambda: build_features(self.panel, self.meta), "features")
+        return self.keep(lambda: build_features(self.panel, self.meta), "features", yearly=True)
 
     @cached_property
     def model_rows(self) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Materialised tables and the versioned feature store.
+"""Materialised tables (shared inputs of the queries).
 
 ``materialize`` writes a DataFrame once as Parquet under the session's
 checkpoint folder (``spark.checkpoint.dir``, a shared folder on a cluster)
@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekcast.session import ensure_checkpoint_dir
@@ -68,9 +69,20 @@ def store_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/weekcast-store"
 
 
-def materialize(spark: SparkSession, build: Callable[[], DataFrame], name: str, fingerprint: str) -> DataFrame:
+YEAR = "week_year"          # partition column of tables that are filtered by week
+
+
+def by_year(df: DataFrame) -> DataFrame:
+    """``df`` with the year of its week as last column."""
+    return df.withColumn(YEAR, F.year("week"))
+
+
+def materialize(spark: SparkSession, build: Callable[[], DataFrame], name: str, fingerprint: str, yearly: bool = False) -> DataFrame:
     """The stored table ``name``; built and written first where the store lacks it.
 
+    A ``yearly`` table has a folder for each year of its weeks and the column
+    ``week_year``, so filters on weeks that also name years skip folders.
+
     A writer publishes its own folder with a ``_SUCCESS`` file and then points
     the name at it. Whoever points last wins; both folders hold the same rows.
     The schema is stored with the pointer, so reading starts no job.
@@ -80,8 +92,8 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame], name: str,
     known = _read_text(spark, pointer)
     if known is None:
         path = f"{store_root(spark)}/{safe}-{fingerprint}-{uuid.uuid4().hex[:8]}"
-        df = build()
-        df.write.parquet(path)
+        df = by_year(build()) if yearly else build()
+        (df.write.partitionBy(YEAR) if yearly else df.write).parquet(path)
         known = json.dumps({"path": path, "schema": df.schema.json()})
         _write_text(spark, pointer, known)
     found = json.loads(known)
@@ -106,53 +118,3 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-
-
-# ------------------------------------------------------------------ feature store
-def write_feature_version(df: DataFrame, root: str, version: str) -> str:
-    """S3: write features as version ``version`` (overwrite)."""
-    path = f"{root.rstrip('/')}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """S4 schema contract: every expected column is there with its type; extra columns are let through."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    wrong = [f"{f.name}: expected {f.dataType.simpleString()}, found {have[f.name].simpleString() if f.name in have else 'nothing'}"
-             for f in expected.fields if have.get(f.name) != f.dataType]
-    if wrong:
-        raise ValueError("feature schema mismatch: " + "; ".join(wrong))
-    return df
-
-
-def read_feature_version(spark: SparkSession, root: str, version: str, expected: T.StructType | None = None) -> DataFrame:
-    """Read one version; error when it does not exist or breaks the ``expected`` schema."""
-    path = f"{root.rstrip('/')}/version={version}"
-    if not exists(spark, path):
-        raise FileNotFoundError(f"Feature version {version} not found at {path}")
-    df = spark.read.parquet(path)
-    return df if expected is None else check_schema(df, expected)
-
-
-def list_versions(spark: SparkSession, root: str) -> list[str]:
-    hp, fs = _fs(spark, root)
-    if not fs.exists(hp):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(hp)]
-    return [n.split("=", 1)[1] for n in names if n.startswith("version=")]
-
-
-def version_number(version: str) -> int:
-    """Numeric part of a 'v<N>' version name (v10 sorts after v2)."""
-    m = re.search(r"(\d+)$", version)
-    return int(m.group(1)) if m else -1
-
-
-def latest_feature_version(spark: SparkSession, root: str) -> tuple[DataFrame, str]:
-    """Newest version by its numeric suffix (not by text order)."""
-    versions = list_versions(spark, root)
-    if not versions:
-        raise FileNotFoundError(f"No versioned feature files found in {root}")
-    latest = max(versions, key=version_number)
-    return read_feature_version(spark, root, latest), latest
