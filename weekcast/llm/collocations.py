@@ -7,7 +7,7 @@ end of a piece, so neighbours within a piece are one apart. For the next length
 
 1. a merge-join of the relation with itself by piece and adjacent position gives
    the occurrences whose first and last k words are frequent;
-2. a group-count: blocks add up their own phrases, Spark the blocks' sums;
+2. a group-count: GROUP blocks of a task add up their phrases, Spark those sums;
 3. a semi-join of the occurrences with the frequent groups, block by block, gives
    the next relation.
 
@@ -38,9 +38,10 @@ SCALE = 2_000_000
 COVER = 80                      # percent of a phrase's occurrences inside a longer one from which it goes
 TOP = 2000
 BLOCK_BYTES = 8 << 20           # text for each row of a relation
+GROUP = 8                       # rows of one task that count together and get one answer
 PART_BYTES = 1 << 19            # longer texts are cut at a separator
 BETWEEN = re.compile(rb"[.,;:!?\n-\r]")
-SCHEMA = "shard long, keys binary, phrases binary, langs binary, names array<string>, f binary, own binary, at binary, pos binary"
+SCHEMA = "grp long, keys binary, phrases binary, langs binary, names array<string>, f binary, own binary, at binary, pos binary"
 NO_LANG = "und"
 
 # fixed: 0 belongs to a word, 1 stands between words, 2 between pieces
@@ -52,11 +53,14 @@ _LOWER[65:91] += 32
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(values).tobytes())
+    """Compressed, byte by byte: the high bytes of small numbers are long runs of zeros."""
+    size = values.dtype.itemsize
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, size).T).tobytes())
 
 
 def _unpack(blob: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind) if blob is not None else np.zeros(0, kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def cut(text: bytes, most: int = PART_BYTES) -> Iterator[bytes]:
@@ -85,7 +89,7 @@ def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return start, end, winnow.span_hash(winnow.prefix_sums(data), start, end), np.cumsum(kind == 2)[start]
 
 
-def _block(held: list[tuple[bytes, str]]) -> pd.DataFrame:
+def _block(grp: int, held: list[tuple[bytes, str]]) -> pd.DataFrame:
     """All word occurrences of some texts as one row: the relation of length 1 before its semi-join."""
     keys, places, langs, spans = [], [], [], []
     number: dict[str, int] = {}
@@ -115,14 +119,18 @@ def _block(held: list[tuple[bytes, str]]) -> pd.DataFrame:
     raw = b"".join(d.tobytes() for d in laid)
     start, end = np.concatenate(spans, axis=1)[:, where]
     phrases = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-    return _row(uuid.uuid4().int >> 65, distinct, phrases, np.concatenate(langs)[where], list(number), None, None, at, np.concatenate(places))
+    return _row(grp, distinct, phrases, np.concatenate(langs)[where], list(number), None, None, at, np.concatenate(places))
 
 
-def _row(shard: int, keys, phrases: list[str], langs: np.ndarray, names: list[str], f, own, at, pos) -> pd.DataFrame:
-    text = zstandard.ZstdCompressor(level=3).compress("\n".join(phrases).encode())        # no word holds a line feed
-    return pd.DataFrame([{"shard": shard, "keys": _pack(keys.astype("<u8")), "phrases": text, "langs": _pack(langs.astype("<i4")), "names": names,
-                          "f": None if f is None else _pack(f.astype("<i8")), "own": None if own is None else _pack(own.astype(np.uint8)),
-                          "at": _pack(at.astype("<i4")), "pos": _pack(np.diff(pos, prepend=0).astype("<i4"))}])
+def _row(grp: int, keys, phrases: list[str], langs: np.ndarray, names: list[str], f, own, at, pos) -> pd.DataFrame:
+    """A relation's row; entries in falling order of their occurrences, so frequent ones have small numbers."""
+    order = np.argsort(-np.bincount(at, minlength=len(keys)), kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    text = zstandard.ZstdCompressor(level=3).compress("\n".join([phrases[i] for i in order.tolist()]).encode())       # no word holds a line feed
+    return pd.DataFrame([{"grp": grp, "keys": _pack(keys[order].astype("<u8")), "phrases": text, "langs": _pack(langs[order].astype("<i4")), "names": names,
+                          "f": None if f is None else _pack(f[order].astype("<i8")), "own": None if own is None else _pack(own[order].astype(np.uint8)),
+                          "at": _pack(rank[at].astype("<i4")), "pos": _pack(np.diff(pos, prepend=0).astype("<i4"))}])
 
 
 def _phrases(row) -> list[str]:
@@ -131,17 +139,18 @@ def _phrases(row) -> list[str]:
 
 
 def occurrences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
+    held, size, made, grp = [], 0, 0, 0
     for frame in frames:
         for text, lang in zip(frame["text"], frame["lang"], strict=True):
             for part in cut(bytes(text)):
                 held.append((part, lang))
                 size += len(part) + 1
                 if size >= BLOCK_BYTES:
-                    yield _block(held)
-                    held, size = [], 0
+                    grp = grp if made % GROUP else uuid.uuid4().int >> 65
+                    yield _block(grp, held)
+                    held, size, made = [], 0, made + 1
     if held:
-        yield _block(held)
+        yield _block(grp if made % GROUP else uuid.uuid4().int >> 65, held)
 
 
 def _joined(row, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -158,31 +167,48 @@ def _joined(row, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return key, left, right, entry, pos[next_to]
 
 
+def _merged(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending distinct keys, their sums)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
 def _counts(length: int):
+    """(key, grp, n): each group's phrases with their occurrences; a group that several tasks read has a row from each."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grp, key, n = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
         for frame in frames:
             for row in frame.itertuples(index=False):
-                key, _, _, entry, _ = _joined(row, length)
-                yield pd.DataFrame({"key": key.view(np.int64), "shard": row.shard, "n": np.bincount(entry, minlength=len(key))})
+                if row.grp != grp and len(key):
+                    yield pd.DataFrame({"key": key, "grp": grp, "n": n})
+                    key, n = key[:0], n[:0]
+                grp = row.grp
+                found, _, _, entry, _ = _joined(row, length)
+                key, n = _merged(np.concatenate([key, found.view(np.int64)]), np.concatenate([n, np.bincount(entry, minlength=len(found))]))
                 trim()
+        if len(key):
+            yield pd.DataFrame({"key": key, "grp": grp, "n": n})
     return lean(run)
 
 
 def _semi_join(length: int):
+    """The group's occurrences of frequent phrases; of the group that is to name a phrase, the first row that has it does."""
     def run(relation: pd.DataFrame, frequent: pd.DataFrame) -> pd.DataFrame:
+        found, first = np.unique(frequent["key"].to_numpy().astype(np.int64), return_index=True)
+        f, owner = frequent["f"].to_numpy()[first].astype(np.int64), frequent["owner"].to_numpy()[first]
+        named = np.zeros(len(found), dtype=bool)
         out = []
         for row in relation.itertuples(index=False):
             key, left, right, entry, pos = _joined(row, length)
             signed = key.view(np.int64)
-            found = frequent["key"].to_numpy().astype(np.int64)
-            order = np.argsort(found)
-            found = found[order]
             to = np.searchsorted(found, signed)
             hit = np.zeros(len(key), dtype=bool)
             inside = to < len(found)
             hit[inside] = found[to[inside]] == signed[inside]
             pick = np.flatnonzero(hit)
-            reply = order[to[pick]]
+            reply = to[pick]
             every = _phrases(row)
             if length == 1:
                 phrases = [every[i] for i in pick.tolist()]
@@ -190,8 +216,9 @@ def _semi_join(length: int):
                 phrases = [f"{every[a]} {every[b].rsplit(' ', 1)[-1]}" for a, b in zip(left[pick].tolist(), right[pick].tolist(), strict=True)]
             number = np.cumsum(hit) - 1
             kept = np.flatnonzero(hit[entry])
-            out.append(_row(row.shard, key[pick], phrases, _unpack(row.langs, "<i4")[left[pick]], list(row.names), frequent["f"].to_numpy()[reply].astype(np.int64),
-                            frequent["owner"].to_numpy()[reply] == row.shard, number[entry[kept]], pos[kept]))
+            own = (owner[reply] == row.grp) & ~named[reply]
+            named[reply] = True
+            out.append(_row(row.grp, key[pick], phrases, _unpack(row.langs, "<i4")[left[pick]], list(row.names), f[reply], own, number[entry[kept]], pos[kept]))
         trim()
         return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in SCHEMA.split(", ")])
     return run
@@ -217,10 +244,10 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, support: int = SUP
     of_key = Window.partitionBy("key")
     found = []
     for k in range(1, longest + 1):
-        counts = relation.mapInPandas(_counts(k), "key long, shard long, n long")
-        groups = (counts.withColumn("f", F.sum("n").over(of_key)).withColumn("owner", F.min("shard").over(of_key))      # a key has one row for each block
-                  .filter(F.col("f") >= support).select("shard", "key", "f", "owner"))
-        before, relation = relation, save(relation.groupBy("shard").cogroup(groups.groupBy("shard")).applyInPandas(_semi_join(k), SCHEMA), f"relation-{k}", compression="none")
+        counts = relation.mapInPandas(_counts(k), "key long, grp long, n long")
+        groups = (counts.withColumn("f", F.sum("n").over(of_key)).withColumn("owner", F.min("grp").over(of_key))        # a key has few rows for each group
+                  .filter(F.col("f") >= support).select("grp", "key", "f", "owner"))
+        before, relation = relation, save(relation.groupBy("grp").cogroup(groups.groupBy("grp")).applyInPandas(_semi_join(k), SCHEMA), f"relation-{k}", compression="none")
         found.append(save(relation.mapInPandas(lean(_owned), "lang string, phrase string, f long").withColumn("k", F.lit(k)), f"frequent-{k}"))
         del counts, groups
         free(spark, before)
