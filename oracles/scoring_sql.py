@@ -141,3 +141,44 @@ FROM l5 WHERE lag_2 = 0 OR lag_5 = 0"""
 SQL["clamp_nonneg"] = with_ctes(PANEL, FEATURES) + """
 SELECT sku_id, week, round(CASE WHEN demand_change_1w IS NULL THEN NULL ELSE greatest(0.0, demand_change_1w) END, 6)
        AS clamped FROM features"""
+
+# ---------------------------------------------------------------- recursive steps, cold start, weekly store
+SQL["batch_score_recursive"] = SC.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+past AS (SELECT sku_id, list(demand_adjusted ORDER BY week) AS s FROM (
+           SELECT * FROM features QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY week DESC) <= 4) GROUP BY sku_id),
+steps AS (
+  SELECT sku_id, 0 AS step, s, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std FROM past
+  UNION ALL
+  SELECT sku_id, step + 1, list_append(s[greatest(len(s) - 2, 1):], greatest(0.0, coalesce(list_avg(s), 0.0))), list_avg(s), coalesce(list_stddev_samp(s), 0.0)
+  FROM steps WHERE step < 52),
+rframe AS (SELECT f.* EXCLUDE (rolling_mean_4w, rolling_std_4w), p.mean AS rolling_mean_4w, p.std AS rolling_std_4w
+           FROM sframe f JOIN steps p ON p.sku_id = f.sku_id AND p.step = f.step)""" + serve(
+    "rolling_mean_4w", "rolling_mean_4w - 1.28 * rolling_std_4w", "rolling_mean_4w + 1.28 * rolling_std_4w").replace("FROM sframe", "FROM rframe")
+COLD = """,
+cold AS (SELECT * FROM meta WHERE CAST(regexp_extract(sku_id, '([0-9]+)$', 1) AS BIGINT) % 10 = 3),
+hist AS (SELECT * FROM features WHERE demand IS NOT NULL AND sku_id NOT IN (SELECT sku_id FROM cold)),
+means AS (SELECT category, avg(demand) AS mean FROM hist GROUP BY category)"""
+SQL["cold_start_forecast"] = with_ctes(PANEL, FEATURES) + COLD + """,
+base AS (SELECT sku_id, max_by(demand, week) AS p50, max(week) AS last_week, 'sku' AS level FROM hist GROUP BY sku_id
+         UNION ALL
+         SELECT c.sku_id, coalesce(m.mean, (SELECT avg(demand) FROM hist)), (SELECT max(week) FROM hist),
+                CASE WHEN m.mean IS NULL THEN 'global' ELSE 'category' END
+         FROM meta c LEFT JOIN means m ON m.category = c.category WHERE c.sku_id NOT IN (SELECT sku_id FROM hist))
+SELECT sku_id, CAST(last_week + 7 * step AS DATE) AS week, round(p50, 6) AS p50, level
+FROM (SELECT *, unnest([1, 2, 3, 4]) AS step FROM base)"""
+SQL["batch_score_cold_start"] = SC + COLD + """,
+warm AS (SELECT * FROM sframe WHERE sku_id NOT IN (SELECT sku_id FROM cold)),
+new AS (SELECT k.*, c.category FROM chk2 k LEFT JOIN meta c ON c.sku_id = k.sku_id
+        WHERE k.valid AND (k.sku_id IN (SELECT sku_id FROM cold) OR k.sku_id NOT IN (SELECT sku_id FROM latest))),
+cframe AS (
+  SELECT n.request_id, n.sku_id, n.horizon_weeks, n.include_intervals, n.category, s.step,
+         CAST((SELECT max(week) FROM features WHERE sku_id NOT IN (SELECT sku_id FROM cold)) + 7 * s.step AS DATE) AS week,
+         coalesce(m.mean, (SELECT avg(demand) FROM hist)) AS prior
+  FROM new n LEFT JOIN means m ON m.category = n.category
+  CROSS JOIN LATERAL (SELECT CAST(unnest(range(1, n.horizon_weeks + 1)) AS INTEGER) AS step) s)""" + serve(
+    "rolling_mean_4w", "rolling_mean_4w - 1.28 * rolling_std_4w", "rolling_mean_4w + 1.28 * rolling_std_4w").replace("FROM sframe", "FROM warm") + """
+UNION ALL""" + serve("prior", None, None).replace("FROM sframe", "FROM cframe")
+SQL["feature_store_weeks"] = with_ctes(PANEL, FEATURES) + """
+SELECT CAST(year(week) AS INTEGER) AS year, count(*) AS n_rows, max(week) AS last_week,
+       round(sum(demand + CASE WHEN year(week) = 1996 THEN 1 ELSE 0 END), 6) AS demand
+FROM features WHERE week >= DATE '1996-06-03' GROUP BY 1"""

@@ -25,6 +25,8 @@ from weekcast.functions.constants import (
     SERVE_P90_FACTOR,
 )
 from weekcast.operators.baselines import expand_horizon
+from weekcast.operators.coldstart import score_unknown
+from weekcast.operators.recursive import Predict, recursive_scoring_frame
 
 
 def request_clean(requests: DataFrame, max_batch: int | None = None) -> DataFrame:
@@ -104,18 +106,29 @@ def interval_fallback(scored: DataFrame) -> DataFrame:
 
 
 def batch_score(requests: DataFrame, features: DataFrame,
-                model: Callable[[DataFrame], DataFrame] = rolling_stats_model, max_batch: int | None = None):
+                model: Callable[[DataFrame], DataFrame] = rolling_stats_model, max_batch: int | None = None,
+                skus: DataFrame | None = None, recursive: Predict | None = None):
     """Requests -> (forecast rows, rejected requests, unknown SKUs).
 
     Every request is in exactly one of the three. The inner join with the
     latest rows drops unknown SKUs; batches of any size are scored unless
-    ``max_batch`` is set.
+    ``max_batch`` is set. With ``skus`` (sku_id, category), SKUs without history
+    are forecast from their category's mean demand and none is unknown. With
+    ``recursive`` (a function of inputs, see ``recursive``), each step's inputs
+    come from the steps before it, and ``model`` is not used.
     """
     checked = request_clean(requests, max_batch)
-    latest = latest_rows(features)
     valid = checked.filter("valid")
     _, unknown = split_known(valid, features.select("sku_id").distinct())
-    forecasts = interval_fallback(model(scoring_frame(valid, latest)))
+    if recursive is None:
+        forecasts = interval_fallback(model(scoring_frame(valid, latest_rows(features))))
+    else:
+        forecasts = interval_fallback(recursive_scoring_frame(valid, features, recursive))
+    if skus is not None:
+        cold = valid.join(unknown.select("request_id").distinct(), "request_id", "left_semi")
+        cold = cold.join(features.select("sku_id").distinct(), "sku_id", "left_anti")
+        forecasts = forecasts.unionByName(interval_fallback(score_unknown(cold, features, skus)))
+        unknown = unknown.limit(0)
     rejected = checked.filter(~F.col("valid")).select("request_id", "sku_id", "reason")
     return forecasts, rejected, unknown
 

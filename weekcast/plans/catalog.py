@@ -7,6 +7,7 @@ value-hashed against the DuckDB oracles in ``oracles/``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -405,6 +406,7 @@ def q_chi_square_drift(x: Inputs) -> DataFrame:
 
 # ------------------------------------------------------------ reports
 from weekcast.operators import reports as R  # noqa: E402
+from weekcast.operators import sketches as SK  # noqa: E402
 
 
 @query("weekly_totals")
@@ -452,6 +454,18 @@ def q_distinct_skus(x: Inputs) -> DataFrame:
     return R.distinct_skus(x.features)
 
 
+@query("distinct_skus_sketch")
+def q_distinct_skus_sketch(x: Inputs) -> DataFrame:
+    """A14 from weekly HyperLogLog sketches, within 2 % of the exact count (rows-only: an estimate)."""
+    return SK.distinct_from_sketches(SK.weekly_sku_sketches(x.features))
+
+
+@query("demand_box_sketch")
+def q_demand_box_sketch(x: Inputs) -> DataFrame:
+    """A8 from weekly quantile sketches (rows-only: an estimate)."""
+    return SK.box_from_sketches(SK.weekly_demand_sketches(x.features))
+
+
 @query("top20_skus")
 def q_top20_skus(x: Inputs) -> DataFrame:
     return R.top_skus(x.features, 20)
@@ -506,6 +520,8 @@ def q_current_stage(x: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------------ batch scoring
+from weekcast.operators import coldstart as CS  # noqa: E402
+from weekcast.operators import recursive as RC  # noqa: E402
 from weekcast.operators import scoring as SC  # noqa: E402
 
 
@@ -571,6 +587,30 @@ def q_batch_score(x: Inputs) -> DataFrame:
     return _scored(x)[0]
 
 
+@query("batch_score_recursive")
+def q_batch_score_recursive(x: Inputs) -> DataFrame:
+    """B8 with recursive steps (E5): lags and rolling statistics follow the earlier predictions."""
+    return SC.batch_score(requests_from_parts(x), x.features, recursive=RC.rolling_predict)[0]
+
+
+def _without_tenth(x: Inputs, rows: DataFrame) -> DataFrame:
+    """Rows but for those of every tenth SKU, which thus has no history."""
+    return rows.join(x.meta.filter(F.regexp_extract("sku_id", r"(\d+)$", 1).cast("long") % 10 == 3).select("sku_id"), "sku_id", "left_anti")
+
+
+@query("cold_start_forecast")
+def q_cold_start_forecast(x: Inputs) -> DataFrame:
+    """E11 for B1: every tenth SKU without history gets its category's mean demand."""
+    history = _without_tenth(x, x.model_rows)
+    return CS.with_cold_start(B.naive(history, 4), history, x.meta.select("sku_id", "category"), 4)
+
+
+@query("batch_score_cold_start")
+def q_batch_score_cold_start(x: Inputs) -> DataFrame:
+    """E11 for B8: no request is unknown; SKUs outside the dimension get the global mean."""
+    return SC.batch_score(requests_from_parts(x), _without_tenth(x, x.features), skus=x.meta)[0]
+
+
 @query("interval_fallback")
 def q_interval_fallback(x: Inputs) -> DataFrame:
     """B9 on a model without intervals (p50 only): the 0.7 / 1.3 defaults apply."""
@@ -660,6 +700,19 @@ def q_feature_store_versions(x: Inputs) -> DataFrame:
         "latest_version", F.lit(version))
 
 
+@query("feature_store_weeks")
+def q_feature_store_weeks(x: Inputs) -> DataFrame:
+    """A version without its last week, that week appended, one year written anew, a range of weeks read."""
+    root = _scratch(x, "weeks")
+    rows = x.features.select("sku_id", "week", "demand")
+    last = rows.agg(F.max("week")).scalar()
+    VS.write_feature_version(rows.filter(F.col("week") < last), root, "v1")
+    VS.append_weeks(rows.filter(F.col("week") == last), root, "v1")
+    VS.replace_years(rows.filter(F.year("week") == 1996).withColumn("demand", F.col("demand") + 1), root, "v1")
+    read = VS.read_feature_version(x.spark, root, "v1", rows.schema, first=dt.date(1996, 6, 3))
+    return read.groupBy(F.year("week").alias("year")).agg(F.count("*").alias("n_rows"), F.max("week").alias("last_week"), F.sum("demand").alias("demand"))
+
+
 @query("drift_report_flat")
 def q_drift_report_flat(x: Inputs) -> DataFrame:
     """Append two drift summaries to a log, read the newest back, flatten it."""
@@ -746,6 +799,16 @@ def q_point_gbm(x: Inputs) -> DataFrame:
     return row
 
 
+@query("point_gbm_depthwise")
+def q_point_gbm_depthwise(x: Inputs) -> DataFrame:
+    """B6 grown by whole levels to depth 6, on 80 % of the rows for each tree."""
+    train, test = _split(x)
+    fit, val = S.holdout_split(train)
+    model = LR.point_boost(fit, val, depthwise=True, rounds=LEARNER_ROUNDS, learning_rate=LEARNER_RATE)
+    row, _ = evaluate_forecast(test, LR.point_predict(model, test), "GBT (squared, by level)", how="left", inference_ms="batch")
+    return row
+
+
 @query("feature_importance")
 def q_feature_importance(x: Inputs) -> DataFrame:
     model, _ = _quantile_run(x)

@@ -7,7 +7,9 @@ with ``model``; scoring is one grouped aggregation over the joined rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,18 +134,26 @@ def baseline_modes(model_rows: DataFrame) -> DataFrame:
 
 
 def walk_forward_cv_learner(model_rows: DataFrame, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
-                            name: str, k: int = CV_FOLDS) -> DataFrame:
+                            name: str, k: int = CV_FOLDS, at_once: int | None = None) -> DataFrame:
     """V4 for a learner: per fold, ``fit`` on the fold's training weeks and score its validation rows one step ahead.
 
-    Folds share only the stored features; each is one fit and one scoring job.
-    Rows without a forecast count as such (left join).
+    Folds share only the stored features, so ``at_once`` of them (all, if not
+    given) are fitted at the same time: each thread carries the session's local
+    properties and its own scheduler pool, and under FAIR scheduling the folds
+    share the cluster. Rows without a forecast count as such (left join).
     """
     folds = walk_forward_folds(model_rows, k).select("fold", "train_end_week", "val_end_week").orderBy("fold").collect()     # k rows
-    scored = []
-    for f in folds:
+    spark = model_rows.sparkSession
+
+    def run(f) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{f.fold}")
         train = model_rows.filter(F.col("week") <= F.lit(f.train_end_week))
         val = model_rows.filter((F.col("week") > F.lit(f.train_end_week)) & (F.col("week") <= F.lit(f.val_end_week)))
         predicted = fit(train)(val).select("sku_id", "week", "p50")
-        scored.append(val.select("sku_id", "week", "demand", "category").join(predicted, ["sku_id", "week"], "left")
-                      .withColumn("model", F.lit(name)).withColumn("fold", F.lit(f.fold)))
+        return (val.select("sku_id", "week", "demand", "category").join(predicted, ["sku_id", "week"], "left")
+                .withColumn("model", F.lit(name)).withColumn("fold", F.lit(f.fold)))
+
+    with ThreadPoolExecutor(at_once or k) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(lambda f=f: run(f))) for f in folds]
+        scored = [w.result() for w in waiting]
     return model_metrics(union_frames(scored), by=("model", "fold"))
