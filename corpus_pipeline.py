@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekcast.llm import contamination, langid, packing, simhash, suffixes
-from weekcast.llm.common import id_remainder, save, ship
+from weekcast.llm.common import carried_columns, free_names, id_remainder, save, ship
 from weekcast.llm.queries import pieces
 
 LEAST_LANGUAGE_SCORE = 0.2
@@ -27,8 +27,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship(spark)
     model = langid.fit(docs.filter(id_remainder(3) != 1))
-    made = docs.withColumn("__made", langid.claimed(F.col("text"), model))
-    return made.filter((F.col("__made.lang_pred") != langid.UND) & (F.col("__made.score") >= LEAST_LANGUAGE_SCORE) & F.col("__made.claimed")).drop("__made")
+    (name,) = free_names(docs, "made")
+    made = docs.withColumn(name, langid.claimed(F.col("text"), model))
+    found = F.col(f"`{name}`")
+    return made.filter((found["lang_pred"] != langid.UND) & (found["score"] >= LEAST_LANGUAGE_SCORE) & found["claimed"]).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,21 +45,21 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     text. A document of which nothing is left goes; null and empty texts stay.
     """
     ship(spark)
-    others = [c for c in docs.columns if c != "text"]
-    marked = docs.withColumn("__null", F.col("text").isNull())
-    out = suffixes.deduplicate(marked, [*others, "__null"])
+    (empty,) = free_names(docs, "null")
+    marked = docs.withColumn(empty, F.col("text").isNull())
+    others = [c for c in marked.columns if c != "text"]
+    out = suffixes.deduplicate(marked, others)
 
     @F.pandas_udf("string")
     def whole_characters(kept):
         return kept.map(lambda b: b.decode("utf-8", "ignore"))
 
-    out = (out.select("n_units", "n_removed", F.from_json("carried", marked.drop("text").schema).alias("row"), whole_characters(F.col("kept")).alias("left"))
-           .filter((F.length("left") > 0) | (F.col("n_units") == 0)))
-    text = F.when(F.col("row.__null"), F.lit(None)).otherwise(F.col("left"))
-    columns = {c: F.col(f"row.`{c}`") for c in others}
+    out = out.select("n_units", "n_removed", "carried", whole_characters(F.col("kept")).alias("left")).filter((F.length("left") > 0) | (F.col("n_units") == 0))
+    columns = carried_columns(F.col("carried"), marked, others)
+    columns["text"] = F.when(~columns[empty], F.col("left"))
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
-    return out.select(*[(text if c == "text" else columns[c]).alias(c) for c in docs.columns])
+    return out.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
