@@ -36,8 +36,12 @@ def nothing(spark: SparkSession):
 
 @pytest.fixture(scope="session")
 def clashing(hard):
-    """The same rows with columns named like the operators' own."""
+    """The same rows with columns named like the operators' own, and of types that are easily lost."""
     from pyspark.sql import functions as F
 
-    names = ["shard", "slot", "bucket", "fp", "root", "record", "score", "fingerprint", "ord", "piece", "length", "words", "spans", "held_out", "carried", "kept", "item_id"]
-    return hard.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    names = ["shard", "slot", "bucket", "fp", "root", "record", "score", "fingerprint", "ord", "piece", "length", "words", "spans", "held_out", "carried", "kept", "item_id",
+             "__made", "__null", "__ord", "__txt", "tie", "left", "c0"]
+    keyed = F.create_map(F.lit(2), F.lit("x"), F.lit(-1), F.col("lang"))
+    return hard.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)], F.timestamp_micros(F.lit(1_700_000_000_123_456)).alias("seen"),
+                       F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.col("n_chars").cast("int")).alias("words by kind"),
+                       F.when(F.col("doc_id").isNotNull(), keyed).alias("keyed"), F.array(F.struct(F.lit(None).cast("double").alias("x"), F.timestamp_micros(F.lit(7)).alias("t"))).alias("nested"))

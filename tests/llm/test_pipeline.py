@@ -50,6 +50,18 @@ def test_suffix_stage_keeps_other_columns_and_nulls(spark, hard):
     assert same.count() > 30
 
 
+def test_stages_keep_every_column_s_values(spark, clashing):
+    """Names like the stages' own, microseconds, maps with keys of any type, nested nulls."""
+    whole = [c for c in clashing.columns if c not in ("text", "n_chars")]
+    key = lambda r: tuple(str(sorted(r[c].items(), key=str) if isinstance(r[c], dict) else r[c]) for c in whole)
+    before = {key(r) for r in clashing.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, clashing, SF)
+        assert made.schema.simpleString() == clashing.schema.simpleString(), name
+        rows = made.collect()
+        assert rows and {key(r) for r in rows} <= before, name
+
+
 def test_language_stage_drops_what_no_language_claims(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     junk = ["Это русский текст о погоде, о городе и о людях.", "漢字 混ぜる 日本語の文章です", "2841 ### 9931 ----- $$$ x 4417 %% 11", "qxzj vvkq wjxq zzkp qqvx"]

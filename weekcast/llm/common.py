@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAST = (1 << 63) - 1            # order of a null doc_id: after every other
 SHARD_BYTES = 4 << 20           # text per shard; one longer text makes a shard of its own
@@ -106,6 +107,24 @@ def free(spark: SparkSession, *saved: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def hashable(value: Column, kind: T.DataType) -> Column:
+    """``value`` with every map as its sorted entries, which Spark can hash and compare; equal maps stay equal."""
+    if isinstance(kind, T.StructType):
+        fields = [hashable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: hashable(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(hashable(e["key"], kind.keyType).alias("key"), hashable(e["value"], kind.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(value), entry))
+    return value
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a whole row, whatever its columns' names and types."""
+    return F.xxhash64(*[hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+
+
 def free_names(df: DataFrame, *stems: str) -> list[str]:
     """Column names that ``df`` doesn't have, one for each stem (Spark takes names that differ in case alone for equal)."""
     taken = {c.lower() for c in df.columns}
@@ -190,6 +209,30 @@ def _shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
+JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _entries(kind: T.DataType) -> T.DataType:
+    """A map's type as a list of entries: JSON only has text as keys."""
+    entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]) if isinstance(kind, T.MapType) else None
+    return T.ArrayType(entry) if entry else kind
+
+
+def carried_json(docs: DataFrame, carry: list[str]) -> Column:
+    """Columns of a row as JSON by place, whole: nulls, microseconds and maps with keys of any type."""
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    values = [F.map_entries(F.col(f"`{c}`")) if isinstance(kinds[c], T.MapType) else F.col(f"`{c}`") for c in carry]
+    return F.to_json(F.struct(*[v.alias(f"c{k}") for k, v in enumerate(values)]), JSON_OPTIONS)
+
+
+def carried_columns(carried: Column, docs: DataFrame, carry: list[str]) -> dict[str, Column]:
+    """The columns that ``carried_json`` packed, by name."""
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    schema = T.StructType([T.StructField(f"c{k}", _entries(kinds[c])) for k, c in enumerate(carry)])
+    row = F.from_json(carried, schema, JSON_OPTIONS)
+    return {c: F.map_from_entries(row[f"c{k}"]) if isinstance(kinds[c], T.MapType) else row[f"c{k}"] for k, c in enumerate(carry)}
+
+
 def shard_documents(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Documents as compressed shards of about 4 MB of text, one row each, in scan order (no shuffle).
 
@@ -197,7 +240,7 @@ def shard_documents(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     document. Saved at once: later passes join their answers to a shard by its
     key, so shards must not change when a task is run again.
     """
-    along = F.to_json(F.struct(*[F.col(f"`{c}`") for c in carry]), {"ignoreNullFields": "false"}) if carry else F.lit(None).cast("string")
+    along = carried_json(docs, carry) if carry else F.lit(None).cast("string")
     rows = docs.select(order_key().cast("long").alias("ord"), F.col("text").cast("string").cast("binary").alias("text"), along.alias("carried"))
     return save(rows.mapInPandas(lean(_shards), SHARD_SCHEMA), "shards", compression="none")
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import order_key, save
+from weekcast.llm.common import free_names, order_key, save
 
 WINDOW = 10
 RARE = 3                        # terms of a window that are intersected one by one
@@ -112,6 +112,7 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a window of a test item."""
-    found = occurrences(docs, benchmark, size).select(F.col("ord").alias("__ord"), F.col("txt").alias("__txt")).distinct()
+    place, mark = free_names(docs, "ord", "txt")
+    found = occurrences(docs, benchmark, size).select(F.col("ord").alias(place), F.col("txt").alias(mark)).distinct()
     order, text = document_key(docs)
-    return docs.join(found, (order == F.col("__ord")) & (text == F.col("__txt")), "left_anti")
+    return docs.withColumn(place, order).withColumn(mark, text).join(found, [place, mark], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -90,7 +90,7 @@ class Model:
 
     def _columns(self) -> np.ndarray:
         if not hasattr(self, "_lookup"):
-            self._lookup = np.full(CODES, -1, dtype=np.int16)
+            self._lookup = np.full(CODES, -1, dtype=np.int16 if len(self.codes) <= np.iinfo(np.int16).max else np.int32)
             self._lookup[self.codes] = np.arange(len(self.codes))
         return self._lookup
 
@@ -110,11 +110,11 @@ class Model:
 
 
 def _share(rows: DataFrame, counts: dict[str, int], total: int, salt: str) -> DataFrame:
-    """About ``total`` rows, as many for each language (all of a rare one), picked by a hash of id and text."""
+    """About ``total`` rows, as many for each language (all of a rare one), picked by a hash of id and text; rows equal in both count once."""
     each = max(1, total // max(1, len(counts)))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
     place = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.filter(place < share[F.col("lang")])
+    return rows.filter(place < share[F.col("lang")]).dropDuplicates(["doc_id", "text"])
 
 
 def fit(labelled: DataFrame, landmarks: int = LANDMARKS, sample: int = SAMPLE, ridge: float = RIDGE) -> Model | None:
@@ -141,7 +141,7 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, sample: int = SAMPLE, r
         return None
     held = [np.frombuffer(c, "<i4") for c in chosen]
     codes, times = np.unique(np.concatenate(held), return_counts=True)
-    codes = codes[(times > 1) | (len(held) == 1)][:np.iinfo(np.int16).max]
+    codes = codes[(times > 1) | (len(held) == 1)]
     presence = np.array([np.isin(codes, h, assume_unique=True) for h in held], dtype=np.float32).T.copy()
     languages = sorted(counts)
     model = Model(languages, codes, presence, presence.sum(axis=0), np.zeros((len(held) + 1, len(languages)), dtype=np.float32), np.zeros(len(languages)))

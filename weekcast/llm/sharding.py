@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import parts_for, save, ship, text_bytes
+from weekcast.llm.common import parts_for, row_hash, save, ship, text_bytes
 
 BUCKET_BYTES = 16 << 20
 SEED = 20_240_229
@@ -34,10 +34,10 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
     ship(spark)
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
-                       (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
+                       (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), row_hash(docs).alias("tie"))
     key = F.xxhash64(F.lit(seed), "record.doc_id", "text_crc32", "size")
     buckets = parts_for(text_bytes(docs), bucket_bytes, 2 * spark.sparkContext.defaultParallelism)
-    scattered = rows.withColumn("tie", F.xxhash64("record")).withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int"))
+    scattered = rows.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int"))
 
     def shuffle(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -49,9 +49,10 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
         return (table.take(pa.array(order)).drop_columns(["tie"])
                 .append_column("place", pa.array(np.arange(len(order), dtype=np.int64))))
 
-    names = [f.name for f in rows.schema.fields]
+    kept = rows.drop("tie")
+    names = kept.columns
     out = scattered.groupBy("bucket").applyInArrow(
-        lambda table: shuffle(table).select([*names, "bucket", "place"]), f"{_ddl(rows)}, bucket int, place long")
+        lambda table: shuffle(table).select([*names, "bucket", "place"]), f"{_ddl(kept)}, bucket int, place long")
     written = save(out, "shuffled", compression="zstd")
     counts = written.groupBy("bucket").agg(F.count("*").alias("n"))             # a row for each bucket
     before = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))

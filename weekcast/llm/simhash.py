@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import order_key, save, ship, trim
+from weekcast.llm.common import order_key, row_hash, save, ship, trim
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -259,8 +259,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """``docs`` with one row of each component: the least doc_id, then the least row hash."""
     ship(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    fps = save(docs.select(order_key().alias("ord"), F.xxhash64(row).alias("tie"), fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-docs")
+    fps = save(docs.select(order_key().alias("ord"), row_hash(docs).alias("tie"), fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-docs")
     best = (fps.groupBy("fp").agg(F.min(F.struct("ord", "tie")).alias("key")).join(component_of(fps, max_bits), "fp")
             .groupBy("root").agg(F.min("key").alias("key")).select("key.ord", "key.tie"))
-    keyed = docs.select(row.alias("record"), order_key().alias("ord"), F.xxhash64(row).alias("tie"))
+    keyed = docs.select(row.alias("record"), order_key().alias("ord"), row_hash(docs).alias("tie"))
     return keyed.join(save(best, "simhash-best"), ["ord", "tie"]).groupBy("ord", "tie").agg(F.first("record").alias("record")).select("record.*")
