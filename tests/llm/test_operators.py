@@ -316,13 +316,14 @@ def test_language_identification(spark, hard, nothing, clashing):
 
 
 # ------------------------------------------------------------------ 8
-def test_contamination(spark, hard, hard_rows, nothing, clashing):
+def test_contamination(spark, hard, hard_rows, nothing, clashing, monkeypatch):
     words = brute.WORD.findall(hard_rows[0][1].lower())
     items = [(1, " ".join(words[:14])), (2, " ".join(words[3:5])), (3, "..."), (4, None), (None, hard_rows[50][1]), (5, "漢字 混ぜる"), (5, "漢字 混ぜる"), (6, "not there at all")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     want = brute.contaminated(hard_rows, items)
     assert any(r[2] for r in want)
-    for table in (hard, clashing):
+    for table, few in ((hard, contamination.FEW_DOCS), (clashing, 0)):         # 0: candidates' documents are shuffled
+        monkeypatch.setattr(contamination, "FEW_DOCS", few)
         got = contamination.report(table, benchmark).collect()
         assert sorted((key(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got) == want
         assert all(r.contaminated == (r.n_hit > 0) for r in got)

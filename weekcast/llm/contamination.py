@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from weekcast.llm.common import free_names, order_key, save
 
 WINDOW = 10
+FEW_DOCS = 1 << 20               # document keys (16 bytes each) that are broadcast
 RARE = 3                        # terms of a window that are intersected one by one
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -86,7 +87,10 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slop:
     # the terms that are left, all at once
     slot = ranked.filter(F.col("rank") > RARE).select("window", "off", "term")
     probe = found.join(slot, "window").withColumn("place", F.col("start") + F.col("off")).select("ord", "txt", "window", "n", "start", "off", "term", near)
-    met = (probe.join(index, ["term", "ord", "txt", "pos"]).groupBy("ord", "txt", "window", "n", "start")
+    # only postings of the documents that still have a candidate; up to FEW_DOCS of those are broadcast, more are shuffled
+    held = save(found.select("ord", "txt").distinct(), "candidate-docs")
+    postings_left = index.join(F.broadcast(held) if held.count() <= FEW_DOCS else held, ["ord", "txt"], "left_semi")
+    met = (probe.join(postings_left, ["term", "ord", "txt", "pos"]).groupBy("ord", "txt", "window", "n", "start")
            .agg(F.countDistinct("off").alias("met")).filter(F.col("met") == F.col("n") - RARE).drop("met"))
     every = met.unionByName(found.filter(F.col("n") <= RARE))
     return every.join(grams.select("window", "items"), "window")
