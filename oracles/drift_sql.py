@@ -145,3 +145,18 @@ SELECT '20240201_000000' AS timestamp, d.status AS data_drift_status, round(d.dr
        p.status AS prediction_drift_status, f.status AS performance_drift_status, round(f.recent_wape, 6) AS current_wape,
        f.baseline_wape, a.action, CAST(NULL AS VARCHAR) AS html_report_url
 FROM dds d, pd p, pf f, act a"""
+
+# ---------------------------------------------------------------- numeric and categorical columns in one report
+_CATEGORICAL = ["promotion_flag", "lead_time_weeks", "category", "supplier_region"]
+_CELLS = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, {side} AS side FROM {rows} WHERE {c} IS NOT NULL"
+                            for c in _CATEGORICAL for side, rows in ((0, "features"), (1, "cur")))
+_MIXED = DEMO + ",\ncl AS (" + _CELLS + ")," + SQL["chi_square_drift"].split("lead_time_weeks IS NOT NULL),", 1)[1].rsplit("SELECT feature, n_ref", 1)[0] + """,
+mixed AS (
+  SELECT feature, 'ks' AS test, n_ref, n_cur, ks_statistic AS statistic, p_value FROM ks WHERE feature NOT IN ('promotion_flag', 'lead_time_weeks')
+  UNION ALL SELECT feature, 'chi_square', n_ref, n_cur, x, CAST(p AS DOUBLE) FROM pv)"""
+SQL["column_drift"] = _MIXED + """
+SELECT feature, test, n_ref, n_cur, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted FROM mixed"""
+SQL["column_drift_status"] = _MIXED + """
+SELECT CAST(8 AS INTEGER) AS n_features, n_drifted, round(n_drifted / 8.0, 6) AS drift_fraction,
+       CASE WHEN n_drifted / 8.0 >= 0.5 THEN 'retrain' WHEN n_drifted / 8.0 >= 0.3 THEN 'warning' ELSE 'ok' END AS status
+FROM (SELECT CAST(count(*) FILTER (WHERE p_value < 0.05) AS BIGINT) AS n_drifted FROM mixed)"""

@@ -404,6 +404,26 @@ def q_chi_square_drift(x: Inputs) -> DataFrame:
     return DD.chi_square_drift(run.reference, run.current, ["promotion_flag", "lead_time_weeks"])
 
 
+NUMERIC, CATEGORICAL = ["lag_1", "rolling_mean_4w", "rolling_mean_12w", "zero_demand_ratio_12w"], ["promotion_flag", "lead_time_weeks", "category", "supplier_region"]
+
+
+def _column_drift(x: Inputs) -> DataFrame:
+    run = _demo(x)
+    return DD.column_drift(run.reference, run.current, NUMERIC, CATEGORICAL)
+
+
+@query("column_drift")
+def q_column_drift(x: Inputs) -> DataFrame:
+    """X1 and X6 in one report, by the columns' kind."""
+    return _column_drift(x)
+
+
+@query("column_drift_status")
+def q_column_drift_status(x: Inputs) -> DataFrame:
+    """X2 over numeric and categorical columns together."""
+    return D.data_drift_status(_column_drift(x), len(NUMERIC) + len(CATEGORICAL))
+
+
 # ------------------------------------------------------------ reports
 from weekcast.operators import reports as R  # noqa: E402
 from weekcast.operators import sketches as SK  # noqa: E402

@@ -96,10 +96,12 @@ def rolling_wape_timeline(predictions: DataFrame, baseline_wape: float = DEMO_BA
 
 
 def chi_square_drift(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
-    """Pearson chi-square test of the side x value contingency table, with its decision."""
-    from weekcast.operators.drift import _long
+    """Pearson chi-square test of the side x value contingency table, with its decision. Values may be of any type; nulls are left out."""
+    def side(df: DataFrame, mark: int) -> DataFrame:
+        texts = df.select(*[F.col(c).cast("string").alias(c) for c in features])
+        return texts.unpivot([], features, "feature", "value").filter(F.col("value").isNotNull()).withColumn("side", F.lit(mark))
 
-    both = _long(reference, features, 0).unionByName(_long(current, features, 1))
+    both = side(reference, 0).unionByName(side(current, 1))
     counts = both.groupBy("feature", "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
     sizes = counts.groupBy("feature").agg(
@@ -114,3 +116,15 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, features: list[st
         F.sum(term).alias("chi2_statistic"), (F.max("n_values") - 1).alias("dof"))
     p = chi2_pvalue(F.col("chi2_statistic"), F.col("dof"))
     return test.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < PVALUE_THRESHOLD)
+
+
+def column_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """One report of all columns by their kind: KS for numeric ones, chi-square for categorical ones.
+
+    (feature, test, n_ref, n_cur, statistic, p_value, drifted); a column with an
+    empty side has no row. ``data_drift_status`` takes it as it is.
+    """
+    columns = lambda df, name: df.select("feature", F.lit(name).alias("test"), "n_ref", "n_cur", "statistic", "p_value", "drifted")
+    ks = columns(D.ks_two_sample(reference, current, numeric).withColumnRenamed("ks_statistic", "statistic"), "ks")
+    chi = columns(chi_square_drift(reference, current, categorical).withColumnRenamed("chi2_statistic", "statistic"), "chi_square")
+    return ks.unionByName(chi)
