@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from weekcast.functions.constants import FEATURE_COLUMNS
+from weekcast.functions.constants import FEATURE_COLUMNS, MOVING_AVERAGE_NAME, NAIVE_NAME
 from weekcast.operators import sketches as SK
 from weekcast.operators.baselines import moving_average, naive
 from weekcast.operators.coldstart import prior_means, with_cold_start
@@ -18,7 +18,7 @@ from weekcast.operators.recursive import recursive_forecast
 from weekcast.operators.reports import demand_box_by_category, distinct_skus
 from weekcast.operators.splits import holdout_split
 from weekcast.plans.context import Inputs
-from weekcast.plans.leaderboard import walk_forward_cv_learner
+from weekcast.plans.leaderboard import ROLLING_INTERVAL_NAME, baseline_leaderboard, walk_forward_cv_learner
 
 SF = "/root/testdata/sf0.001"
 
@@ -111,6 +111,19 @@ def test_quantile_sketches(part_panel):
             assert below - 0.03 <= q <= upto + 0.03
 
 
+# ------------------------------------------------------------------ models of a leaderboard
+def test_leaderboard_of_some_models(spark):
+    rows = Inputs(spark, SF).model_rows
+    whole = {r.model: r for r in baseline_leaderboard(rows).collect()}
+    for models in ((NAIVE_NAME,), (ROLLING_INTERVAL_NAME, MOVING_AVERAGE_NAME)):
+        some = baseline_leaderboard(rows, models).collect()
+        assert {r.model for r in some} == set(models) and [r["rank"] for r in some] == list(range(1, len(models) + 1))
+        assert all(r.wape == pytest.approx(whole[r.model].wape) for r in some)
+    for models in (("Nobody",), ()):
+        with pytest.raises(ValueError, match="no baseline named Nobody|no model"):
+            baseline_leaderboard(rows, models)
+
+
 # ------------------------------------------------------------------ folds at once
 def test_folds_at_once_give_the_loop_s_metrics(spark):
     rows = Inputs(spark, SF).model_rows

@@ -29,16 +29,16 @@ from weekcast.operators.splits import fold_rows, holdout_split, walk_forward_fol
 ROLLING_INTERVAL_NAME = "RollingInterval(4w, one-step)"
 
 
-def baseline_forecasts(train: DataFrame, horizon: int | str = TEST_WEEKS, keys=("sku_id",)) -> DataFrame:
-    """B1-B3 over the whole catalogue, tagged with the model name."""
-    return union_frames([
-        B.naive(train, horizon, keys=keys).withColumn("model", F.lit(NAIVE_NAME)),
-        B.moving_average(train, horizon, keys=keys).withColumn("model", F.lit(MOVING_AVERAGE_NAME)),
-        B.seasonal_naive(train, horizon, keys=keys).withColumn("model", F.lit(SEASONAL_NAIVE_NAME)),
-    ])
+FORECASTERS = {NAIVE_NAME: B.naive, MOVING_AVERAGE_NAME: B.moving_average, SEASONAL_NAIVE_NAME: B.seasonal_naive}
+BASELINE_MODELS = tuple(FORECASTERS)
 
 
-BASELINE_MODELS = (NAIVE_NAME, MOVING_AVERAGE_NAME, SEASONAL_NAIVE_NAME)
+def baseline_forecasts(train: DataFrame, horizon: int | str = TEST_WEEKS, keys=("sku_id",), models=BASELINE_MODELS) -> DataFrame:
+    """B1-B3 (or those of them in ``models``) over the whole catalogue, tagged with the model name."""
+    unknown = [m for m in models if m not in FORECASTERS]
+    if unknown or not models:
+        raise ValueError(f"no baseline named {', '.join(unknown)}" if unknown else "no model to forecast with")
+    return union_frames([FORECASTERS[m](train, horizon, keys=keys).withColumn("model", F.lit(m)) for m in models])
 
 
 def scored_rows(test: DataFrame, forecasts: DataFrame, how: str = "inner", keys=("sku_id",),
@@ -74,12 +74,14 @@ def model_metrics(scored: DataFrame, interval: bool = False, by=("model",)) -> D
     return metrics(scored, by=by, lo=lo, hi=hi)
 
 
-def baseline_leaderboard(model_rows: DataFrame) -> DataFrame:
-    """run_all_models for the SQL-expressible models -> ranked leaderboard."""
+def baseline_leaderboard(model_rows: DataFrame, models=(*BASELINE_MODELS, ROLLING_INTERVAL_NAME)) -> DataFrame:
+    """run_all_models for the SQL-expressible models, or those of them in ``models`` -> ranked leaderboard."""
     train, test = holdout_split(model_rows)
-    point = model_metrics(scored_rows(test, baseline_forecasts(train)))
-    interval = model_metrics(one_step_interval(test), interval=True)
-    rows = union_frames([point, interval]).withColumn("inference_ms", F.lit("< 1"))
+    point = [m for m in models if m != ROLLING_INTERVAL_NAME]
+    parts = [model_metrics(scored_rows(test, baseline_forecasts(train, models=point)))] if point or not models else []
+    if ROLLING_INTERVAL_NAME in models:
+        parts.append(model_metrics(one_step_interval(test), interval=True))
+    rows = union_frames(parts).withColumn("inference_ms", F.lit("< 1"))
     return leaderboard(rows).select("rank", "model", *METRIC_NAMES, "inference_ms")
 
 
