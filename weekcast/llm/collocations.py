@@ -175,21 +175,34 @@ def _merged(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
+RANGES = 16                     # parts of the key space that a group's counts are added up in, one after the other
+
+
+def _group_counts(grp: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    place = [(key >> 60) & (RANGES - 1) for key, _ in held]
+    for r in range(RANGES):
+        picked = [np.flatnonzero(at == r) for at in place]
+        key, n = _merged(np.concatenate([k[p] for (k, _), p in zip(held, picked, strict=True)]), np.concatenate([n[p] for (_, n), p in zip(held, picked, strict=True)]))
+        if len(key):
+            yield pd.DataFrame({"key": key, "grp": grp, "n": n.astype(np.int64)})
+
+
 def _counts(length: int):
     """(key, grp, n): each group's phrases with their occurrences; a group that several tasks read has a row from each."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grp, key, n = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        grp, held = None, []
         for frame in frames:
             for row in frame.itertuples(index=False):
-                if row.grp != grp and len(key):
-                    yield pd.DataFrame({"key": key, "grp": grp, "n": n})
-                    key, n = key[:0], n[:0]
+                if row.grp != grp and held:
+                    yield from _group_counts(grp, held)
+                    held = []
+                    trim()
                 grp = row.grp
                 found, _, _, entry, _ = _joined(row, length)
-                key, n = _merged(np.concatenate([key, found.view(np.int64)]), np.concatenate([n, np.bincount(entry, minlength=len(found))]))
-                trim()
-        if len(key):
-            yield pd.DataFrame({"key": key, "grp": grp, "n": n})
+                held.append((found.view(np.int64), np.bincount(entry, minlength=len(found)).astype(np.int32)))
+                del found, entry
+        if held:
+            yield from _group_counts(grp, held)
     return lean(run)
 
 
