@@ -37,18 +37,32 @@ def transform(strings: np.ndarray, size: np.ndarray) -> np.ndarray:
     inside[ends] = False
     line[inside] = strings + 1
     n = len(line)
-    left = np.repeat(ends, size + 1) - np.arange(n)             # symbols up to the closing one
+    left = (np.repeat(ends, size + 1) - np.arange(n)).astype(np.int32)          # symbols up to the closing one
     padded = np.append(line, np.zeros(8, np.uint8)).astype(np.uint64)
     word = np.zeros(n, dtype=np.uint64)
     for k in range(8):
         word = (word << np.uint64(8)) | np.where(left > k, padded[k:n + k], np.uint64(0))
-    rank = np.unique(word, return_inverse=True)[1].astype(np.int64) + 1
+    order = np.argsort(word, kind="stable")
+    key = word[order]
+    head = np.ones(n, dtype=bool)                           # differs from the suffix before, as far as compared
+    head[1:] = key[1:] != key[:-1]
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.cumsum(head)
     width, longest = 8, int(size.max(initial=0)) + 1
     while width < longest:
-        after = np.where(left >= width, rank[np.minimum(np.arange(n) + width, n - 1)], 0)
-        rank = np.unique((rank << 32) | after, return_inverse=True)[1].astype(np.int64) + 1
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        place = np.flatnonzero(tied)                        # only suffixes that equal a neighbour are sorted on
+        if not len(place):
+            break
+        at = order[place]
+        after = np.where(left[at] >= width, rank[np.minimum(at + width, n - 1)], 0)
+        key = (rank[at] << 32) | after
+        again = np.argsort(key, kind="stable")
+        order[place], key = at[again], key[again]
+        head[place[1:]] |= key[1:] != key[:-1]
+        rank[order] = np.cumsum(head)
         width *= 2
-    order = np.argsort(rank, kind="stable")
     before = np.append(line[-1:], line[:-1])
     before[np.concatenate(([0], ends[:-1] + 1))] = 0
     return before[order]
