@@ -210,7 +210,13 @@ def claimed(text: Column, model: Model | None) -> Column:
 
 
 def predict(docs: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out."""
+    """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out.
+
+    A null text and one without a letter is ``und`` with score 0, and so is every
+    text where no row to learn from has a language and a letter. A null id counts
+    as empty text for the hold-out. Repeated rows are each answered. Only doc_id,
+    text and lang are read; an empty table gives no rows.
+    """
     remainder = id_remainder(modulus)
     model = fit(docs.filter(remainder != held))
     return (docs.select("doc_id", (remainder == held).alias("held_out"), identify(F.col("text"), model).alias("made"))

@@ -184,7 +184,12 @@ def pack_group(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 
 # ------------------------------------------------------------------ all groups
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence)."""
+    """``pieces`` with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence).
+
+    A null or empty text has one piece, its end token. Pieces of repeated rows
+    and of null ids are packed like any other; equal lengths go by id, piece and
+    checksum. Only the pieces' own columns come along. No pieces give no rows.
+    """
     spark = pieces.sparkSession
     ship(spark)
     names = pieces.columns

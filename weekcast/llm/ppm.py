@@ -173,6 +173,8 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, order: int = ORDER)
     nothing. base_score is the add-one unigram log10 probability of the
     lower-cased words and one end. Null texts count as empty, null ids as
     empty text. Without any training document every symbol is equally likely.
+    Repeated rows are each scored and each count; only doc_id and text are read;
+    an empty table gives no rows.
 
     Word counts: each shard of documents asks for its distinct words' counts,
     giving its own training counts along; a bucket of word hashes adds them up

@@ -135,7 +135,9 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
 
     The edited text replaces the last quarter of the code points by the first
     as many of the next document (after the last: the first). A null id comes
-    last; equal ids follow each other by text; a null text is empty.
+    last; equal ids follow each other by text; a null text is empty. Repeated
+    rows are each other's neighbours. Only doc_id and text are read; an empty
+    table gives no rows, a single document is its own neighbour.
 
     Documents are dealt into ranges of doc_id of about 8 MB of text, in one
     shuffle. The first document of each range also goes to the range before,

@@ -300,7 +300,14 @@ def tag(text: Column, field: Field) -> Column:
 
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> DataFrame:
-    """doc_id, held_out, score, predicted, spans of every row; learns from labels that aren't held out."""
+    """doc_id, held_out, score, predicted, spans of every row; learns from labels that aren't held out.
+
+    A null or empty text has the score of a text without a toxic mark and no
+    span; a null id counts as empty text for the hold-out. Repeated rows are
+    each scored; of rows that share an id one teaches. Without labelled texts
+    every score is the same. Only doc_id and text are read; an empty table gives
+    no rows.
+    """
     ship(docs.sparkSession)
     field = fit(docs, labels, id_remainder(modulus) != held)
     return (docs.select("doc_id", (id_remainder(modulus) == held).alias("held_out"), tag(F.col("text"), field).alias("made"))
