@@ -34,7 +34,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each SimHash component."""
+    """Keeps the document of least doc_id of each SimHash component (of equal ids the least row hash, once).
+
+    Null, empty and wordless texts have fingerprint zero and are linked like any
+    other. All columns are kept; an empty table stays empty.
+    """
     return simhash.keep_one(docs)
 
 
@@ -63,12 +67,21 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold ten consecutive words of a benchmark item (or a whole shorter item)."""
+    """Drops the documents that hold ten consecutive words of a benchmark item (or a whole shorter item).
+
+    Null and wordless texts stay; rows equal in id and text go or stay together.
+    All columns are kept; an empty table or benchmark drops nothing.
+    """
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens with their sequence and offset."""
+    """Pieces of at most 1024 tokens with their sequence and offset.
+
+    A null or empty text is one piece of its end token; repeated rows and null
+    ids are packed like any other. Other columns are left out; no documents give
+    no rows.
+    """
     return packing.pack(pieces(docs))
 
 

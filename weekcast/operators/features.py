@@ -132,9 +132,9 @@ def time_features(panel: DataFrame) -> DataFrame:
 def join_metadata(df: DataFrame, meta: DataFrame) -> DataFrame:
     """Left join to the SKU dimension.
 
-    The dimension arrives with a broadcast hint only when its builder proved
-    it small (``sku_dimension``); otherwise this is a shuffle join whose
-    fact side is already hash-partitioned on ``sku_id`` by the windows.
+    No hint: the optimizer broadcasts a small dimension; otherwise this is a
+    shuffle join whose fact side is already partitioned on ``sku_id`` by the
+    windows.
     """
     return df.join(meta, "sku_id", "left")
 
