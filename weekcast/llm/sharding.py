@@ -12,10 +12,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekcast.llm.common import parts_for, row_hash, save, ship, text_bytes
+from weekcast.operators.cumulative import running_sums
 
 BUCKET_BYTES = 16 << 20
 SEED = 20_240_229
@@ -44,36 +46,22 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
         keys = pa.table({"size": table.column("size"), "crc": table.column("text_crc32"), "tie": table.column("tie")})
         order = pc.sort_indices(keys, [("tie", "ascending"), ("crc", "ascending"), ("size", "ascending")]).to_numpy().copy()
         np.random.default_rng([seed, bucket]).shuffle(order)         # Fisher-Yates
-        record = table.column("record")
-        table = table.set_column(table.column_names.index("record"), "record", record.cast(_nullable(record.type)))
         return (table.take(pa.array(order)).drop_columns(["tie"])
                 .append_column("place", pa.array(np.arange(len(order), dtype=np.int64))))
 
     kept = rows.drop("tie")
     names = kept.columns
     out = scattered.groupBy("bucket").applyInArrow(
-        lambda table: shuffle(table).select([*names, "bucket", "place"]), f"{_ddl(kept)}, bucket int, place long")
+        lambda table: shuffle(table).select([*names, "bucket", "place"]),
+        T.StructType([*kept.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("place", T.LongType())]))
     written = save(out, "shuffled", compression="zstd")
     counts = written.groupBy("bucket").agg(F.count("*").alias("n"))             # a row for each bucket
-    before = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    before = running_sums(counts, [], "bucket", ["n"]).select("bucket", (F.col("cum_n") - F.col("n")).alias("before"))
     at = F.col("before") + F.col("place")
-    return (written.join(F.broadcast(before), "bucket")
+    return (written.join(before, "bucket")
             .withColumn("shard", (at % shards).cast("int")).withColumn("slot", F.floor(at / shards).cast("long")).drop("before"))
 
 
-def _nullable(kind: pa.DataType) -> pa.DataType:
-    """The same type with every field nullable, as in a table read back."""
-    if pa.types.is_struct(kind):
-        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
-    if pa.types.is_list(kind):
-        return pa.list_(pa.field(kind.value_field.name, _nullable(kind.value_type)))
-    return kind
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 def write_shards(shuffled: DataFrame, path: str) -> None:
     """The shuffled records as Parquet files, one folder per shard, in slot order."""
     (shuffled.select("shard", "slot", "record").repartition("shard").sortWithinPartitions("shard", "slot")

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekcast.llm import winnow
 from weekcast.llm.common import LAST, order_key, parts_for, spread, text_bytes
@@ -104,7 +105,7 @@ def fingerprint(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> DataFram
             yield frame.assign(fingerprint=[encode(s) for s in made], distinct_shingles=[distinct_count(s, k) for s in made])
 
     kept = docs.select(names)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields), "fingerprint string", "distinct_shingles double"])
+    schema = T.StructType([*kept.schema.fields, T.StructField("fingerprint", T.StringType()), T.StructField("distinct_shingles", T.DoubleType())])
     return kept.mapInPandas(run, schema)
 
 
