@@ -143,4 +143,4 @@ def test_learner_cross_validation_folds(spark):
         return lambda val: val.select("sku_id", "week", F.lit(1.0).alias("p50"))
 
     made = L.walk_forward_cv_learner(rows, fit, "one").collect()
-    assert seen == sorted(seen) and len(set(seen)) == len(made) == 5
+    assert len(set(seen)) == len(seen) == len(made) == 5           # folds run at the same time, in any order
