@@ -9,8 +9,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
-import os
-import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekcast.session import ship_code
+
 LAST = (1 << 63) - 1            # order of a null doc_id: after every other
 SHARD_BYTES = 4 << 20           # text per shard; one longer text makes a shard of its own
 SHARD_SCHEMA = "shard_key string, n_docs int, doc_ids binary, lengths binary, texts binary, carried array<string>"
@@ -41,7 +41,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 BATCH_ROWS = 1000               # rows that a Python worker gets at a time
 LARGE_BYTES = 4 << 20           # arrays from this size on go back to the system as soon as they are freed
-_shipped: set[str] = set()
 _libc = ctypes.CDLL(None)
 if hasattr(_libc, "mallopt"):
     _libc.mallopt(-3, LARGE_BYTES)          # fixed: M_MMAP_THRESHOLD
@@ -73,12 +72,7 @@ def ship(spark: SparkSession) -> None:
     """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="weekcast-code-"), "weekcast"), "zip", os.path.dirname(package), os.path.basename(package))
-        spark.sparkContext.addPyFile(made)
-        _shipped.add(app)
+    ship_code(spark)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -56,13 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so tasks can import its functions."""
+    """Send this package to the executors, once per application, so tasks can import its functions.
+
+    Threads may call it at the same time: one sends, the others wait. The archive
+    has a name of its own, as Spark refuses a second file of the same name.
+    """
     app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = os.path.dirname(os.path.abspath(__file__))
-        target = os.path.join(tempfile.mkdtemp(prefix="weekcast-package-"), "weekcast")
-        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
-        _shipped.add(app)
+    with _shipping:
+        if app not in _shipped:
+            package = os.path.dirname(os.path.abspath(__file__))
+            folder = tempfile.mkdtemp(prefix="weekcast-package-")
+            target = os.path.join(folder, os.path.basename(folder))
+            spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+            _shipped.add(app)
