@@ -52,6 +52,17 @@ def test_panel_scans_lineitem_for_its_rows_and_its_dates_only(spark):
     assert text.count("l_quantity") and text.count("FileScan parquet [l_partkey") <= 1
 
 
+@needs_data
+def test_scale_key_stores_nothing_and_deals_its_lines_once(spark):
+    spark.sparkContext.setJobGroup("build-features_part_key", "")
+    df = QUERIES["features_part_key"](spark, SF)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build-features_part_key")
+    spark.sparkContext.setJobGroup("rest", "")
+    x = Inputs(spark, SF, key="part", materialized=False)
+    assert not jobs and x.tasks >= 1 and "REPARTITION_BY_NUM" in plan(df)
+    assert plan(x.panel).count("Exchange hashpartitioning") == 1
+
+
 @needs_data
 def test_week_cutoff_reaches_the_scan(spark):
     from weekcast.operators.splits import holdout_split

@@ -121,7 +121,8 @@ def batch_score(requests: DataFrame, features: DataFrame,
     valid = checked.filter("valid")
     _, unknown = split_known(valid, features.select("sku_id").distinct())
     if recursive is None:
-        forecasts = interval_fallback(model(scoring_frame(valid, latest_rows(features))))
+        used = [c for c in features.columns if c in {"sku_id", "week", "category", "demand_adjusted", *FEATURE_COLUMNS}]
+        forecasts = interval_fallback(model(scoring_frame(valid, latest_rows(features.select(*used)))))
     else:
         forecasts = interval_fallback(recursive_scoring_frame(valid, features, recursive))
     if skus is not None:

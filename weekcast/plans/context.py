@@ -12,6 +12,8 @@ from weekcast.operators.features import build_features
 from weekcast.sources import panel as P
 from weekcast.sources import store, tables
 
+TASK_BYTES = 2 << 20        # of lineitem's files for each task; as a dense panel a hundred times as much
+
 
 @dataclass
 class Inputs:
@@ -40,7 +42,15 @@ class Inputs:
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return P.weekly_quantities(self.lineitem, self.part, self.key)
+        return P.weekly_quantities(self.lineitem, self.part, self.key, self.tasks)
+
+    @property
+    def tasks(self) -> int | None:
+        """Tasks for the panel with one SKU per part, by the size of ``lineitem``: a task's dense rows fit its memory (None: left to AQE)."""
+        if self.key != "part":
+            return None
+        size = store.input_bytes(self.spark, f"{self.sf_dir.rstrip('/')}/lineitem.parquet")
+        return max(self.spark.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -52,7 +62,9 @@ class Inputs:
 
     @cached_property
     def meta(self) -> DataFrame:
-        return self.keep(lambda: P.sku_dimension(self.part, self.panel, self.key), "sku_dimension")
+        # the sparse weeks have the same SKUs as the panel that is made of them
+        active = self.panel if self.materialized else self.weekly
+        return self.keep(lambda: P.sku_dimension(self.part, active, self.key), "sku_dimension")
 
     @cached_property
     def features(self) -> DataFrame:

@@ -67,14 +67,21 @@ def monday_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "week")
 
 
-def weekly_quantities(lineitem: DataFrame, part: DataFrame, key: str = "brand_type") -> DataFrame:
+def weekly_quantities(lineitem: DataFrame, part: DataFrame, key: str = "brand_type", tasks: int | None = None) -> DataFrame:
     """(sku_num, week, qty): partial aggregation before the shuffle.
 
-    With the part key no join is needed. With the brand x type key the part
+    With the part key no join is needed, and there are few lines for each SKU
+    and week: with ``tasks`` the lines themselves are dealt over that many tasks
+    by ``sku_id`` (an additional column then), the one shuffle for the sums, the
+    dense panel and everything per SKU. With the brand x type key the part
     side is joined without a hint: its size grows with the data, so the
     choice between broadcast and shuffle is left to AQE's runtime statistics.
     """
     li = lineitem.select("l_partkey", "l_quantity", monday_of(F.col("l_shipdate")).alias("week"))
+    if key == "part" and tasks:
+        lines = li.select(F.col("l_partkey").cast("long").alias("sku_num"), "week", "l_quantity")
+        lines = lines.select(sku_id_of(F.col("sku_num")).alias("sku_id"), "*").repartition(tasks, "sku_id")
+        return lines.groupBy("sku_id", "sku_num", "week").agg(F.sum("l_quantity").alias("qty"))
     if key == "part":
         lines = li.select(F.col("l_partkey").cast("long").alias("sku_num"), "week", "l_quantity")
     else:
@@ -121,7 +128,8 @@ def dense_panel(weekly: DataFrame, calendar: DataFrame) -> DataFrame:
     """
     bounds = calendar.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
     per_sku = Window.partitionBy("sku_id").orderBy("active")
-    sparse = weekly.select(sku_id_of(F.col("sku_num")).alias("sku_id"), "sku_num", F.col("week").alias("active"), "qty")
+    sku_id = F.col("sku_id") if "sku_id" in weekly.columns else sku_id_of(F.col("sku_num")).alias("sku_id")
+    sparse = weekly.select(sku_id, "sku_num", F.col("week").alias("active"), "qty")
     spans = one_row_attach(sparse.select("*", F.lag("active").over(per_sku).alias("before"), F.lead("active").over(per_sku).alias("after")), bounds)
     first = F.when(F.col("before").isNull(), F.col("lo")).otherwise(F.col("active"))
     last = F.when(F.col("after").isNull(), F.col("hi")).otherwise(F.date_sub("after", 7))

@@ -65,6 +65,12 @@ def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:12]
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files of a folder."""
+    hp, fs = _fs(spark, path)
+    return fs.getContentSummary(hp).getLength()
+
+
 def store_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/weekcast-store"
 
