@@ -36,7 +36,7 @@ from weekcast.session import ensure_checkpoint_dir, ship_code
 BINS = 255
 BLOCK_ROWS = 1 << 16            # rows of a block, at most
 LEAST_ROWS = 1 << 12
-CUT = 4
+CUT = 25
 STEP = 13                       # low bits of a float32 residual that a leaf's quantile ignores (relative error 2**-10)
 NODES = 1 << 20                 # nodes of one tree, at most
 BLOCKS = "block string, val boolean, n int, bins binary, y binary, q binary, loss array<double>"
