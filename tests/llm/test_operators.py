@@ -1,6 +1,7 @@
 """Each operator against a plain version, on rows with every awkward case."""
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -196,6 +197,37 @@ def test_hot_anchors_do_not_fill_one_bucket(method, words):
     assert sent[100].max() < 2 * sent[100].mean()
 
 
+def test_a_bucket_of_byte_passages_is_merged_in_parts():
+    rng = np.random.default_rng(4)
+    line = rng.integers(97, 123, 400_000).astype(np.uint8)
+    first = np.arange(0, 399_000, 40)
+    size = np.full(len(first), 60)
+    part = rng.integers(0, passages.PARTS, len(first)).astype(np.uint8)
+    method = suffixes.BytePassages()
+    sent = [method.message(line, passages.Entries(first, size, first * 0, np.full(len(first), k), first.astype(np.uint64) + np.uint64(k), part)) for k in range(4)]
+    assert all(f.all() == (k > 0) and f.any() == (k > 0) for k, f in enumerate(method.solve(sent)))       # other hashes, so none is equal at once
+    tracemalloc.start()
+    method.solve(sent)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * sum(map(len, sent))
+
+
+def test_repeats_drop_each_exchange_before_the_next(spark, hard, monkeypatch):
+    done, save, free = [], passages.save, passages.free
+    monkeypatch.setattr(passages, "save", lambda df, name, **o: (done.append(name), save(df, name, **o))[1])
+    monkeypatch.setattr(passages, "free", lambda session, *saved: (done.append("free"), free(session, *saved)))
+    suffixes.deduplicate(hard)
+    assert done == ["contexts", "free", "windows", "free"]
+
+
+def test_batches_of_shards_are_limited_by_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    common.ship(spark)
+    large = spark.range(20).repartition(1).select(F.expr("unhex(repeat('ab', 1000000))").alias("b"))
+    assert max(r.n for r in large.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n int").collect()) < 12
+
+
 def test_transform_is_the_sorted_suffixes():
     rng = np.random.default_rng(3)
     size = rng.integers(1, 90, 20)

@@ -10,6 +10,7 @@ import ctypes
 import gc
 import math
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -40,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 BATCH_ROWS = 1000               # rows that a Python worker gets at a time
+BATCH_BYTES = 8 << 20           # and bytes: a batch of shards is held by the JVM, and twice by the worker
 LARGE_BYTES = 4 << 20           # arrays from this size on go back to the system as soon as they are freed
 _libc = ctypes.CDLL(None)
 if hasattr(_libc, "mallopt"):
@@ -68,10 +70,14 @@ def lean(run):
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the executors (once per application), so tasks can import its kernels.
 
-    Documents are large rows, so the session's Arrow batches get fewer of them.
+    Documents are large rows, so the session's Arrow batches get fewer of them;
+    shards and blocks are larger still, so a batch's bytes are limited too.
     """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_code(spark)
 
 
@@ -93,12 +99,15 @@ def free(spark: SparkSession, *saved: DataFrame) -> None:
 
     Spark deletes a shuffle's files once nothing refers to it and the driver's
     JVM has collected garbage; a step of several shuffles needs that between.
+    It takes two rounds: what Python lets go in the first is collected in the second.
     """
     for df in saved:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
 
 
 def hashable(value: Column, kind: T.DataType) -> Column:

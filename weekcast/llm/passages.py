@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.llm import winnow
-from weekcast.llm.common import LAST, parts_for, save, shard_documents, ship, text_bytes, trim, unpack
+from weekcast.llm.common import LAST, free, parts_for, save, shard_documents, ship, text_bytes, trim, unpack
 
 ANCHOR_BUCKET_BYTES = 16 << 20          # text for each bucket of anchors
 CONTEXT_BUCKET_BYTES = 8 << 20          # text for each bucket of surroundings
 HOT_ENTRIES = 1 << 15                   # different surroundings, shard by shard, from which an anchor is hot
 HEAVY = 4                               # a shard tells how many a key of its own has from so many on; fewer count as one
+TAKE_ANCHORS = 1 << 14                  # anchors whose windows are laid out at a time
+PARTS = 4                               # parts of a bucket that a method may compare one after the other
 BLOCK = 1 << 19
 ASKED = "shard_key string, bucket long, anchors binary, heavy binary, docs binary"
 OUT_SCHEMA = ("doc_id long, n_units long, n_removed long, n_spans long, "
@@ -48,13 +50,14 @@ OUT_SCHEMA = ("doc_id long, n_units long, n_removed long, n_spans long, "
 
 @dataclass
 class Entries:
-    """Distinct surroundings: units[first : first + size], the anchor's place in it, the least document with it, and its hash."""
+    """Distinct surroundings: units[first : first + size], the anchor's place in it, the least document with it, its hash, and its part of the bucket (equal windows have equal parts)."""
 
     first: np.ndarray
     size: np.ndarray
     anchor: np.ndarray
     order: np.ndarray
     content: np.ndarray
+    part: np.ndarray
 
 
 class Method:
@@ -233,18 +236,19 @@ def _gather(row, method: Method, buckets: int, context_buckets: int) -> pd.DataF
     lay, filled, edges = _split(key[head], context_buckets)
     place = np.empty(len(head), dtype=np.int64)
     place[lay] = np.arange(len(head))
+    part = (key[head] // np.uint64(context_buckets) % np.uint64(PARTS)).astype(np.uint8)
     packer = zstandard.ZstdCompressor(level=1)
     sent = []
     for b, x, y in zip(filled.tolist(), edges, edges[1:], strict=False):
         own = head[lay[x:y]]
-        sent.append((row.shard_key, b, packer.compress(method.message(s.units, Entries(first[own], size[own], s.position[at][own] - first[own], s.ids[doc[own]], content[own])))))
+        sent.append((row.shard_key, b, packer.compress(method.message(s.units, Entries(first[own], size[own], s.position[at[own]] - first[own], s.ids[doc[own]], content[own], part[lay[x:y]])))))
     state = np.concatenate([[len(at), len(head)], first, size, place[entry], s.ids[doc] > least[entry], size[head][lay]]).astype("<i8").tobytes()
     sent.append((row.shard_key, -1, packer.compress(np.packbits(copies).tobytes().ljust(-(-len(s.ids) // 8)) + state)))
     return pd.DataFrame(sent, columns=["shard_key", "bucket", "body"])
 
 
-def _take_out(row, method: Method) -> pd.DataFrame:
-    """The shard's documents without what repeated windows cover."""
+def _take_out(row, method: Method, characters: bool = False) -> pd.DataFrame:
+    """The shard's documents without what repeated windows cover; of ``characters`` that lost a byte nothing is kept."""
     ids, bounds, text = unpack(row.doc_ids, row.lengths, row.texts)
     units, unit_bounds, start, end = method.units(np.frombuffer(text, np.uint8), bounds)
     raw = zstandard.ZstdDecompressor().decompress(row.state)
@@ -260,15 +264,17 @@ def _take_out(row, method: Method) -> pd.DataFrame:
         got = np.unpackbits(np.frombuffer(reply["body"], np.uint8), count=reply["n"]).astype(bool)
         flags[at:at + len(got)] = got
         at += len(got)
-    many = size - method.window + 1
-    ends = np.cumsum(many)
-    step = np.arange(int(ends[-1]) if n else 0) - np.repeat(ends - many, many)
-    hit = flags[np.repeat(edges[place], many) + step] | np.repeat(later > 0, many) if n else np.zeros(0, bool)
-    starts = (np.repeat(first, many) + step)[hit]
     change = np.zeros(len(units) + 1, dtype=np.int32)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + method.window, -1)
-    gone = np.cumsum(change[:-1]) > 0
+    for a in range(0, n, TAKE_ANCHORS):
+        b = min(n, a + TAKE_ANCHORS)
+        many = size[a:b] - method.window + 1
+        ends = np.cumsum(many)
+        step = np.arange(int(ends[-1])) - np.repeat(ends - many, many)
+        hit = flags[np.repeat(edges[place[a:b]], many) + step] | np.repeat(later[a:b] > 0, many)
+        starts = (np.repeat(first[a:b], many) + step)[hit]
+        np.add.at(change, starts, 1)
+        np.add.at(change, starts + method.window, -1)
+    gone = np.cumsum(change[:-1], dtype=np.int32) > 0
     rows = []
     carried = row.carried if row.carried is not None else [None] * len(ids)
     for d in range(len(ids)):
@@ -278,16 +284,19 @@ def _take_out(row, method: Method) -> pd.DataFrame:
         edge = np.flatnonzero(np.diff(np.concatenate(([0], here.astype(np.int8), [0]))))
         spans = [{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)]
         kept = method.kept(body, start[a:b] - bounds[d], end[a:b] - bounds[d], ~here)
+        if characters:
+            kept = kept.decode("utf-8", "ignore").encode()
         rows.append((b - a, int(here.sum()), len(spans), spans, kept, carried[d]))
     out = pd.DataFrame(rows, columns=["n_units", "n_removed", "n_spans", "spans", "kept", "carried"])
     out.insert(0, "doc_id", pd.array([None if k == LAST else k for k in ids.tolist()], dtype="Int64"))
     return out
 
 
-def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = None, hot_entries: int = HOT_ENTRIES) -> DataFrame:
+def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = None, hot_entries: int = HOT_ENTRIES, characters: bool = False) -> DataFrame:
     """Per document: doc_id, n_units, n_removed, n_spans, spans (in units), kept (bytes), carried.
 
-    ``carry`` names columns to take along as JSON in ``carried``. Null texts
+    ``carry`` names columns to take along as JSON in ``carried``; with
+    ``characters``, ``kept`` leaves out characters that lost some of their bytes. Null texts
     count as empty. A null doc_id comes after every other; documents of equal
     id take nothing from each other.
     """
@@ -312,13 +321,17 @@ def remove_repeats(docs: DataFrame, method: Method, carry: list[str] | None = No
         trim()
         return pd.DataFrame({"shard_key": frame["shard_key"], "bucket": frame["bucket"], "n": [len(f) for f in flags], "body": [np.packbits(f).tobytes() for f in flags]})
 
+    # each exchange is dropped before the next one: the surroundings and the windows' answers are saved
     text = shards.drop("carried")
     replies = (text.mapInPandas(each(lambda row: _ask(row, method, buckets)), ASKED)
                .groupBy("bucket").applyInPandas(lambda frame: _answer(frame, hot_entries), ASKED)
                .groupBy("shard_key").agg(F.collect_list(F.struct("bucket", "anchors", "heavy", "docs")).alias("replies")))
     asked = text.join(replies, "shard_key", "left")
     sent = save(asked.mapInPandas(each(lambda row: _gather(row, method, buckets, context_buckets)), "shard_key string, bucket long, body binary"), "contexts", compression="none")
-    found = (sent.filter("bucket >= 0").groupBy("bucket").applyInPandas(solve, "shard_key string, bucket long, n int, body binary")
-             .groupBy("shard_key").agg(F.collect_list(F.struct("bucket", "n", "body")).alias("replies")))
+    del replies, asked
+    free(spark)
+    found = save(sent.filter("bucket >= 0").groupBy("bucket").applyInPandas(solve, "shard_key string, bucket long, n int, body binary"), "windows", compression="none")
+    free(spark)
+    found = found.groupBy("shard_key").agg(F.collect_list(F.struct("bucket", "n", "body")).alias("replies"))
     states = sent.filter("bucket < 0").select("shard_key", F.col("body").alias("state"))
-    return shards.join(states.join(found, "shard_key", "left"), "shard_key").mapInPandas(each(lambda row: _take_out(row, method)), OUT_SCHEMA)
+    return shards.join(states.join(found, "shard_key", "left"), "shard_key").mapInPandas(each(lambda row: _take_out(row, method, characters)), OUT_SCHEMA)

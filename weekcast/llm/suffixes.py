@@ -9,7 +9,8 @@ order). A border that opens in round d says that its neighbours have d - 1
 symbols in common; after as many rounds as a window has bytes, the rows between
 two borders are a repeated interval. Only suffixes from which a window's start
 is still to be reached take part, equal strings of several shards are walked
-once, and intervals of one document drop out early.
+once, and intervals of one document drop out early. A bucket's strings are
+merged in four parts, one after the other, by the hash of their anchors.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from weekcast.llm.passages import Entries, Method, remove_repeats
+from weekcast.llm.passages import PARTS, Entries, Method, remove_repeats
 
 WINDOW = 50
 SEED = 26
@@ -95,7 +96,7 @@ class BytePassages(Method):
     seed = SEED
 
     def units(self, data, bounds):
-        at = np.arange(len(data) + 1)
+        at = np.arange(len(data) + 1, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
         return data, bounds, at[:-1], at[1:]
 
     def kept(self, text, start, end, keep):
@@ -106,23 +107,39 @@ class BytePassages(Method):
         at = np.repeat(entries.first - (np.cumsum(entries.size) - entries.size), entries.size) + np.arange(total)
         bwt = transform(units[at], entries.size)
         head = np.concatenate([[len(entries.size)], entries.order, entries.content.astype(np.int64)]).astype("<i8")
-        return head.tobytes() + bwt.tobytes()
+        return head.tobytes() + entries.part.tobytes() + bwt.tobytes()
 
     def solve(self, messages: list[bytes]) -> list[np.ndarray]:
         heads = [np.frombuffer(body, "<i8", 2 * int(np.frombuffer(body, "<i8", 1)[0]), offset=8).reshape(2, -1) for body in messages]
-        bwts = [np.frombuffer(body, np.uint8, offset=8 + head.nbytes) for body, head in zip(messages, heads, strict=True)]
+        part = np.concatenate([np.frombuffer(body, np.uint8, head.shape[1], offset=8 + head.nbytes) for body, head in zip(messages, heads, strict=True)])
+        bwts = [np.frombuffer(body, np.uint8, offset=8 + head.nbytes + head.shape[1]) for body, head in zip(messages, heads, strict=True)]
         base = np.cumsum([0, *map(len, bwts)])
         order, content = np.concatenate(heads, axis=1)
         closing = np.concatenate([b + np.arange(head.shape[1]) for b, head in zip(base, heads, strict=False)])
-        step = np.concatenate([last_to_first(bwt) + np.int32(b) for bwt, b in zip(bwts, base, strict=False)])
+        step = np.empty(int(base[-1]), dtype=np.int32)
+        for bwt, b in zip(bwts, base.tolist(), strict=False):
+            np.add(last_to_first(bwt), np.int32(b), out=step[b:b + len(bwt)])
         bwt = np.concatenate(bwts)
         # equal strings are walked once, under their least document
-        by = np.lexsort((order, content))
-        new = np.concatenate(([True], content[by][1:] != content[by][:-1]))
+        by = np.lexsort((order, content, part))
+        new = np.concatenate(([True], (content[by][1:] != content[by][:-1]) | (part[by][1:] != part[by][:-1])))
         own = by[new]
         like = np.empty(len(by), dtype=np.int64)
         like[by] = np.cumsum(new) - 1
-        size, names, rows = rows_of(bwt, step, closing[own])
+        # ``own`` is in the order of the parts: each is walked and merged by itself
+        bounds = np.searchsorted(part[own], np.arange(PARTS + 1))
+        runs, flags = zip(*(self._part(bwt, step, closing[own[a:b]], order[own[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False) if a < b), strict=True)
+        run, flags = np.concatenate(runs), np.concatenate(flags)
+        first = np.cumsum(run) - run
+        many = run[like]
+        ends = np.cumsum(many)
+        all_flags = flags[np.repeat(first[like] - (ends - many), many) + np.arange(int(ends[-1]))] | np.repeat(order > order[own][like], many)
+        edges = np.concatenate(([0], ends))[np.cumsum([0, *(head.shape[1] for head in heads)])]
+        return [all_flags[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+    def _part(self, bwt: np.ndarray, step: np.ndarray, closing: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(windows of each string, flags of all windows) of some distinct strings."""
+        size, names, rows = rows_of(bwt, step, closing)
         run = size - self.window + 1
         first = np.concatenate(([0], np.cumsum(run)))
         # before the first round, window j stands at the suffix that begins right after it
@@ -131,12 +148,8 @@ class BytePassages(Method):
             j = size[name] - back - self.window
             fits = j >= 0
             start[first[name[fits]] + j[fits]] = row[fits]
-        flags = merge(bwt, step, start, np.repeat(order[own], run), self.window)
-        many = run[like]
-        ends = np.cumsum(many)
-        all_flags = flags[np.repeat(first[like] - (ends - many), many) + np.arange(int(ends[-1]))] | np.repeat(order > order[own][like], many)
-        edges = np.concatenate(([0], ends))[np.cumsum([0, *(head.shape[1] for head in heads)])]
-        return [all_flags[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        del names, rows
+        return run, merge(bwt, step, start, np.repeat(order, run), self.window)
 
 
 def merge(bwt: np.ndarray, step: np.ndarray, row: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
@@ -173,6 +186,6 @@ def merge(bwt: np.ndarray, step: np.ndarray, row: np.ndarray, order: np.ndarray,
     return flags
 
 
-def deduplicate(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """Texts without the bytes of 50-byte strings that also start in a smaller document (see ``passages``)."""
-    return remove_repeats(docs, BytePassages(), carry)
+def deduplicate(docs: DataFrame, carry: list[str] | None = None, characters: bool = False) -> DataFrame:
+    """Texts without the bytes of 50-byte strings that also start in a smaller document (see ``passages``); whole ``characters`` only, if asked."""
+    return remove_repeats(docs, BytePassages(), carry, characters=characters)
