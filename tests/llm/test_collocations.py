@@ -61,6 +61,15 @@ def test_against_plain_counting(spark, rows, options):
     assert found(got) == plain(rows, **options)
 
 
+def test_counts_go_before_the_relation_is_shuffled(spark, rows, monkeypatch):
+    done, save, free = [], collocations.save, collocations.free
+    monkeypatch.setattr(collocations, "save", lambda df, name, **o: (done.append(name), save(df, name, **o))[1])
+    monkeypatch.setattr(collocations, "free", lambda session, *saved: (done.append("free"), free(session, *saved)))
+    collocations.frequent_phrases(spark.createDataFrame(rows, "text string, lang string"), 2, 3)
+    steps = done[done.index("words") + 1:]
+    assert steps == [x for k in (1, 2) for x in (f"groups-{k}", "free", f"relation-{k}", f"frequent-{k}", "free")] + ["free"]
+
+
 def test_cut_keeps_pieces():
     text = b"ab cd, ef gh. ij " * 50_000
     parts = list(collocations.cut(text, 1000))

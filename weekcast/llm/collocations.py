@@ -210,7 +210,7 @@ def _semi_join(length: int):
     """The group's occurrences of frequent phrases; of the group that is to name a phrase, the first row that has it does."""
     def run(relation: pd.DataFrame, frequent: pd.DataFrame) -> pd.DataFrame:
         found, first = np.unique(frequent["key"].to_numpy().astype(np.int64), return_index=True)
-        f, owner = frequent["f"].to_numpy()[first].astype(np.int64), frequent["owner"].to_numpy()[first]
+        f, names = frequent["f"].to_numpy()[first].astype(np.int64), frequent["own"].to_numpy()[first].astype(bool)
         named = np.zeros(len(found), dtype=bool)
         out = []
         for row in relation.itertuples(index=False):
@@ -229,7 +229,7 @@ def _semi_join(length: int):
                 phrases = [f"{every[a]} {every[b].rsplit(' ', 1)[-1]}" for a, b in zip(left[pick].tolist(), right[pick].tolist(), strict=True)]
             number = np.cumsum(hit) - 1
             kept = np.flatnonzero(hit[entry])
-            own = (owner[reply] == row.grp) & ~named[reply]
+            own = names[reply] & ~named[reply]
             named[reply] = True
             out.append(_row(row.grp, key[pick], phrases, _unpack(row.langs, "<i4")[left[pick]], list(row.names), f[reply], own, number[entry[kept]], pos[kept]))
         trim()
@@ -259,11 +259,14 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, support: int = SUP
     for k in range(1, longest + 1):
         counts = relation.mapInPandas(_counts(k), "key long, grp long, n long")
         groups = (counts.withColumn("f", F.sum("n").over(of_key)).withColumn("owner", F.min("grp").over(of_key))        # a key has few rows for each group
-                  .filter(F.col("f") >= support).select("grp", "key", "f", "owner"))
+                  .filter(F.col("f") >= support).select("grp", "key", "f", (F.col("owner") == F.col("grp")).alias("own")))
+        groups = save(groups, f"groups-{k}")
+        del counts
+        free(spark)                                         # the counts go before the relation is shuffled
         before, relation = relation, save(relation.groupBy("grp").cogroup(groups.groupBy("grp")).applyInPandas(_semi_join(k), SCHEMA), f"relation-{k}", compression="none")
         found.append(save(relation.mapInPandas(lean(_owned), "lang string, phrase string, f long").withColumn("k", F.lit(k)), f"frequent-{k}"))
-        del counts, groups
-        free(spark, before)
+        free(spark, before, groups)
+        del groups
     free(spark, relation)
     every = found[0]
     for level in found[1:]:
