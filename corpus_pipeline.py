@@ -52,13 +52,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     (empty,) = free_names(docs, "null")
     marked = docs.withColumn(empty, F.col("text").isNull())
     others = [c for c in marked.columns if c != "text"]
-    out = suffixes.deduplicate(marked, others)
-
-    @F.pandas_udf("string")
-    def whole_characters(kept):
-        return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
-    out = out.select("n_units", "n_removed", "carried", whole_characters(F.col("kept")).alias("left")).filter((F.length("left") > 0) | (F.col("n_units") == 0))
+    out = suffixes.deduplicate(marked, others, characters=True)
+    out = out.select("n_units", "n_removed", "carried", F.col("kept").cast("string").alias("left")).filter((F.length("left") > 0) | (F.col("n_units") == 0))
     columns = carried_columns(F.col("carried"), marked, others)
     columns["text"] = F.when(~columns[empty], F.col("left"))
     if "n_chars" in columns:

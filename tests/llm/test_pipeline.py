@@ -50,6 +50,11 @@ def test_suffix_stage_keeps_other_columns_and_nulls(spark, hard):
     assert same.count() > 30
 
 
+def test_suffix_stage_runs_one_python_worker_a_task(spark, hard):
+    plan = corpus_pipeline.suffix_dedup(spark, hard, "")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "ArrowEvalPython" not in plan
+
+
 def test_stages_keep_every_column_s_values(spark, clashing):
     """Names like the stages' own, microseconds, maps with keys of any type, nested nulls."""
     whole = [c for c in clashing.columns if c not in ("text", "n_chars")]
