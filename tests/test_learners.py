@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekcast.functions.constants import FEATURE_COLUMNS
+from weekcast.operators import boosting
 from weekcast.operators.boosting import HistogramBoost, residual_code, residual_of, to_bins
 from weekcast.operators.forest import Forest
 from weekcast.operators.learners import QuantileBoost, point_boost
@@ -94,6 +95,24 @@ def test_splits_equal_a_plain_version(frame, table, alpha, parts):
     assert Forest.of(boost).predict(x)["m"] == pytest.approx(q, abs=1e-9)
 
 
+@pytest.mark.parametrize("alpha", [0.5, None])
+def test_small_leaves_grow_in_one_pass(frame, table, alpha, monkeypatch):
+    """A tree of few rows takes two passes; the same trees if none, some or all of its leaves are small."""
+    x, y = table
+    passes, real = [], boosting.HistogramBoost._histograms
+    monkeypatch.setattr(boosting.HistogramBoost, "_histograms", lambda *a: passes.append(a[2]) or real(*a))
+    want = None
+    for small in (1 << 13, 300, 0):
+        monkeypatch.setattr(boosting, "SMALL", small)
+        passes.clear()
+        boost = HistogramBoost(NAMES, {"m": alpha}, rounds=2, learning_rate=0.3, leaves=24, min_rows=15, column_share=1.0, bins=32).fit(frame.repartition(3))
+        want = want or plain_boost(x, y, boost.edges, alpha, boost.fits["m"].start, 2, 0.3, 24, 15, boost.scale)
+        assert [chosen(t) for t in boost.fits["m"].trees] == [sorted(s[1:] for s in splits) for splits in want[0]], small
+        assert Forest.of(boost).predict(x)["m"] == pytest.approx(want[1], abs=1e-9)
+        assert len(passes) == 4 if small > len(y) else len(passes) > 4, small
+        assert small or len(passes) > 8
+
+
 def test_depth_rows_and_columns(frame):
     boost = HistogramBoost(NAMES, {"a": None, "b": 0.5}, rounds=4, depth=2, leaves=64, row_share=0.8, column_share=0.5, l2=1.0, bins=32).fit(frame)
     for fit in boost.fits.values():

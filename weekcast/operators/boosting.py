@@ -5,8 +5,10 @@ training rows become blocks of bytes. A tree grows leaf by leaf, the leaf of
 greatest gain first. Each pass over the blocks is one Spark job: tasks add up
 gradient histograms of all leaves that may be split next, the histograms of a
 leaf meet by its key, and the best split of each leaf is all that comes back.
-So a tree costs about as many jobs as it is deep, and several models (the
-quantiles) grow side by side in the same jobs.
+A leaf of few rows sends those rows instead, and the group that gets them grows
+all that may follow below it. So a tree costs about as many jobs as its levels
+of large leaves, and one more; several models (the quantiles) grow side by side
+in the same jobs.
 
 Gradients are integers (pinball: rows above and below the prediction; squared
 error: fixed-point residuals), so sums, and with them the trees, don't depend
@@ -36,8 +38,10 @@ from weekcast.session import ensure_checkpoint_dir, ship_code
 BINS = 255
 BLOCK_ROWS = 1 << 16            # rows of a block, at most
 LEAST_ROWS = 1 << 12
+SMALL = 1 << 13                 # rows of a leaf, at most, that meet in one group to grow all below it
 CUT = 25
 STEP = 13                       # low bits of a float32 residual that a leaf's quantile ignores (relative error 2**-10)
+CODES = 1 << (33 - STEP)        # more than residual codes there are, of both signs
 NODES = 1 << 20                 # nodes of one tree, at most
 BLOCKS = "block string, val boolean, n int, bins binary, y binary, q binary, loss array<double>"
 
@@ -45,7 +49,7 @@ BLOCKS = "block string, val boolean, n int, bins binary, y binary, q binary, los
 # ------------------------------------------------------------------ binning
 def bin_edges(rows: DataFrame, features: list[str], bins: int = BINS) -> list[np.ndarray]:
     """Upper bounds of each feature's bins: approximate quantiles, in one aggregate."""
-    probs = [k / (bins - 1) for k in range(1, bins - 1)]
+    probs = F.lit([k / (bins - 1) for k in range(1, bins - 1)])         # made once: a call to the JVM for each literal
     made = rows.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(f"f{k}") for k, c in enumerate(features)]).first()
     return [np.unique(np.array(e if e is not None else [], dtype=np.float64)) for e in made]
 
@@ -168,6 +172,17 @@ class _Growing:
                 stack += [(c, least) for c in node.children or () if self.nodes[c].asked]
         return out
 
+    def floor(self) -> float:
+        """A node of less gain can't be chosen any more: ``leaves - 1`` nodes have at least this on their whole path."""
+        bounds = heapq.nlargest(self.leaves - 1, (bound for _, bound in self._bounds()))
+        return bounds[-1] if bounds and len(bounds) == self.leaves - 1 else 0.0
+
+    def small(self, nodes: list[int]) -> dict[int, tuple[int, int | None, float]]:
+        """Those of ``nodes`` with few rows: (splits at most, levels at most, least gain) of what grows below each."""
+        floor = self.floor()
+        return {k: (self.leaves - 1 - self.nodes[k].depth, None if self.depth is None else self.depth - self.nodes[k].depth, floor)
+                for k in nodes if 0 < self.nodes[k].n <= SMALL}
+
     def _known(self, k: int) -> bool:
         made = self.nodes[k].children
         return made is not None and all(self.nodes[c].asked for c in made) or self.depth is not None and self.nodes[k].depth + 1 >= self.depth
@@ -244,6 +259,56 @@ def best_split(hist: np.ndarray, columns: np.ndarray, edges: np.ndarray, alpha:
     return n, total, (float(gain.flat[at]), int(columns[f]), int(b) + 1, not right, int(ln.flat[at]), int(lu.flat[at]))
 
 
+def small_subtree(bins: np.ndarray, unit: np.ndarray, limits: tuple[int, int | None, float], columns: np.ndarray, edges: np.ndarray, width: int,
+                  alpha: float | None, scale: float, min_rows: int, l2: float) -> list[tuple[int, int, tuple | None, int | None]]:
+    """(rows, gradient units, best split, place of the left child) of a node and of all that may be split below it.
+
+    ``bins`` is (columns x rows), ``unit`` says which rows are above the
+    prediction, or their fixed-point residuals. The leaf of greatest gain is
+    split first; the right child stands behind the left one. A larger child's
+    histogram is its parent's less its sibling's, all in integers.
+    """
+    splits, levels, floor = limits
+    size = len(columns) * width
+    code = bins + (np.arange(len(columns), dtype=np.int32) * width)[:, None]
+
+    def histogram(rows: np.ndarray) -> np.ndarray:
+        if alpha is not None:
+            parts = [np.bincount(code[:, rows[unit[rows] == side]].ravel(), minlength=size) for side in (0, 1)]
+        else:
+            own = code[:, rows]
+            parts = [np.bincount(own.ravel(), minlength=size),
+                     np.bincount(own.ravel(), weights=np.broadcast_to(unit[rows].astype(float), own.shape).ravel(), minlength=size).astype(np.int64)]
+        return np.stack(parts, axis=1).reshape(len(columns), width, 2)
+
+    out, heap = [], []
+
+    def look(rows: np.ndarray, hist: np.ndarray, level: int) -> None:
+        n, total, split = best_split(hist, columns, edges, alpha, scale, min_rows, l2)
+        if split is not None and split[0] >= floor and (levels is None or level + 1 < levels):
+            heapq.heappush(heap, (-split[0], len(out), level, rows, hist))
+        out.append((n, total, split, None))
+
+    every = np.arange(bins.shape[1])
+    look(every, histogram(every), 0)
+    for _ in range(splits - 1):             # the last split's children aren't asked for
+        if not heap:
+            break
+        _, at, level, rows, hist = heapq.heappop(heap)
+        n, total, split, _ = out[at]
+        out[at] = (n, total, split, len(out))
+        value = bins[np.searchsorted(columns, split[1]), rows]
+        goes = np.where(value == 0, split[3], value <= split[2])
+        sides = [rows[goes], rows[~goes]]
+        less = int(len(sides[1]) < len(sides[0]))
+        hists = [None, None]
+        hists[less] = histogram(sides[less])
+        hists[1 - less] = hist - hists[less]
+        for side, own in zip(sides, hists, strict=True):
+            look(side, own, level + 1)
+    return out
+
+
 def residual_code(r: np.ndarray) -> np.ndarray:
     """Ascending integer code of a residual, equal for residuals that agree in 10 bits."""
     bits = r.astype(np.float32).view(np.int32).astype(np.int64)
@@ -371,19 +436,46 @@ class HistogramBoost:
             if not asked:
                 return {n: g.tree() for n, g in growing.items()}
             routes = {n: growing[n].tree(growing[n].above(nodes)) for n, nodes in asked.items()}
-            for row in self._histograms(state, r, asked, routes, {n: growing[n].columns for n in asked}).collect():      # a row for each leaf that was asked for
+            small = {n: growing[n].small(nodes) for n, nodes in asked.items()}
+            found = self._histograms(state, r, asked, small, routes, {n: growing[n].columns for n in asked}).collect()      # at most 2 x leaves rows for each leaf that was asked for
+            number: dict[tuple[int, int], int] = {}
+            for row in sorted(found, key=lambda row: (row.key, row.place)):
+                tree, k = growing[names[row.key // NODES]], number.get((row.key, row.place), row.key % NODES)
                 split = (row.gain, row.feature, row.bin, row.missing_left, row.left_n, row.left_total) if row.gain is not None else None
-                growing[names[row.key // NODES]].answer(row.key % NODES, row.n, row.total, split)
+                tree.answer(k, row.n, row.total, split)
+                if row.left is not None:
+                    number[row.key, row.left], number[row.key, row.left + 1] = tree._open(k)
+
+    def _histograms(self, state: DataFrame, r: int, asked: dict[str, list[int]], small: dict[str, dict[int, tuple]], routes: dict[str, Tree],
+                    columns: dict[str, np.ndarray]) -> DataFrame:
+        """A row for each node asked for: its rows, gradient and best split. Only bins that hold a row are sent.
 
-    def _histograms(self, state: DataFrame, r: int, asked: dict[str, list[int]], routes: dict[str, Tree], columns: dict[str, np.ndarray]) -> DataFrame:
-        """A row for each node asked for: its rows, gradient and best split. Only bins that hold a row are sent."""
+        The rows of ``small`` nodes are sent themselves, and a row comes back for each node below that may be split, too.
+        """
         names = list(self.fits)
         edges = np.array([len(e) for e in self.edges])
         width = int(edges.max(initial=0)) + 2
-        jobs = [(names.index(n), np.array(nodes), routes[n], columns[n], self.targets[n]) for n, nodes in asked.items()]
+        jobs = [(names.index(n), np.array([k for k in nodes if k not in small[n]], dtype=np.int64), np.array(list(small[n]), dtype=np.int64), routes[n], columns[n], self.targets[n])
+                for n, nodes in asked.items()]
+        limits = {names.index(n) * NODES + k: limit for n, nodes in small.items() for k, limit in nodes.items()}
         scale, share, seed, models = self.scale, self.row_share, self.seed, len(names)
         min_rows, l2 = self.min_rows, self.l2
-        by_model = {m: (cols, alpha) for m, _, _, cols, alpha in jobs}
+        by_model = {m: (cols, alpha) for m, *_, cols, alpha in jobs}
+        tasks = min(state.sparkSession.sparkContext.defaultParallelism, sum(map(len, asked.values())))
+
+        def rows_of(m: int, few: np.ndarray, place: np.ndarray, bins: np.ndarray, y: np.ndarray, q: np.ndarray, cols: np.ndarray, alpha: float | None) -> pa.RecordBatch:
+            keys, cells, counts = [], [], []
+            pick = np.flatnonzero(place >= 0)
+            pick = pick[np.argsort(place[pick], kind="stable")]
+            cuts = np.searchsorted(place[pick], np.arange(len(few) + 1))
+            for k, node in enumerate(few.tolist()):
+                own = pick[cuts[k]:cuts[k + 1]]
+                if len(own):
+                    unit = (y[own] > q[m][own]).astype(np.int64) if alpha is not None else np.rint((y[own] - q[m][own]) * scale).astype(np.int64)
+                    keys.append(m * NODES + node)
+                    cells.append(bins[np.ix_(cols, own)].tobytes())
+                    counts.append(unit.tobytes())
+            return pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "cells": pa.array(cells, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {m: [] for m, *_ in jobs}
@@ -391,11 +483,18 @@ class HistogramBoost:
                 if row["val"]:
                     continue
                 drawn = np.random.default_rng([seed, r, int(row["block"][:8], 16)]).random(len(y)) < share if share < 1.0 else None
-                for m, nodes, tree, cols, alpha in jobs:
+                for m, nodes, few, tree, cols, alpha in jobs:
                     local = np.full(len(tree.left), -1)
                     local[nodes] = np.arange(len(nodes))
+                    local[few] = len(nodes) + np.arange(len(few))
                     place = local[tree.leaves(bins)]
-                    pick = np.flatnonzero(place >= 0 if drawn is None else (place >= 0) & drawn)
+                    if drawn is not None:
+                        place[~drawn] = -1
+                    if len(few):
+                        yield rows_of(m, few, place - len(nodes), bins, y, q, cols, alpha)
+                    if not len(nodes):
+                        continue
+                    pick = np.flatnonzero((place >= 0) & (place < len(nodes)))
                     code = ((place[pick] * (len(cols) * width))[None] + (np.arange(len(cols)) * width)[:, None] + bins[np.ix_(cols, pick)]) * 2
                     if alpha is not None:
                         found[m].append(_filled((code + (y[pick] > q[m][pick])[None]).ravel(), None))
@@ -405,7 +504,7 @@ class HistogramBoost:
                     if len(found[m]) > 8:
                         found[m] = [_added(found[m])]
             keys, cells, counts = [], [], []
-            for m, nodes, _, cols, _ in jobs:
+            for m, nodes, _, _, cols, _ in jobs:
                 if not found[m]:
                     continue
                 cell, count = _added(found[m])
@@ -422,17 +521,22 @@ class HistogramBoost:
         def choose(table: pa.Table) -> pa.Table:
             key = table.column("key")[0].as_py()
             cols, alpha = by_model[key // NODES]
-            whole = np.zeros(len(cols) * width * 2, np.int64)
-            for cell, count in zip(table.column("cells"), table.column("counts"), strict=True):
-                whole[np.frombuffer(cell.as_buffer(), np.int32)] += np.frombuffer(count.as_buffer(), np.int64)
-            n, units, split = best_split(whole.reshape(len(cols), width, 2), cols, edges[cols], alpha, scale, min_rows, l2)
-            gain, f, b, missing_left, left_n, left_total = split or (None,) * 6
-            return pa.table({"key": pa.array([key], pa.int64()), "n": pa.array([n], pa.int64()), "total": pa.array([units], pa.int64()), "gain": pa.array([gain], pa.float64()),
-                             "feature": pa.array([f], pa.int32()), "bin": pa.array([b], pa.int32()), "missing_left": pa.array([missing_left], pa.bool_()),
-                             "left_n": pa.array([left_n], pa.int64()), "left_total": pa.array([left_total], pa.int64())})
-
-        return (state.mapInArrow(add, "key long, cells binary, counts binary").groupBy("key")
-                .applyInArrow(choose, "key long, n long, total long, gain double, feature int, bin int, missing_left boolean, left_n long, left_total long"))
+            if key in limits:
+                bins = np.concatenate([np.frombuffer(cell.as_buffer(), np.uint8).reshape(len(cols), -1) for cell in table.column("cells")], axis=1)
+                unit = np.concatenate([np.frombuffer(count.as_buffer(), np.int64) for count in table.column("counts")])
+                nodes = small_subtree(bins, unit, limits[key], cols, edges[cols], width, alpha, scale, min_rows, l2)
+            else:
+                whole = np.zeros(len(cols) * width * 2, np.int64)
+                for cell, count in zip(table.column("cells"), table.column("counts"), strict=True):
+                    whole[np.frombuffer(cell.as_buffer(), np.int32)] += np.frombuffer(count.as_buffer(), np.int64)
+                nodes = [(*best_split(whole.reshape(len(cols), width, 2), cols, edges[cols], alpha, scale, min_rows, l2), None)]
+            made = [(key, place, n, units, *(split or (None,) * 6), left) for place, (n, units, split, left) in enumerate(nodes)]
+            return pa.table([pa.array(column, kind) for column, kind in zip(zip(*made, strict=True), answer.types, strict=True)], schema=answer)
+
+        answer = pa.schema([("key", pa.int64()), ("place", pa.int32()), ("n", pa.int64()), ("total", pa.int64()), ("gain", pa.float64()), ("feature", pa.int32()), ("bin", pa.int32()),
+                            ("missing_left", pa.bool_()), ("left_n", pa.int64()), ("left_total", pa.int64()), ("left", pa.int32())])
+        return (state.mapInArrow(add, "key long, cells binary, counts binary").repartition(tasks, "key").groupBy("key")
+                .applyInArrow(choose, "key long, place int, n long, total long, gain double, feature int, bin int, missing_left boolean, left_n long, left_total long, left int"))
 
     # -------------------------------------------------------------- leaf values and predictions
     def _set_values(self, state: DataFrame, trees: dict[str, Tree]) -> None:
@@ -440,10 +544,10 @@ class HistogramBoost:
         names = list(self.fits)
         jobs = [(names.index(n), t, self.targets[n]) for n, t in trees.items()]
         models, features, l2 = len(names), len(self.edges), self.l2
-        scale = self.scale
+        scale, alphas = self.scale, {m: alpha for m, _, alpha in jobs}
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, codes, counts = [], [], []
+            found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {m: [] for m, *_ in jobs}
             for bins, y, q, row in _open_blocks(batches, models, features):
                 if row["val"]:
                     continue
@@ -451,34 +555,50 @@ class HistogramBoost:
                     leaf = tree.leaves(bins).astype(np.int64)
                     r = y - q[m]
                     if alpha is None:
+                        # each leaf's rows under its number, its residuals' sum behind those of all leaves
                         n = np.bincount(leaf, minlength=len(tree.left))
                         total = np.bincount(leaf, weights=np.rint(r * scale), minlength=len(tree.left)).astype(np.int64)
-                        at = np.flatnonzero(n)
-                        keys.append(m * NODES + at)
-                        codes.append(total[at])
-                        counts.append(n[at])
+                        found[m].append((np.arange(2 * len(n)), np.concatenate([n, total])))
                     else:
-                        both, many = np.unique(np.stack([leaf, residual_code(r)]), axis=1, return_counts=True)
-                        keys.append(m * NODES + both[0])
-                        codes.append(both[1])
-                        counts.append(many)
+                        found[m].append(np.unique(leaf * CODES + residual_code(r) + CODES // 2, return_counts=True))
+                    if len(found[m]) > 8:
+                        found[m] = [_added(found[m])]
+            keys, codes, counts = [], [], []
+            for m, tree, alpha in jobs:
+                if not found[m]:
+                    continue
+                code, count = _added(found[m])
+                if alpha is None:
+                    for k in np.flatnonzero(count[:len(tree.left)]).tolist():
+                        keys.append(m * NODES + k)
+                        codes.append(count[len(tree.left) + k].tobytes())
+                        counts.append(count[k].tobytes())
+                    continue
+                cuts = np.searchsorted(code, np.arange(len(tree.left) + 1) * CODES)
+                for k in np.flatnonzero(np.diff(cuts)).tolist():
+                    keys.append(m * NODES + k)
+                    codes.append((code[cuts[k]:cuts[k + 1]] - k * CODES - CODES // 2).tobytes())
+                    counts.append(count[cuts[k]:cuts[k + 1]].astype(np.int64).tobytes())
             if keys:
-                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "code": np.concatenate(codes), "n": np.concatenate(counts)})
-
-        found = state.mapInArrow(add, "key long, code long, n long")
-        squared = [m for m, _, alpha in jobs if alpha is None]
-        if squared:
-            for row in found.groupBy("key").agg(F.sum("code").alias("total"), F.sum("n").alias("n")).collect():       # a row for each leaf
-                trees[names[row.key // NODES]].value[row.key % NODES] = row.total / scale / (row.n + l2)
-            return
-        alpha = F.element_at(F.create_map(*[F.lit(x) for m, _, a in jobs for x in (m, float(a))]), F.floor(F.col("key") / NODES).cast("int"))
-        whole = found.groupBy("key", "code").agg(F.sum("n").alias("n"))
-        # the first code up to which a leaf holds its share of the rows
-        runs = whole.groupBy("key").agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("code", "n"))).alias("runs"))
-        pick = F.aggregate("runs", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("code")),
-                           lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.coalesce(s["code"], F.when(s["seen"] + x["n"] >= F.col("share"), x["code"])).alias("code")))
-        for row in runs.withColumn("share", alpha * F.col("all")).select("key", pick["code"].alias("code")).collect():          # a row for each leaf
-            trees[names[row.key // NODES]].value[row.key % NODES] = residual_of(row.code)
+                yield pa.RecordBatch.from_pydict({"key": keys, "codes": codes, "counts": counts})
+
+        def pick(table: pa.Table) -> pa.Table:
+            key = table.column("key")[0].as_py()
+            alpha = alphas[key // NODES]
+            parts = [(np.frombuffer(code.as_buffer(), np.int64), np.frombuffer(count.as_buffer(), np.int64)) for code, count in zip(table.column("codes"), table.column("counts"), strict=True)]
+            if alpha is None:
+                value = sum(int(total[0]) for total, _ in parts) / scale / (sum(int(n[0]) for _, n in parts) + l2)
+            else:
+                # the first code up to which the leaf holds its share of the rows
+                code, count = _added(parts)
+                seen = np.cumsum(count)
+                value = residual_of(int(code[np.searchsorted(seen, alpha * float(seen[-1]))]))
+            return pa.table({"key": pa.array([key], pa.int64()), "value": pa.array([value], pa.float64())})
+
+        tasks = min(state.sparkSession.sparkContext.defaultParallelism, sum(len(t.left) for t in trees.values()))
+        found = state.mapInArrow(add, "key long, codes binary, counts binary").repartition(tasks, "key").groupBy("key").applyInArrow(pick, "key long, value double")
+        for row in found.collect():             # a row for each leaf
+            trees[names[row.key // NODES]].value[row.key % NODES] = row.value
 
     def _advance(self, state: DataFrame, trees: dict[str, Tree]) -> DataFrame:
         """The blocks with this round's trees added to their predictions, and their losses."""
