@@ -113,6 +113,12 @@ def test_small_leaves_grow_in_one_pass(frame, table, alpha, monkeypatch):
         assert small or len(passes) > 8
 
 
+def test_a_quantile_beside_squared_error(frame):
+    """The same leaf values as by itself."""
+    alone, beside = (HistogramBoost(NAMES, targets, rounds=2, leaves=9, column_share=1.0, bins=32).fit(frame).fits["b"] for targets in ({"b": 0.5}, {"b": 0.5, "a": None}))
+    assert [t.value.tolist() for t in alone.trees] == [t.value.tolist() for t in beside.trees]
+
+
 def test_depth_rows_and_columns(frame):
     boost = HistogramBoost(NAMES, {"a": None, "b": 0.5}, rounds=4, depth=2, leaves=64, row_share=0.8, column_share=0.5, l2=1.0, bins=32).fit(frame)
     for fit in boost.fits.values():
