@@ -8,7 +8,7 @@ from weekcast.functions.constants import FEATURE_COLUMNS
 from weekcast.operators import boosting
 from weekcast.operators.boosting import HistogramBoost, residual_code, residual_of, to_bins
 from weekcast.operators.forest import Forest
-from weekcast.operators.learners import QuantileBoost, point_boost
+from weekcast.operators.learners import QuantileBoost, point_boost, quantile_and_point_boost
 from weekcast.operators.splits import holdout_split
 from weekcast.plans.context import Inputs
 
@@ -119,6 +119,31 @@ def test_a_quantile_beside_squared_error(frame):
     assert [t.value.tolist() for t in alone.trees] == [t.value.tolist() for t in beside.trees]
 
 
+def test_learners_side_by_side(frame, table, monkeypatch):
+    """Quantiles and squared error in the same jobs: the trees and losses of their own fits, in fewer passes."""
+    passes, real = [], boosting.HistogramBoost._histograms
+    monkeypatch.setattr(boosting.HistogramBoost, "_histograms", lambda *a: passes.append(a[2]) or real(*a))
+    monkeypatch.setattr(boosting, "SMALL", 300)
+    options = {"rounds": 3, "learning_rate": 0.3, "leaves": 9, "min_rows": 15, "bins": 32, "early_stopping": 2}
+    train, val = frame.filter("demand < 30"), frame.filter("demand >= 30")
+    quantiles, point = QuantileBoost(NAMES, **options).fit(train, val), point_boost(train, val, NAMES, **options)
+    alone = len(passes)
+    passes.clear()
+    both, beside = quantile_and_point_boost(train, val, NAMES, **options)
+    assert 0 < len(passes) < alone
+
+    def flat(forest):
+        return {n: [[c.tolist() for c in (t.feature, t.threshold[t.feature >= 0], t.missing_left, t.left, t.right, t.value)] for t in trees] for n, trees in forest.trees.items()}
+
+    assert list(both.forest.trees) == ["p10", "p50", "p90"] and list(beside.trees) == ["p50"]
+    assert flat(both.forest) == flat(quantiles.forest) and flat(beside) == flat(point)
+    assert both.forest.start == quantiles.forest.start and beside.start == pytest.approx(point.start)
+    assert {n: f.rounds for n, f in both.models.items()} == {n: f.rounds for n, f in quantiles.models.items()}
+    for name, p in quantiles.forest.predict(table[0]).items():
+        assert both.forest.predict(table[0])[name] == pytest.approx(p)
+    assert beside.predict(table[0])["p50"] == pytest.approx(point.predict(table[0])["p50"])
+
+
 def test_depth_rows_and_columns(frame):
     boost = HistogramBoost(NAMES, {"a": None, "b": 0.5}, rounds=4, depth=2, leaves=64, row_share=0.8, column_share=0.5, l2=1.0, bins=32).fit(frame)
     for fit in boost.fits.values():

@@ -341,7 +341,9 @@ class HistogramBoost:
     0.05, at least 20 rows in a leaf, 80 % of the columns for each tree, and a
     stop after 50 rounds without a better validation loss. ``depth`` limits the
     trees' depth (None: only by their leaves); ``row_share`` below 1 draws rows
-    for each tree, ``l2`` is added to a leaf's row count.
+    for each tree, ``l2`` is added to a leaf's row count. A model draws its
+    columns by its place among ``targets``, or by its number in ``draws``: with
+    the number it would have by itself it gets the same trees beside others.
     """
 
     features: list[str]
@@ -357,6 +359,7 @@ class HistogramBoost:
     l2: float = 0.0
     bins: int = BINS
     seed: int = 42
+    draws: dict[str, int] = field(default_factory=dict)
     edges: list[np.ndarray] = field(default_factory=list)
     fits: dict[str, Fit] = field(default_factory=dict)
     scale: float = 1.0
@@ -429,7 +432,7 @@ class HistogramBoost:
     # -------------------------------------------------------------- one tree for each model
     def _grow(self, state: DataFrame, active: list[str], r: int) -> dict[str, Tree]:
         names = list(self.fits)
-        growing = {n: _Growing(self.leaves, self.depth, self._columns(r, names.index(n))) for n in active}
+        growing = {n: _Growing(self.leaves, self.depth, self._columns(r, self.draws.get(n, names.index(n)))) for n in active}
         while True:
             asked = {n: g.wanted() for n, g in growing.items()}
             asked = {n: nodes for n, nodes in asked.items() if nodes}

@@ -46,10 +46,11 @@ class Forest:
     _tables: dict | None = field(default=None, repr=False)
 
     @classmethod
-    def of(cls, boost) -> "Forest":
-        """The forest of a fitted ``HistogramBoost``."""
-        trees = {name: [_flat(t, boost.edges) for t in fit.trees] for name, fit in boost.fits.items()}
-        return cls(list(boost.features), boost.learning_rate, {n: f.start for n, f in boost.fits.items()}, trees)
+    def of(cls, boost, models: dict[str, str] | None = None) -> "Forest":
+        """The forest of a fitted ``HistogramBoost``, or of some of its ``models`` (name here -> name there)."""
+        fits = {n: boost.fits[there] for n, there in models.items()} if models is not None else boost.fits
+        trees = {name: [_flat(t, boost.edges) for t in fit.trees] for name, fit in fits.items()}
+        return cls(list(boost.features), boost.learning_rate, {n: f.start for n, f in fits.items()}, trees)
 
     # -------------------------------------------------------------- as a table
     def frame(self, spark: SparkSession) -> DataFrame:

@@ -50,6 +50,18 @@ def point_boost(train: DataFrame, val: DataFrame | None = None, features: list[s
     return Forest.of(HistogramBoost(list(features), {"p50": None}, **options).fit(train, val))
 
 
+def quantile_and_point_boost(train: DataFrame, val: DataFrame | None = None, features: list[str] = FEATURE_COLUMNS, quantiles: dict[str, float] = QUANTILES,
+                             **options) -> tuple[QuantileBoost, Forest]:
+    """B5 and the leaf-wise B6 on the same rows, grown in the same jobs: the trees of ``QuantileBoost.fit`` and ``point_boost``."""
+    point = "squared"
+    while point in quantiles:
+        point += "_"
+    boost = HistogramBoost(list(features), {**quantiles, point: None}, draws={point: 0}, **options).fit(train, val)
+    model = QuantileBoost(features, quantiles, **options)
+    model.models, model.forest = {n: boost.fits[n] for n in quantiles}, Forest.of(boost, {n: n for n in quantiles})
+    return model, Forest.of(boost, {"p50": point})
+
+
 def point_predict(model: Forest, df: DataFrame) -> DataFrame:
     return model.transform(df.select("sku_id", "week", *model.features)).select("sku_id", "week", "p50")
 
