@@ -10,6 +10,8 @@ from weekcast.operators.boosting import HistogramBoost, residual_code, residual_
 from weekcast.operators.forest import Forest
 from weekcast.operators.learners import QuantileBoost, point_boost, quantile_and_point_boost
 from weekcast.operators.splits import holdout_split
+from weekcast.plans import catalog
+from weekcast.plans.catalog import QUERIES
 from weekcast.plans.context import Inputs
 
 SF = "/root/testdata/sf0.001"
@@ -199,3 +201,53 @@ def test_quantile_boost_on_the_panel(spark):
     assert stats["b90"] >= 0.75
     assert abs(sum(v for _, v in model.feature_importance("p50")) - 1.0) < 1e-9
     assert len(point_boost(fit, val, rounds=2, depthwise=True).trees["p50"]) >= 1
+
+
+def flat_trees(trees):
+    """Each tree's splits and its leaves' values, in no order of nodes."""
+    return [(sorted((int(f), float(e), bool(m)) for f, e, m in zip(t.feature, t.threshold, t.missing_left, strict=True) if f >= 0), sorted(t.value[t.feature < 0])) for t in trees]
+
+
+@pytest.mark.parametrize("options", [{"leaves": 24}, {"leaves": 16, "depth": 3, "l2": 1.0, "column_share": 0.5}])
+def test_a_fit_in_one_task(frame, table, options):
+    """Every model in a task of its own: the trees, losses and stops of the passes over all blocks."""
+    targets, train, val = {"low": 0.1, "mid": 0.5, "mean": None}, frame.filter("x1 < 7 or x1 is null"), frame.filter("x1 >= 7")
+    passes, alone = (HistogramBoost(NAMES, targets, rounds=6, learning_rate=0.4, min_rows=15, bins=32, early_stopping=2, one_task=cells, **options).fit(train, val) for cells in (0, 1 << 20))
+    for name in targets:
+        a, b = passes.fits[name], alone.fits[name]
+        assert (a.start, a.rounds, len(a.trees)) == (b.start, b.rounds, len(b.trees)) and len(a.trees)
+        assert [h[0] for h in a.history] == [h[0] for h in b.history]
+        assert [h[1:] for h in b.history] == [pytest.approx(h[1:]) for h in a.history]
+        for (splits, values), (want, leaves) in zip(*(flat_trees(Forest.of(b).trees[name]) for b in (alone, passes)), strict=True):
+            assert splits == want and values == pytest.approx(leaves)
+        assert Forest.of(alone).predict(table[0])[name] == pytest.approx(Forest.of(passes).predict(table[0])[name])
+
+
+def test_a_fit_in_one_task_stops_and_draws_rows(frame, table):
+    noise = frame.withColumn("demand", F.rand(3))
+    fit = HistogramBoost(NAMES, {"m": 0.5}, rounds=40, learning_rate=0.5, early_stopping=3, bins=16, one_task=1 << 20).fit(noise, noise.withColumn("demand", F.rand(4))).fits["m"]
+    best = min(fit.history, key=lambda h: h[2])[0]
+    assert fit.rounds < 40 and len(fit.trees) == best and fit.rounds == best + 3
+    flat = HistogramBoost(NAMES, {"m": None}, rounds=5, bins=16, one_task=1 << 20).fit(frame.withColumn("demand", F.lit(7.0)))
+    assert Forest.of(flat).predict(table[0])["m"] == pytest.approx(np.full(1500, 7.0))
+    some = HistogramBoost(NAMES, {"m": None}, rounds=4, depth=2, leaves=64, row_share=0.8, l2=1.0, bins=32, one_task=1 << 20).fit(frame).fits["m"]
+    assert len(some.trees) == 4 and all(t.depth <= 2 for t in some.trees) and some.history[-1][1] < some.history[0][1]
+
+
+def whole_fits(monkeypatch, spark, key):
+    """The (rounds, rate, patience, leaves, shares) that a query's fits ask for; only the first round is run here."""
+    asked, real = [], HistogramBoost.fit
+
+    def fit(self, train, val=None):
+        asked.append((self.rounds, self.learning_rate, self.early_stopping, self.leaves, self.row_share, self.column_share))
+        self.rounds = 1
+        return real(self, train, val)
+
+    monkeypatch.setattr(HistogramBoost, "fit", fit)
+    monkeypatch.setattr(catalog, "_fitted", {})
+    assert QUERIES[key](spark, SF).count()
+    return asked
+
+
+def test_importance_share_runs_the_whole_fit(monkeypatch, spark):
+    assert whole_fits(monkeypatch, spark, "importance_share") == [(500, 0.05, 50, 63, 1.0, 0.8)]

@@ -15,6 +15,10 @@ error: fixed-point residuals), so sums, and with them the trees, don't depend
 on how rows are dealt over tasks. A missing value goes to the side with the
 greater gain.
 
+Where the rows' bins fit one task's memory (``one_task``), each model instead is
+fitted in a task of its own by ``fit_alone``: the same splits, leaf values and
+stops, without jobs for each round.
+
 Predictions live in the blocks. They are cached, and every ``CUT`` rounds
 checkpointed to the folder that driver and executors share: a lost executor
 costs a few rounds' replay.
@@ -23,9 +27,10 @@ costs a few rounds' replay.
 from __future__ import annotations
 
 import heapq
+import pickle
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -309,6 +314,125 @@ def small_subtree(bins: np.ndarray, unit: np.ndarray, limits: tuple[int, int | N
     return out
 
 
+def grow_alone(bins: np.ndarray, unit: np.ndarray, columns: np.ndarray, edges: np.ndarray, alpha: float | None, scale: float, leaves: int, depth: int | None,
+               min_rows: int, l2: float) -> tuple[Tree, list[tuple[int, np.ndarray]]]:
+    """One tree on rows that are all here, and (leaf, its rows): the leaf of greatest gain is split first.
+
+    ``bins`` is (rows x features); ``unit`` is as in ``small_subtree``.
+    """
+    width = int(edges.max(initial=0)) + 2
+    many, size = len(columns), len(columns) * width
+    code = bins[:, columns].astype(np.uint16 if 2 * size < 1 << 16 else np.int64)
+    code += (np.arange(many) * width).astype(code.dtype)
+    if alpha is not None:
+        code += (unit * size).astype(code.dtype)[:, None]         # rows above the prediction behind those below
+
+    def histogram(rows: np.ndarray) -> np.ndarray:
+        parts = np.zeros((2, size), np.int64)
+        for at in range(0, len(rows), LEAST_ROWS):
+            some = rows[at:at + LEAST_ROWS]
+            own = code[some].ravel()
+            if alpha is not None:
+                parts += np.bincount(own, minlength=2 * size).reshape(2, size)
+            else:
+                parts[0] += np.bincount(own, minlength=size)
+                parts[1] += np.bincount(own, weights=np.repeat(unit[some].astype(float), many), minlength=size).astype(np.int64)
+        return np.ascontiguousarray(parts.T).reshape(many, width, 2)
+
+    nodes: list[list] = []              # split, children, level
+    held: dict[int, np.ndarray] = {}
+    heap: list = []
+
+    def look(rows: np.ndarray, hist: np.ndarray | None, level: int) -> None:
+        split = best_split(hist, columns, edges[columns], alpha, scale, min_rows, l2)[2] if hist is not None else None
+        if split is not None and (depth is None or level < depth):
+            heapq.heappush(heap, (-split[0], len(nodes), hist))
+        held[len(nodes)] = rows
+        nodes.append([split, None, level])
+
+    every = np.arange(len(bins))
+    look(every, histogram(every), 0)
+    for left in range(leaves - 1, 0, -1):
+        if not heap:
+            break
+        _, at, hist = heapq.heappop(heap)
+        split, _, level = nodes[at]
+        rows = held.pop(at)
+        value = bins[rows, split[1]]
+        goes = np.where(value == 0, split[3], value <= split[2])
+        sides = [rows[goes], rows[~goes]]
+        hists: list = [None, None]
+        if left > 1 and (depth is None or level + 1 < depth):           # else the children aren't split
+            less = int(len(sides[1]) < len(sides[0]))
+            hists[less] = histogram(sides[less])
+            hists[1 - less] = hist - hists[less]
+        nodes[at][1] = len(nodes)
+        for side, own in zip(sides, hists, strict=True):
+            look(side, own, level + 1)
+    n = len(nodes)
+    tree = Tree(np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, bool), np.arange(n, dtype=np.int32), np.arange(n, dtype=np.int32), np.zeros(n),
+                max(level for _, _, level in nodes))
+    for k, (split, child, _) in enumerate(nodes):
+        if child is not None:
+            _, tree.feature[k], tree.bin[k], tree.missing_left[k], _, _ = split
+            tree.left[k], tree.right[k] = child, child + 1
+    return tree, list(held.items())
+
+
+def fit_alone(boost: HistogramBoost, name: str, blocks: list[tuple[str, bool, np.ndarray, np.ndarray]]) -> Fit:
+    """The model ``name`` on blocks (name, whether to validate on it, bins by feature, target) that are all here."""
+    fit, at = boost.fits[name], list(boost.fits).index(name)
+    alpha, edges = fit.alpha, np.array([len(e) for e in boost.edges])
+
+    def gathered(val: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some = [b for b in blocks if b[1] == val]
+        bins = np.concatenate([np.zeros((0, len(edges)), np.uint8), *[b[2].T for b in some]])
+        y = np.concatenate([np.zeros(0), *[b[3] for b in some]])
+        return bins, y, np.full(len(y), fit.start)
+
+    def loss(y: np.ndarray, q: np.ndarray) -> float:
+        return float(np.mean((y - q) ** 2 if alpha is None else np.where(y >= q, alpha * (y - q), (alpha - 1.0) * (y - q))))
+
+    (bins, y, q), (val_bins, val_y, val_q) = gathered(False), gathered(True)
+    by_feature = np.ascontiguousarray(val_bins.T)
+    best: tuple[float, int] | None = None
+    for r in range(1, boost.rounds + 1):
+        unit = (y > q).astype(np.int64) if alpha is not None else np.rint((y - q) * boost.scale).astype(np.int64)
+        drawn = None
+        if boost.row_share < 1.0:
+            drawn = np.concatenate([boost.drawn(r, b[0], len(b[3])) for b in blocks if not b[1]])
+        tree, leaves = grow_alone(bins if drawn is None else bins[drawn], unit if drawn is None else unit[drawn], boost._columns(r, boost.draws.get(name, at)), edges, alpha, boost.scale,
+                                  boost.leaves, boost.depth, boost.min_rows, boost.l2)
+        if drawn is not None:               # a leaf's value is that of all its rows
+            leaf = tree.leaves(bins.T)
+            leaves = [(k, np.flatnonzero(leaf == k)) for k, _ in leaves]
+        for k, rows in leaves:
+            if not len(rows):
+                continue
+            residual = y[rows] - q[rows]
+            if alpha is None:
+                tree.value[k] = int(np.rint(residual * boost.scale).astype(np.int64).sum()) / boost.scale / (len(rows) + boost.l2)
+            else:
+                place = max(0, int(np.ceil(alpha * float(len(rows)))) - 1)
+                tree.value[k] = residual_of(int(np.partition(residual_code(residual), place)[place]))
+            q[rows] += boost.learning_rate * tree.value[k]
+        fit.trees.append(tree)
+        fit.rounds = r
+        if len(val_y):
+            val_q += boost.learning_rate * tree.value[tree.leaves(by_feature)]
+        fit.history.append((r, loss(y, q), loss(val_y, val_q) if len(val_y) else None))
+        found = fit.history[-1][2]
+        if found is not None and (best is None or found < best[0] - 1e-12):
+            best = (found, r)
+        elif found is not None and r - best[1] >= boost.early_stopping:
+            break
+        if tree.depth == 0:                 # nothing left to split
+            break
+    if best is not None:
+        del fit.trees[best[1]:]
+    return fit
+
+
 def residual_code(r: np.ndarray) -> np.ndarray:
     """Ascending integer code of a residual, equal for residuals that agree in 10 bits."""
     bits = r.astype(np.float32).view(np.int32).astype(np.int64)
@@ -344,6 +468,8 @@ class HistogramBoost:
     for each tree, ``l2`` is added to a leaf's row count. A model draws its
     columns by its place among ``targets``, or by its number in ``draws``: with
     the number it would have by itself it gets the same trees beside others.
+    Up to ``one_task`` cells (rows x features), each model is fitted in a task
+    of its own; 0 leaves all fits to passes over the blocks.
     """
 
     features: list[str]
@@ -360,6 +486,7 @@ class HistogramBoost:
     bins: int = BINS
     seed: int = 42
     draws: dict[str, int] = field(default_factory=dict)
+    one_task: int = 0
     edges: list[np.ndarray] = field(default_factory=list)
     fits: dict[str, Fit] = field(default_factory=dict)
     scale: float = 1.0
@@ -392,6 +519,8 @@ class HistogramBoost:
         if val is not None:
             state = state.unionByName(_blocks(known(val), self.features, self.edges, starts, True, 1 + tasks // 4, size))
         state = state.checkpoint(eager=True)
+        if found.n * len(self.features) <= self.one_task and state.agg(F.sum("n")).first()[0] * len(self.features) <= self.one_task:
+            return self._fit_in_tasks(state)
         active = list(self.fits)
         best: dict[str, tuple[float, int]] = {}
         held = None
@@ -424,6 +553,28 @@ class HistogramBoost:
             del self.fits[name].trees[r:]
         return self
 
+    def _fit_in_tasks(self, state: DataFrame) -> "HistogramBoost":
+        """Every model in a task that gets all blocks; the fitted models come back, at most rounds x leaves nodes each."""
+        names, features = list(self.fits), len(self.features)
+        shared = replace(self, fits={n: replace(f) for n, f in self.fits.items()})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, list] = {}
+            for batch in batches:
+                for row in batch.to_pylist():
+                    held.setdefault(row["model"], []).append((row["block"], row["val"], np.frombuffer(row["bins"], np.uint8).reshape(features, row["n"]), np.frombuffer(row["y"], np.float64)))
+            for k, blocks in held.items():
+                yield pa.RecordBatch.from_pydict({"model": pa.array([k], pa.int32()), "fit": pa.array([pickle.dumps(fit_alone(shared, names[k], blocks))], pa.binary())})
+
+        copies = state.select(F.explode(F.array(*[F.lit(k) for k in range(len(names))])).alias("model"), "block", "val", "n", "bins", "y")
+        for row in copies.repartitionById(len(names), F.col("model")).mapInArrow(run, "model int, fit binary").collect():
+            self.fits[names[row.model]] = pickle.loads(row.fit)
+        return self
+
+    def drawn(self, r: int, block: str, rows: int) -> np.ndarray:
+        """Which rows of a block a round's trees see."""
+        return np.random.default_rng([self.seed, r, int(block[:8], 16)]).random(rows) < self.row_share
+
     def _columns(self, r: int, at: int) -> np.ndarray:
         every = np.array([k for k, e in enumerate(self.edges) if len(e)], dtype=np.int64)       # a feature without a value can't split
         many = max(1, round(self.column_share * len(every)))
