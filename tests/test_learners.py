@@ -263,3 +263,7 @@ def test_leaderboard_all_models_runs_the_whole_fits(monkeypatch, spark):
     x = Inputs(spark, SF)
     monkeypatch.setattr(catalog, "_fitted", {(spark.sparkContext.applicationId, x.fingerprint): model})
     assert catalog._both_run(x)[0] is model and asked == [{}]
+
+
+def test_walk_forward_cv_learners_runs_whole_fits(monkeypatch, spark):
+    assert whole_fits(monkeypatch, spark, "walk_forward_cv_learners") == [(500, 0.05, 50, 63, 1.0, 0.8)] * 5
