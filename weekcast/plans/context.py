@@ -8,11 +8,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weekcast.operators.dense import DenseFeatures
 from weekcast.operators.features import build_features
 from weekcast.sources import panel as P
 from weekcast.sources import store, tables
 
 TASK_BYTES = 2 << 20        # of lineitem's files for each task; as a dense panel a hundred times as much
+TASK_BUCKETS = 32           # buckets of SKUs a task makes the features of one after the other
 
 
 @dataclass
@@ -70,6 +72,12 @@ class Inputs:
     def features(self) -> DataFrame:
         return self.keep(lambda: build_features(self.panel, self.meta), "features", yearly=True)
 
+    @cached_property
+    def dense_features(self) -> DenseFeatures:
+        """The rows of ``features`` for one SKU per part, made for a bucket of SKUs at a time, with the columns that are asked for."""
+        buckets = self.tasks * TASK_BUCKETS
+        return DenseFeatures(P.weekly_quantities(self.lineitem, self.part, self.key, self.tasks, buckets), self.meta, self.calendar, buckets)
+
     @cached_property
     def model_rows(self) -> DataFrame:
         """Feature rows with a known target (N1: null demand dropped after features)."""

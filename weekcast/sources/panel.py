@@ -67,19 +67,23 @@ def monday_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "week")
 
 
-def weekly_quantities(lineitem: DataFrame, part: DataFrame, key: str = "brand_type", tasks: int | None = None) -> DataFrame:
+def weekly_quantities(lineitem: DataFrame, part: DataFrame, key: str = "brand_type", tasks: int | None = None, buckets: int | None = None) -> DataFrame:
     """(sku_num, week, qty): partial aggregation before the shuffle.
 
     With the part key no join is needed, and there are few lines for each SKU
     and week: with ``tasks`` the lines themselves are dealt over that many tasks
     by ``sku_id`` (an additional column then), the one shuffle for the sums, the
-    dense panel and everything per SKU. With the brand x type key the part
+    dense panel and everything per SKU. With ``buckets`` they are dealt by the
+    bucket of their SKU (a column, too). With the brand x type key the part
     side is joined without a hint: its size grows with the data, so the
     choice between broadcast and shuffle is left to AQE's runtime statistics.
     """
     li = lineitem.select("l_partkey", "l_quantity", monday_of(F.col("l_shipdate")).alias("week"))
     if key == "part" and tasks:
         lines = li.select(F.col("l_partkey").cast("long").alias("sku_num"), "week", "l_quantity")
+        if buckets:
+            dealt = lines.select(F.pmod(F.xxhash64(sku_id_of(F.col("sku_num"))), F.lit(buckets)).alias("bucket"), "*").repartition(tasks, "bucket")
+            return dealt.groupBy("bucket", "sku_num", "week").agg(F.sum("l_quantity").alias("qty")).withColumn("sku_id", sku_id_of(F.col("sku_num")))
         lines = lines.select(sku_id_of(F.col("sku_num")).alias("sku_id"), "*").repartition(tasks, "sku_id")
         return lines.groupBy("sku_id", "sku_num", "week").agg(F.sum("l_quantity").alias("qty"))
     if key == "part":
