@@ -26,6 +26,7 @@ from weekcast.functions.constants import (
 )
 from weekcast.operators.baselines import expand_horizon
 from weekcast.operators.coldstart import score_unknown
+from weekcast.operators.dense import DenseFeatures
 from weekcast.operators.recursive import Predict, recursive_scoring_frame
 
 
@@ -52,8 +53,10 @@ def request_clean(requests: DataFrame, max_batch: int | None = None) -> DataFram
         reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
 
 
-def latest_rows(features: DataFrame) -> DataFrame:
-    """Each SKU's last feature row: a grouped maximum, combined map-side before the shuffle."""
+def latest_rows(features: DataFrame | DenseFeatures) -> DataFrame:
+    """Each SKU's last feature row: a grouped maximum, combined map-side before the shuffle; of features not made yet, only that row is made."""
+    if isinstance(features, DenseFeatures):
+        return features.latest()
     row = F.struct(*features.columns)
     return features.groupBy("sku_id").agg(F.max_by(row, "week").alias("_row")).select("_row.*")
 
@@ -105,7 +108,12 @@ def interval_fallback(scored: DataFrame) -> DataFrame:
         F.when(include, p90).cast("double").alias("p90"))
 
 
-def batch_score(requests: DataFrame, features: DataFrame,
+def _skus(features: DataFrame | DenseFeatures) -> DataFrame:
+    some = features.select("sku_id")
+    return (some.latest() if isinstance(some, DenseFeatures) else some).distinct()
+
+
+def batch_score(requests: DataFrame, features: DataFrame | DenseFeatures,
                 model: Callable[[DataFrame], DataFrame] = rolling_stats_model, max_batch: int | None = None,
                 skus: DataFrame | None = None, recursive: Predict | None = None):
     """Requests -> (forecast rows, rejected requests, unknown SKUs).
@@ -115,11 +123,14 @@ def batch_score(requests: DataFrame, features: DataFrame,
     ``max_batch`` is set. With ``skus`` (sku_id, category), SKUs without history
     are forecast from their category's mean demand and none is unknown. With
     ``recursive`` (a function of inputs, see ``recursive``), each step's inputs
-    come from the steps before it, and ``model`` is not used.
+    come from the steps before it, and ``model`` is not used. Both look at whole
+    histories: features not made yet are made with all rows then.
     """
+    if isinstance(features, DenseFeatures) and (recursive is not None or skus is not None):
+        features = features.rows()
     checked = request_clean(requests, max_batch)
     valid = checked.filter("valid")
-    _, unknown = split_known(valid, features.select("sku_id").distinct())
+    _, unknown = split_known(valid, _skus(features))
     if recursive is None:
         used = [c for c in features.columns if c in {"sku_id", "week", "category", "demand_adjusted", *FEATURE_COLUMNS}]
         forecasts = interval_fallback(model(scoring_frame(valid, latest_rows(features.select(*used)))))
@@ -127,7 +138,7 @@ def batch_score(requests: DataFrame, features: DataFrame,
         forecasts = interval_fallback(recursive_scoring_frame(valid, features, recursive))
     if skus is not None:
         cold = valid.join(unknown.select("request_id").distinct(), "request_id", "left_semi")
-        cold = cold.join(features.select("sku_id").distinct(), "sku_id", "left_anti")
+        cold = cold.join(_skus(features), "sku_id", "left_anti")
         forecasts = forecasts.unionByName(interval_fallback(score_unknown(cold, features, skus)))
         unknown = unknown.limit(0)
     rejected = checked.filter(~F.col("valid")).select("request_id", "sku_id", "reason")
