@@ -22,6 +22,7 @@ from weekcast.functions.constants import (
 )
 from weekcast.functions.stats import ks_pvalue
 from weekcast.operators.cumulative import one_row_attach, running_sums
+from weekcast.operators.dense import DenseFeatures
 from weekcast.operators.evaluation import wape_column
 from weekcast.operators.splits import in_week_set, latest_weeks
 
@@ -36,7 +37,14 @@ def _long(df: DataFrame, cols: list[str], side: int) -> DataFrame:
     return long.filter(F.col("value").isNotNull()).withColumn("side", F.lit(side))
 
 
-def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
+def _counted(df: DataFrame | DenseFeatures, cols: list[str], side: int) -> DataFrame:
+    """(feature, value, n, side); values of features not made yet are counted where they are made."""
+    if isinstance(df, DenseFeatures):
+        return df.select(*cols).value_counts().withColumn("side", F.lit(side))
+    return _long(df, cols, side).withColumn("n", F.lit(1).cast("long"))
+
+
+def ks_two_sample(reference: DataFrame | DenseFeatures, current: DataFrame, features: list[str],
                   cur_features: list[str] | None = None) -> DataFrame:
     """Per feature n_ref, n_cur, ks_statistic, p_value.
 
@@ -46,9 +54,9 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, features: list[str],
     """
     cur_features = cur_features or features
     cur = current.select(*[F.col(c).alias(f) for f, c in zip(features, cur_features)])
-    both = _long(reference, features, 0).unionByName(_long(cur, features, 1))
+    both = _counted(reference, features, 0).unionByName(_counted(cur, features, 1))
     counts = both.groupBy("feature", "value").agg(
-        F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
+        F.sum(F.col("n") * (1 - F.col("side"))).alias("c_ref"), F.sum(F.col("n") * F.col("side")).alias("c_cur"))
     sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     cum = running_sums(counts, ["feature"], "value", ["c_ref", "c_cur"])
     cdf = cum.join(sizes, "feature").select(
