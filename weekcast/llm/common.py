@@ -76,7 +76,8 @@ def ship(spark: SparkSession) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
-    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) > BATCH_BYTES:
+    size = int(limit) if limit.isdigit() else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    if size > BATCH_BYTES:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_code(spark)
 
